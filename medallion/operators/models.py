@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -93,13 +93,13 @@ def score_python_model(
         raise ValueError("give exactly one of model and load")
     require_absent(df, output)
     if model is not None:
-        payload = pickle.dumps(model)
+        payload = cloudpickle.dumps(model)
         if len(payload) > max_bytes:
             raise ValueError(f"the model has {len(payload)} bytes, more than {max_bytes}; give load= instead")
         shared = df.sparkSession.sparkContext.broadcast(payload)
 
         def load():
-            return pickle.loads(shared.value)
+            return cloudpickle.loads(shared.value)
 
     fetch = load
 

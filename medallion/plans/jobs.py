@@ -149,4 +149,4 @@ def ingest_job(spark: SparkSession, config: IngestConfig) -> None:
 def publish_job(spark: SparkSession, config: PublishConfig) -> None:
     """Every record of a JSON array file as one message."""
     records = read_documents(spark, config.json_file, array_file=True)
-    publish_json(records, servers=config.bootstrap_servers, topic=config.topic, path=config.path)
+    publish_json(records, servers=config.bootstrap_servers, topic=config.topic, path=config.path, keep_nulls=False)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from medallion.functions.columns import quoted
+
 
 def read_documents(
     spark: SparkSession,
@@ -48,13 +50,15 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     return reader.load(path)
 
 
-def encode_json(df: DataFrame, value: str = "value") -> DataFrame:
-    """Each row as one JSON text with its null fields kept; the message key is null."""
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.select(
-        F.lit(None).cast("string").alias("key"),
-        F.to_json(row, {"ignoreNullFields": "false"}).alias(value),
-    )
+def encode_json(df: DataFrame, value: str = "value", keep_nulls: bool = True) -> DataFrame:
+    """Each row as one JSON text; the message key is null.
+
+    ``keep_nulls=False`` leaves null fields out, which suits records read from JSON: there a field
+    that was absent has become null.
+    """
+    row = F.struct(*[quoted(c) for c in df.columns])
+    text = F.to_json(row, {"ignoreNullFields": str(not keep_nulls).lower()})
+    return df.select(F.lit(None).cast("string").alias("key"), text.alias(value))
 
 
 def _topic(reader, servers, topic, options):

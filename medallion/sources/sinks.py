@@ -21,8 +21,12 @@ def write_csv(
     blank_empty: bool = False,
     **options,
 ) -> None:
-    """CSV with doubled quotes. ``blank_empty`` writes empty text like null, as a bare blank."""
+    """CSV with doubled quotes and text kept as it is, blanks at its ends included.
+
+    ``blank_empty`` writes empty text like null, as a bare blank.
+    """
     writer = df.write.mode(mode).option("header", header).option("encoding", encoding).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if blank_empty:
         writer = writer.option("emptyValue", "")
     writer.options(**options).csv(path)
@@ -43,9 +47,9 @@ def write_delta(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     write_table(df, path, "delta", mode, mergeSchema="true")
 
 
-def publish_json(df: DataFrame, *, servers: str | None = None, topic: str | None = None, path: str | None = None, mode: str = "append") -> None:
+def publish_json(df: DataFrame, *, servers: str | None = None, topic: str | None = None, path: str | None = None, mode: str = "append", keep_nulls: bool = True) -> None:
     """Send every row as a JSON message with a null key: to a topic, or to text files."""
-    messages = encode_json(df)
+    messages = encode_json(df, keep_nulls=keep_nulls)
     if path is not None:
         messages.select("value").write.mode(mode).text(path)
         return
