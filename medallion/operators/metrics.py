@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from medallion.functions.columns import quoted, resolve
-from medallion.operators.ordering import ROWS_PER_RANGE, running_total
+from medallion.operators.ordering import ROWS_PER_RANGE, range_splits, running_total
 
 
 def _pair(df: DataFrame, label: str, prediction: str) -> tuple[Column, Column]:
@@ -97,9 +97,9 @@ def auc_roc(df: DataFrame, label: str, score: Column | str, rows_per_range: int
     y = quoted(resolve(df, label))
     s = quoted(resolve(df, score)) if isinstance(score, str) else score
     scored = df.select(s.cast("double").alias("s"), y.alias("y")).where("s IS NOT NULL AND y IS NOT NULL")
-    rows = scored.count()
+    splits = range_splits(scored, "s", scored.count(), rows_per_range)
     distinct = scored.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
-    ranked = running_total(distinct, "s", "neg", "below", rows, rows_per_range)
+    ranked = running_total(distinct, "s", "neg", "below", splits)
     pos, neg = F.sum("pos"), F.sum("neg")
     won = F.sum(F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2))
     return ranked.agg(F.try_divide(won, pos.cast("double") * neg).alias("AUC"))

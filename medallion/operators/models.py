@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -50,22 +50,36 @@ def train_model(
     exclude: list[str] | None = None,
     encoding: str = "onehot",
     max_categories: int = MAX_CATEGORIES,
+    cache: bool = True,
     **preprocessing,
 ) -> PipelineModel:
     """Fit preprocessing and estimator as one pipeline on the training rows only.
 
-    Rows without a target are left out. Only the columns the pipeline needs are read.
+    Rows without a target are left out. Only the columns the pipeline needs are kept, and cached while
+    fitting (on disk where memory ends), since every stage and every iteration reads them again.
     """
     target = resolve(train, target)
     numeric, text = feature_columns(train, target, exclude)
     rows = train.select(*[quoted(c) for c in (*numeric, *text, target)]).where(quoted(target).isNotNull())
-    if encoding == "onehot":
-        check_cardinality(rows, text, max_categories)
     estimator = estimator.copy()
     estimator.setFeaturesCol("features")
     estimator.setLabelCol(target)
     prepare = build_preprocessor(numeric, text, encoding=encoding, **preprocessing)
-    return Pipeline(stages=[*prepare.getStages(), estimator]).fit(rows)
+    if cache:
+        rows = _spread(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if encoding == "onehot":
+            check_cardinality(rows, text, max_categories)
+        return Pipeline(stages=[*prepare.getStages(), estimator]).fit(rows)
+    finally:
+        if cache:
+            rows.unpersist()
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that came in fewer pieces; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def score(df: DataFrame, model: PipelineModel, output: str = "predictions") -> DataFrame:

@@ -159,31 +159,37 @@ def approx_quantiles(df: DataFrame, columns: list[str], probabilities: list[floa
     return {c: list(q) if q else [None] * len(probabilities) for c, q in zip(columns, found)}
 
 
-def add_range(df: DataFrame, column: str, rows: int, output: str = "range", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Number each row by the value range it falls into, ranges rising with the value.
+def range_splits(df: DataFrame, column: str, rows: int, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
+    """Cut points that divide the values of a column into ranges; none when one range is enough.
 
-    ``rows`` is the size of ``df``. Cut points come from approximate quantiles, so a range holds about
-    ``rows_per_range`` distinct values, more only once there are ``MAX_RANGES`` of them.
+    ``rows`` is the size of ``df``. The points are approximate quantiles, so a range holds about
+    ``rows_per_range`` rows or a single value, more only once there are ``MAX_RANGES`` of them.
     """
     parts = min(MAX_RANGES, math.ceil(rows / rows_per_range))
     if parts <= 1:
-        return df.withColumn(output, F.lit(0))
-    number = F.col(column).cast("double")
-    cuts = df.select(number.alias("x")).approxQuantile("x", [i / parts for i in range(1, parts)], 1 / (4 * parts))
-    splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
-    if len(splits) < 3:
-        return df.withColumn(output, F.lit(0))
-    numbered = Bucketizer(splits=splits, inputCol="__x", outputCol="__r").transform(df.withColumn("__x", number))
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    cuts = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", shares, 1 / (4 * parts))
+    return sorted({c for c in cuts if math.isfinite(c)})
+
+
+def add_range(df: DataFrame, column: str, splits: list[float], output: str = "range") -> DataFrame:
+    """Number each row by the range its value falls into, numbers rising with the value."""
+    bucketizer = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="__x", outputCol="__r")
+    numbered = bucketizer.transform(df.withColumn("__x", F.col(column).cast("double")))
     return numbered.withColumn(output, F.col("__r").cast("int")).drop("__x", "__r")
 
 
-def neighbours(distinct: DataFrame, value: str, partition: str, rows: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def neighbours(distinct: DataFrame, value: str, partition: str, splits: list[float]) -> DataFrame:
     """Add ``previous`` and ``next``: the adjacent values in the order of ``value`` per ``partition``.
 
     Values must be distinct inside a partition. Each range looks inside itself; only the ends of the
     ranges are compared with the other ranges.
     """
-    ranged = add_range(distinct, value, rows, "range", rows_per_range)
+    if not splits:
+        order = Window.partitionBy(partition).orderBy(value)
+        return distinct.withColumns({"previous": F.lag(value).over(order), "next": F.lead(value).over(order)})
+    ranged = add_range(distinct, value, splits)
     inside = Window.partitionBy(partition, "range").orderBy(value)
     ends = ranged.groupBy(partition, "range").agg(F.min(value).alias("__first"), F.max(value).alias("__last"))
     # One row per range, at most MAX_RANGES for a partition.
@@ -195,21 +201,22 @@ def neighbours(distinct: DataFrame, value: str, partition: str, rows: int, rows_
         F.lead("__first").over(across).alias("__after"),
     )
     return (
-        ranged.withColumn("previous", F.lag(value).over(inside))
-        .withColumn("next", F.lead(value).over(inside))
+        ranged.withColumns({"previous": F.lag(value).over(inside), "next": F.lead(value).over(inside)})
         .join(F.broadcast(ends), [partition, "range"])
-        .withColumn("previous", F.coalesce("previous", "__before"))
-        .withColumn("next", F.coalesce("next", "__after"))
+        .withColumns({"previous": F.coalesce("previous", "__before"), "next": F.coalesce("next", "__after")})
         .drop("range", "__before", "__after")
     )
 
 
-def running_total(distinct: DataFrame, order: str, amount: str, output: str, rows: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def running_total(distinct: DataFrame, order: str, amount: str, output: str, splits: list[float]) -> DataFrame:
     """Add the total of ``amount`` over all rows with a smaller ``order`` value (values distinct)."""
-    ranged = add_range(distinct, order, rows, "range", rows_per_range)
+    if not splits:
+        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return distinct.withColumn(output, F.coalesce(F.sum(amount).over(before), F.lit(0)))
+    ranged = add_range(distinct, order, splits)
     before = Window.partitionBy("range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range, at most MAX_RANGES in all.
+    across = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("range").agg(F.sum(amount).alias("__total"))
     totals = totals.select("range", F.coalesce(F.sum("__total").over(across), F.lit(0)).alias("__base"))
     return (

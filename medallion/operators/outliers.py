@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medallion.functions.columns import INTEGRAL, not_nan, quoted, require_absent, resolve
-from medallion.operators.ordering import ROWS_PER_RANGE, approx_quantiles, exact_quantiles, neighbours
+from medallion.operators.ordering import ROWS_PER_RANGE, approx_quantiles, exact_quantiles, neighbours, range_splits
 
 METHODS = ("clamp", "median", "cap", "neighbor")
 WHISKER = 1.5
@@ -168,27 +168,27 @@ def replace_by_neighbour(
     any_outlier = reduce(or_, [is_outlier(df, f) for f in fences])
     dirty = df.where(any_outlier)
 
-    identity = F.struct(*[quoted(k) for k in key])
+    # A plain number as key is combined by hashing, a struct by sorting.
+    identity = quoted(key[0]) if len(key) == 1 else F.struct(*[quoted(k) for k in key])
     hits = [
         F.when(flag, F.struct(F.lit(t).alias("t"), quoted(resolve(df, f.column)).cast("double").alias("x")))
         for t, (f, flag) in enumerate(zip(fences, flags))
     ]
-    distinct = (
-        dirty.select(identity.alias("key"), F.explode(F.array(*hits)).alias("h"))
-        .where("h IS NOT NULL")
-        .groupBy("h.t", "h.x")
-        .agg(F.min("key").alias("key"), F.count("*").alias("n"))
-    )
+    outliers = dirty.select(identity.alias("key"), F.explode(F.array(*hits)).alias("h")).where("h IS NOT NULL")
+    outliers = outliers.select("key", "h.t", "h.x")
+    splits = range_splits(outliers, "x", rows, rows_per_range)
+    distinct = outliers.groupBy("t", "x").agg(F.min("key").alias("key"), F.count("*").alias("n"))
     edges = {(t, float(v)) for t, f in enumerate(fences) for v in (f.low, f.high) if v is not None}
     if edges:
         inner = df.sparkSession.createDataFrame(sorted(edges), "t int, x double")
         distinct = distinct.unionByName(inner, allowMissingColumns=True)
+    names = [F.col("key").alias(key[0])] if len(key) == 1 else ["key.*"]
     after = F.when(F.col("n") > 1, F.col("x")).otherwise(F.col("next"))
     # At most one entry per treated column in each group: a key names one row.
     changes = (
-        neighbours(distinct, "x", "t", rows, rows_per_range)
+        neighbours(distinct, "x", "t", splits)
         .where("key IS NOT NULL")
-        .select("key.*", F.struct("t", F.coalesce("previous", after, "x").alias("x")).alias("__change"))
+        .select(*names, F.struct("t", F.coalesce("previous", after, "x").alias("x")).alias("__change"))
         .groupBy(*[quoted(k) for k in key])
         .agg(F.map_from_entries(F.collect_list("__change")).alias("__changes"))
     )

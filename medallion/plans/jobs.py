@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +24,15 @@ from medallion.plans.config import (
     TrainConfig,
     TransformConfig,
 )
+from medallion.session import staged
 from medallion.sources.documents import file_stream, message_stream, read_documents, read_messages
 from medallion.sources.relational import read_jdbc, read_sql
 from medallion.sources.sinks import publish_json, write_csv, write_if_any, write_table
 from medallion.sources.tables import read_csv, read_table
 from medallion.streaming.ingest import ingest_bounded, ingest_json_stream
 
+COLUMNAR = ("parquet", "orc", "delta")
+
 
 def _load(spark: SparkSession, path: str, fmt: str, options: dict) -> DataFrame:
     return read_csv(spark, path, **options) if fmt == "csv" else read_table(spark, path, fmt, **options)
@@ -38,39 +42,56 @@ def _store(df: DataFrame, path: str, fmt: str) -> None:
     write_csv(df, path) if fmt == "csv" else write_table(df, path, fmt, "overwrite")
 
 
-def transform(df: DataFrame, config: TransformConfig, fences: list[Fence] | None = None) -> tuple[DataFrame, list[Fence]]:
-    """Cast, derive, drop, then treat outliers; with the fences given, or with fences fitted here."""
+def prepare(df: DataFrame, config: TransformConfig) -> DataFrame:
+    """Cast, derive, drop."""
     df = cast_columns(df, config.column_types_to_convert, config.cast_mode)
     df = derive_columns(df, config.feature_engineering_transformations, config.as_of, config.on_error)
-    df = drop_columns(df, config.columns_to_remove)
-    if fences is None:
-        fences = fit_fences(
-            df,
-            config.numerical_columns_list,
-            bounds=tuple(config.outlier_bounds) if config.outlier_bounds else None,
-            quantiles=config.outlier_quantiles,
-            method=config.outlier_method,
-        )
-    else:
-        wanted = {c.lower() for c in config.numerical_columns_list}
-        fences = [f for f in fences if f.column.lower() in wanted]
-    return treat_outliers(df, fences, config.outlier_method, config.outlier_key), fences
+    return drop_columns(df, config.columns_to_remove)
+
+
+def fit(prepared: DataFrame, config: TransformConfig) -> list[Fence]:
+    """The fences of the columns to treat."""
+    return fit_fences(
+        prepared,
+        config.numerical_columns_list,
+        bounds=tuple(config.outlier_bounds) if config.outlier_bounds else None,
+        quantiles=config.outlier_quantiles,
+        method=config.outlier_method,
+    )
 
 
-def transform_job(spark: SparkSession, config: TransformConfig, fit: bool = True) -> list[Fence]:
+def treat(prepared: DataFrame, config: TransformConfig, fences: list[Fence]) -> DataFrame:
+    """Treat the outliers of the configured columns; fences of other columns are left aside."""
+    wanted = {c.lower() for c in config.numerical_columns_list}
+    fences = [f for f in fences if f.column.lower() in wanted]
+    return treat_outliers(prepared, fences, config.outlier_method, config.outlier_key)
+
+
+def transform(df: DataFrame, config: TransformConfig, fences: list[Fence] | None = None) -> tuple[DataFrame, list[Fence]]:
+    """Cast, derive, drop, then treat outliers; with the fences given, or with fences fitted here."""
+    prepared = prepare(df, config)
+    fences = fit(prepared, config) if fences is None else fences
+    return treat(prepared, config, fences), fences
+
+
+def transform_job(spark: SparkSession, config: TransformConfig, apply_stored: bool = False) -> list[Fence]:
     """Bronze to silver. Fitted fences are stored where ``config.fences`` says.
 
-    ``fit=False`` treats new input with the stored fences of the training data.
+    ``apply_stored=True`` treats new input with the stored fences of the training data, in one pass.
+    Fitting reads the treated columns several times, so text input is first staged as Parquet.
     """
-    df = _load(spark, config.source, config.source_format, config.source_options)
-    known = None
-    if not fit:
+    prepared = prepare(_load(spark, config.source, config.source_format, config.source_options), config)
+    if apply_stored:
         if not config.fences:
             raise ValueError("applying stored fences needs their path in config.fences")
-        known = fences_from_frame(spark.read.parquet(config.fences))
-    silver, fences = transform(df, config, known)
-    _store(silver, config.destination, config.destination_format)
-    if fit and config.fences:
+        fences = fences_from_frame(spark.read.parquet(config.fences))
+        _store(treat(prepared, config, fences), config.destination, config.destination_format)
+        return fences
+    columnar = config.source_format in COLUMNAR or not config.numerical_columns_list
+    with nullcontext(prepared) if columnar else staged(prepared, "prepared") as rows:
+        fences = fit(rows, config)
+        _store(treat(rows, config, fences), config.destination, config.destination_format)
+    if config.fences:
         fences_to_frame(spark, fences).write.mode("overwrite").parquet(config.fences)
     return fences
 

@@ -93,32 +93,31 @@ FEATURE_KINDS = {
 
 @query(
     "\nUNION ALL ".join(
-        f"SELECT '{t}' AS source, '{c}' AS feature, '{k}' AS kind, count({c}) AS filled, count(DISTINCT {c}) AS varieties FROM {t}"
+        f"SELECT '{t}' AS source, '{c}' AS feature, '{k}' AS kind, count({c}) AS filled FROM {t}"
         for t, kinds in FEATURE_KINDS.items()
         for c, k in kinds.items()
     )
 )
 def feature_kinds(spark, sf_dir):
-    """The features of four tables by kind, with their filled rows and distinct values."""
+    """The features of four tables by kind, with their filled rows."""
     out = None
     for name, target in FEATURE_TARGETS.items():
         df = table(spark, sf_dir, name)
         numeric, text = feature_columns(df, target)
         kinds = {**dict.fromkeys(numeric, "numeric"), **dict.fromkeys(text, "text")}
+        filled = df.agg(*[F.count(c).alias(c) for c in kinds])
         cells = F.array(
-            *[F.struct(F.lit(c).alias("feature"), F.lit(k).alias("kind"), F.col(c).cast("string").alias("v")) for c, k in kinds.items()]
+            *[F.struct(F.lit(c).alias("feature"), F.lit(k).alias("kind"), F.col(c).alias("filled")) for c, k in kinds.items()]
         )
-        values = df.select(F.explode(cells).alias("e")).groupBy("e.feature", "e.kind", "e.v").agg(F.count("e.v").alias("n"))
-        counts = values.groupBy("feature", "kind").agg(F.sum("n").alias("filled"), F.count("v").alias("varieties"))
-        counts = counts.select(F.lit(name).alias("source"), "*")
-        out = counts if out is None else out.unionByName(counts)
+        rows = filled.select(F.lit(name).alias("source"), F.inline(cells))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
 @query(
     "\nUNION ALL ".join(
-        f"""SELECT '{c}' AS "column", round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper,
-        round(q2, 4) AS median
+        f"""SELECT '{c}' AS "column", round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper,
+        round(q2, 6) AS median
         FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM lineitem)"""
         for c in FENCE_COLUMNS
     )
@@ -126,7 +125,7 @@ def feature_kinds(spark, sf_dir):
 def iqr_fences(spark, sf_dir):
     fences = fit_fences(table(spark, sf_dir, "lineitem"), FENCE_COLUMNS, method="median")
     return fences_to_frame(spark, fences).select(
-        "column", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), F.round("median", 4).alias("median")
+        "column", *[F.round(c, 6).alias(c) for c in ("lower", "upper", "median")]
     )
 
 

@@ -12,6 +12,7 @@ from medallion.streaming.ingest import ingest_bounded, ingest_json_stream
 from workload import query, table
 
 EVENT = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+FILES_PER_BATCH = 256
 
 
 def _messages(spark, sf_dir):
@@ -23,8 +24,7 @@ def _messages(spark, sf_dir):
 def _ingested(spark, sf_dir):
     source, sink, rejects, checkpoint = (scratch_dir(spark, n) for n in ("topic", "sink", "rejects", "checkpoint"))
     _messages(spark, sf_dir).select("value").write.text(source)
-    # One file at a time gives several micro-batches.
-    ingest_json_stream(file_stream(spark, source, 1), EVENT, sink, checkpoint, rejects=rejects).awaitTermination()
+    ingest_json_stream(file_stream(spark, source, FILES_PER_BATCH), EVENT, sink, checkpoint, rejects=rejects).awaitTermination()
     return sink, rejects
 
 
