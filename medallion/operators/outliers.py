@@ -76,7 +76,7 @@ def fit_fences(
                 spread = WHISKER * (q3 - q1)
                 limits[c] = (q1 - spread, q3 + spread)
     fences = [Fence(c, *limits[c], median=medians.get(c)) for c in columns if c in limits]
-    return fit_edges(df, fences) if method in ("clamp", "neighbor") else fences
+    return fit_edges(df, fences) if method == "clamp" else fences
 
 
 def fit_edges(df: DataFrame, fences: list[Fence]) -> list[Fence]:
@@ -156,11 +156,12 @@ def replace_by_neighbour(
     per distinct outlier value is enough. Rows inside every fence pass without a shuffle; the others
     are joined once, by key, to the changes found.
     """
-    fences = [f if f.outliers is not None else fit_edges(df, [f])[0] for f in fences]
     key = [resolve(df, k) for k in key]
     require_absent(df, "__changes")
     if set(key) & {resolve(df, f.column) for f in fences}:
         raise ValueError("key columns cannot be treated themselves")
+    # Neighbours are sought among these rows, so the edges are theirs, not those of the fitting data.
+    fences = fit_edges(df, fences)
     flags = [F.coalesce(is_outlier(df, f), F.lit(False)) for f in fences]
     rows = sum(f.outliers for f in fences)
     if not rows:

@@ -45,7 +45,7 @@ def read_csv(
 
     Give ``schema`` for large inputs: inference reads the data one extra time. ``multiline=True``
     allows line breaks inside fields, at the price that one file is read by one task. Rows that do
-    not fit raise instead of being silently shifted.
+    not fit raise instead of being silently shifted. Empty text reads as null, quoted or not.
     """
     return read_table(
         spark,
