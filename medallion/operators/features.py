@@ -12,7 +12,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from medallion.functions.columns import hash_number, number_or_null, quoted, resolve, row_key
-from medallion.operators.ordering import exact_quantiles
+from medallion.operators.ordering import exact_quantiles, order_statistics
 
 MAX_CATEGORIES = 10_000
 HASH_DIGITS = 13
@@ -41,24 +41,17 @@ def hash_split(df: DataFrame, test_percent: int = 20, seed: int = 42, key: list[
         is_test = hash_number(identity, seed) % 100 < test_percent
         return df.where(~is_test), df.where(is_test)
     number = hash_number(identity, seed, HASH_DIGITS)
-    n = df.count()
-    size = math.ceil(n * test_percent / 100)
-    if size == 0:
-        return df, df.limit(0)
-    # The hash has 52 bits, so it is exact as a double; the probability names rank size - 1.
-    edge = exact_quantiles(df.select(number.alias("h")), ["h"], [_probability(size - 1, n)])["h"][0]
-    is_test = number <= F.lit(round(edge))
-    return df.where(~is_test), df.where(is_test)
 
+    def last(n: int) -> set[int]:
+        return {math.ceil(n * test_percent / 100) - 1}
 
-def _probability(rank: int, n: int) -> float:
-    """A probability whose quantile is the value of that rank, nudged so that it never falls short."""
-    if n == 1:
-        return 0.0
-    p = rank / (n - 1)
-    while math.floor(p * (n - 1)) < rank:
-        p = math.nextafter(p, 1.0)
-    return p
+    # The hash has 52 bits, so it is exact as a double.
+    n, found = order_statistics(df.select(number.alias("h")), ["h"], last)["h"]
+    if not n:
+        return df, df.limit(0)
+    (edge,) = found.values()
+    is_test = number <= F.lit(int(edge))
+    return df.where(~is_test), df.where(is_test)
 
 
 class _Columns(Params):

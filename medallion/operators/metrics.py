@@ -96,10 +96,10 @@ def auc_roc(df: DataFrame, label: str, score: Column | str, rows_per_range: int
     """
     y = quoted(resolve(df, label))
     s = quoted(resolve(df, score)) if isinstance(score, str) else score
-    scored = df.select(s.cast("double").alias("s"), y.alias("y")).where("s IS NOT NULL AND y IS NOT NULL")
+    scored = df.select(s.cast("double").alias("s"), (y == 1).cast("bigint").alias("pos"), (y != 1).cast("bigint").alias("neg"))
+    scored = scored.where("s IS NOT NULL AND pos IS NOT NULL")
     splits = range_splits(scored, "s", scored.count(), rows_per_range)
-    distinct = scored.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
-    ranked = running_total(distinct, "s", "neg", "below", splits)
-    pos, neg = F.sum("pos"), F.sum("neg")
+    distinct = scored.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    ranked = running_total(distinct, scored, "s", "neg", "below", splits)
     won = F.sum(F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2))
-    return ranked.agg(F.try_divide(won, pos.cast("double") * neg).alias("AUC"))
+    return ranked.agg(F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg")).alias("AUC"))

@@ -7,6 +7,7 @@ aggregates whose partial results are small, and with windows over value ranges o
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -19,7 +20,7 @@ from medallion.functions.columns import number_or_null, resolve
 BUCKETS = 8192
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
-WIDE = 1e15
+WIDE = 2.0**53
 
 
 @dataclass
@@ -34,56 +35,66 @@ class _Interval:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], buckets: int = BUCKETS) -> dict[str, list[float | None]]:
-    """Exact interpolated quantiles of several columns; null and NaN are skipped.
+    """Exact interpolated quantiles of several columns; null and NaN are skipped."""
 
-    A first aggregate gives the count and the range of every column. Then each pass counts values
-    in equal buckets of the remaining interval and keeps the bucket that holds the wanted rank, until
-    that bucket holds a single value. State per task is at most ``buckets`` counters per interval
-    however many rows or ties there are, and only the chosen bucket of each rank reaches the driver.
+    def ranks(n: int) -> set[int]:
+        return {r for p in probabilities for r in _position(n, p)[:2]}
+
+    found = order_statistics(df, columns, ranks, buckets)
+    return {c: [_interpolate(n, values, p) for p in probabilities] for c, (n, values) in found.items()}
+
+
+def order_statistics(
+    df: DataFrame, columns: list[str], ranks: Callable[[int], set[int]], buckets: int = BUCKETS
+) -> dict[str, tuple[int, dict[int, float]]]:
+    """Per column: how many values there are, and the values at the ranks (from 0) asked for.
+
+    ``ranks`` is told the count. A first aggregate gives the count and the range of every column. Then
+    each pass counts values in equal buckets of the remaining interval and keeps the bucket that holds
+    the wanted rank, until that bucket holds a single value. State per task is at most ``buckets``
+    counters per interval however many rows or ties there are, and only the chosen bucket of each
+    rank reaches the driver. Null and NaN are skipped.
     """
     names = [resolve(df, c) for c in columns]
     values = df.select(*[number_or_null(df, c).alias(f"v{i}") for i, c in enumerate(names)])
     stats = _ranges(values, len(names))
 
-    wanted: dict[int, set[int]] = {}
-    found: dict[tuple[int, int], float] = {}
+    found: list[dict[int, float]] = [{} for _ in names]
     intervals = []
     for i, (n, n_low, n_high, lo, hi) in enumerate(stats):
-        ranks = wanted[i] = {r for p in probabilities for r in _ranks(n, p)[:2]} if n else set()
-        for r in ranks:
-            if r < n_low:
-                found[i, r] = -math.inf
-            elif r >= n - n_high:
-                found[i, r] = math.inf
-        rest = frozenset(r for r in ranks if (i, r) not in found)
+        wanted = ranks(n) if n else set()
+        found[i].update({r: -math.inf for r in wanted if r < n_low})
+        found[i].update({r: math.inf for r in wanted if r >= n - n_high})
+        rest = frozenset(wanted - found[i].keys())
         if rest:
             intervals.append(_Interval(i, lo, hi, n_low, rest))
 
+    first = True
     while intervals:
-        for iv in [iv for iv in intervals if iv.lo == iv.hi]:
-            found.update({(iv.column, r): iv.lo for r in iv.ranks})
+        for iv in intervals:
+            if iv.lo == iv.hi:
+                found[iv.column].update({r: iv.lo for r in iv.ranks})
         intervals = [iv for iv in intervals if iv.lo < iv.hi]
         if intervals:
-            intervals = _narrow(values, intervals, buckets)
+            # With one interval the bucket numbers filter by themselves, without computing a value twice.
+            spans = [F.col(f"v{iv.column}").between(iv.lo, iv.hi) for iv in intervals]
+            inside = values if first or len(spans) == 1 else values.where(reduce(or_, spans))
+            intervals = _narrow(inside, intervals, buckets)
+            first = False
+    return {c: (stats[i][0], found[i]) for i, c in enumerate(columns)}
 
-    out = {}
-    for i, name in enumerate(columns):
-        n = stats[i][0]
-        out[name] = [_interpolate(found, i, n, p) for p in probabilities]
-    return out
 
-
-def _ranks(n: int, p: float) -> tuple[int, int, float]:
+def _position(n: int, p: float) -> tuple[int, int, float]:
     at = p * (n - 1)
     low = math.floor(at)
     return low, math.ceil(at), at - low
 
 
-def _interpolate(found, column, n, p):
+def _interpolate(n, values, p):
     if not n:
         return None
-    low, high, part = _ranks(n, p)
-    a, b = found[column, low], found[column, high]
+    low, high, part = _position(n, p)
+    a, b = values[low], values[high]
     return a if a == b else a + (b - a) * part
 
 
@@ -124,10 +135,8 @@ def _narrow(values: DataFrame, intervals: list[_Interval], buckets: int) -> list
         F.struct(F.lit(t).alias("t"), _bucket(iv, buckets).alias("b"), F.col(f"v{iv.column}").alias("x"))
         for t, iv in enumerate(intervals)
     ]
-    spans = [F.col(f"v{iv.column}").between(iv.lo, iv.hi) for iv in intervals]
     histogram = (
-        values.where(reduce(or_, spans))
-        .select(F.explode(F.array(*hits)).alias("h"))
+        values.select(F.explode(F.array(*hits)).alias("h"))
         .where("h.b IS NOT NULL")
         .groupBy("h.t", "h.b")
         .agg(F.count("*").alias("n"), F.min("h.x").alias("lo"), F.max("h.x").alias("hi"))
@@ -180,18 +189,18 @@ def add_range(df: DataFrame, column: str, splits: list[float], output: str = "ra
     return numbered.withColumn(output, F.col("__r").cast("int")).drop("__x", "__r")
 
 
-def neighbours(distinct: DataFrame, value: str, partition: str, splits: list[float]) -> DataFrame:
+def neighbours(distinct: DataFrame, rows: DataFrame, value: str, partition: str, splits: list[float]) -> DataFrame:
     """Add ``previous`` and ``next``: the adjacent values in the order of ``value`` per ``partition``.
 
-    Values must be distinct inside a partition. Each range looks inside itself; only the ends of the
-    ranges are compared with the other ranges.
+    ``distinct`` holds each value of ``rows`` once per partition. Each range looks inside itself; only
+    the ends of the ranges, taken from ``rows``, are compared with the other ranges.
     """
     if not splits:
         order = Window.partitionBy(partition).orderBy(value)
         return distinct.withColumns({"previous": F.lag(value).over(order), "next": F.lead(value).over(order)})
     ranged = add_range(distinct, value, splits)
     inside = Window.partitionBy(partition, "range").orderBy(value)
-    ends = ranged.groupBy(partition, "range").agg(F.min(value).alias("__first"), F.max(value).alias("__last"))
+    ends = add_range(rows, value, splits).groupBy(partition, "range").agg(F.min(value).alias("__first"), F.max(value).alias("__last"))
     # One row per range, at most MAX_RANGES for a partition.
     across = Window.partitionBy(partition).orderBy("range")
     ends = ends.select(
@@ -208,8 +217,12 @@ def neighbours(distinct: DataFrame, value: str, partition: str, splits: list[flo
     )
 
 
-def running_total(distinct: DataFrame, order: str, amount: str, output: str, splits: list[float]) -> DataFrame:
-    """Add the total of ``amount`` over all rows with a smaller ``order`` value (values distinct)."""
+def running_total(distinct: DataFrame, rows: DataFrame, order: str, amount: str, output: str, splits: list[float]) -> DataFrame:
+    """Add the total of ``amount`` over all rows with a smaller ``order`` value.
+
+    ``distinct`` holds the amounts of ``rows`` summed per value. Each range adds up inside itself, on
+    top of the totals of the ranges below, taken from ``rows``.
+    """
     if not splits:
         before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return distinct.withColumn(output, F.coalesce(F.sum(amount).over(before), F.lit(0)))
@@ -217,7 +230,7 @@ def running_total(distinct: DataFrame, order: str, amount: str, output: str, spl
     before = Window.partitionBy("range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     # One row per range, at most MAX_RANGES in all.
     across = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("range").agg(F.sum(amount).alias("__total"))
+    totals = add_range(rows, order, splits).groupBy("range").agg(F.sum(amount).alias("__total"))
     totals = totals.select("range", F.coalesce(F.sum("__total").over(across), F.lit(0)).alias("__base"))
     return (
         ranged.withColumn(output, F.coalesce(F.sum(amount).over(before), F.lit(0)))

@@ -182,12 +182,12 @@ def replace_by_neighbour(
     edges = {(t, float(v)) for t, f in enumerate(fences) for v in (f.low, f.high) if v is not None}
     if edges:
         inner = df.sparkSession.createDataFrame(sorted(edges), "t int, x double")
-        distinct = distinct.unionByName(inner, allowMissingColumns=True)
+        distinct, outliers = (d.unionByName(inner, allowMissingColumns=True) for d in (distinct, outliers))
     names = [F.col("key").alias(key[0])] if len(key) == 1 else ["key.*"]
     after = F.when(F.col("n") > 1, F.col("x")).otherwise(F.col("next"))
     # At most one entry per treated column in each group: a key names one row.
     changes = (
-        neighbours(distinct, "x", "t", splits)
+        neighbours(distinct, outliers, "x", "t", splits)
         .where("key IS NOT NULL")
         .select(*names, F.struct("t", F.coalesce("previous", after, "x").alias("x")).alias("__change"))
         .groupBy(*[quoted(k) for k in key])

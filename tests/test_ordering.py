@@ -63,7 +63,7 @@ def test_neighbours_across_ranges(spark, rows_per_range):
     df = spark.createDataFrame([(t, x) for t, xs in values.items() for x in xs], "t int, x double")
     splits = range_splits(df, "x", df.count(), rows_per_range)
     assert bool(splits) == (rows_per_range == 3)
-    found = {(r.t, r.x): (r.previous, r.next) for r in neighbours(df, "x", "t", splits).collect()}
+    found = {(r.t, r.x): (r.previous, r.next) for r in neighbours(df, df, "x", "t", splits).collect()}
     for t, xs in values.items():
         for before, x, after in zip([None, *xs], xs, [*xs[1:], None]):
             assert found[t, x] == (before, after)
@@ -74,7 +74,7 @@ def test_running_total_across_ranges(spark, rows_per_range):
     amounts = [3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5]
     df = spark.createDataFrame([(float(i * i), a) for i, a in enumerate(amounts)], "x double, a long")
     splits = range_splits(df, "x", len(amounts), rows_per_range)
-    found = {r.x: r.below for r in running_total(df, "x", "a", "below", splits).collect()}
+    found = {r.x: r.below for r in running_total(df, df, "x", "a", "below", splits).collect()}
     assert found == {float(i * i): sum(amounts[:i]) for i in range(len(amounts))}
 
 
