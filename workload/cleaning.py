@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from medallion.functions.columns import run_stamp
 from medallion.operators.clean import cast_columns, derive_columns, drop_columns, project
-from medallion.operators.features import feature_columns
-from medallion.operators.outliers import fences_to_frame, fit_fences, flag_outliers, treat_outliers
+from medallion.operators.features import feature_columns, hash_split
+from medallion.operators.ordering import exact_quantiles
+from medallion.operators.outliers import fences_from_frame, fences_to_frame, fit_fences, flag_outliers, treat_outliers
 from medallion.plans.config import TransformConfig
 from medallion.plans.jobs import transform
+from medallion.session import scratch_dir
 from workload import query, table
 
 AS_OF = "2024-06-30"
@@ -184,6 +186,28 @@ def outlier_neighbor(spark, sf_dir):
     return treat_outliers(events, fences, "neighbor", key=["event_id"])
 
 
+ORDER_TEST = "('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT % 100 < 20"
+
+
+@query(f"""
+WITH s AS (SELECT o_orderkey, o_totalprice, {ORDER_TEST} AS test FROM orders),
+q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3 FROM s WHERE NOT test),
+f AS (SELECT q1 - 0.1 * (q3 - q1) AS lo, q3 + 0.1 * (q3 - q1) AS hi FROM q),
+e AS (SELECT min(o_totalprice) AS low, max(o_totalprice) AS high FROM s, f WHERE NOT test AND o_totalprice BETWEEN lo AND hi)
+SELECT o_orderkey, CASE WHEN o_totalprice < lo THEN low WHEN o_totalprice > hi THEN high ELSE o_totalprice END AS o_totalprice
+FROM s, f, e WHERE test
+""")
+def scoring_fences(spark, sf_dir):
+    """Fences fitted on the training rows, stored, and applied to the test rows."""
+    train, test = hash_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), key=["o_orderkey"])
+    quartiles = exact_quantiles(train, ["o_totalprice"], [0.25, 0.75])["o_totalprice"]
+    margin = 0.1 * (quartiles[1] - quartiles[0])
+    fences = fit_fences(train, ["o_totalprice"], bounds=(quartiles[0] - margin, quartiles[1] + margin))
+    path = scratch_dir(spark, "fences")
+    fences_to_frame(spark, fences).write.parquet(path)
+    return treat_outliers(test, fences_from_frame(spark.read.parquet(path)))
+
+
 ETL = TransformConfig(
     source="lineitem",
     destination="silver",

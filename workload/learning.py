@@ -7,7 +7,14 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from medallion.operators.features import MedianImputer, ModeImputer, NumericScaler, hash_split
+from medallion.operators.features import (
+    MedianImputer,
+    ModeImputer,
+    NumericScaler,
+    build_preprocessor,
+    feature_columns,
+    hash_split,
+)
 from medallion.operators.metrics import (
     auc_roc,
     binary_metrics,
@@ -17,9 +24,9 @@ from medallion.operators.metrics import (
     regression_metrics,
 )
 from medallion.operators.models import build_model, load_model, make_estimator, save_model, score, score_python_model, train_model
+from medallion.operators.runs import read_runs
 from medallion.plans.config import InferenceConfig, TrainConfig
 from medallion.plans.jobs import inference_job, train_job
-from medallion.operators.runs import read_runs
 from medallion.session import scratch_dir
 from workload import query, table
 
@@ -107,6 +114,34 @@ def standardize(spark, sf_dir):
     )
 
 
+@query("""
+WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS p_size, p_retailprice,
+                  CASE WHEN p_partkey % 5 <> 0 THEN p_type END AS p_type FROM part),
+m AS (SELECT median(p_size) AS size FROM p),
+t AS (SELECT p_type AS top FROM p WHERE p_type IS NOT NULL GROUP BY p_type ORDER BY count(*) DESC, p_type LIMIT 1),
+f AS (SELECT p_partkey, coalesce(p_size, size)::DOUBLE AS s, p_retailprice AS r, coalesce(p_type, top) AS k FROM p, m, t),
+z AS (SELECT avg(s) AS sa, stddev_pop(s) AS ss, avg(r) AS ra, stddev_pop(r) AS rs FROM f),
+n AS (SELECT k, count(*) AS freq FROM f GROUP BY k),
+i AS (SELECT k, row_number() OVER (ORDER BY freq DESC, k) AS slot FROM n)
+SELECT p_partkey, round((r - ra) / rs, 4) AS price, round((s - sa) / ss, 4) AS size, CAST(slot AS INTEGER) AS slot
+FROM f JOIN i USING (k), z
+""")
+def preprocess(spark, sf_dir):
+    """The whole preprocessor: impute, scale, encode, assemble. ``slot`` is the place of the one-hot 1."""
+    key = F.col("p_partkey")
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_retailprice",
+        F.when(key % 7 != 0, F.col("p_size")).alias("p_size"), F.when(key % 5 != 0, F.col("p_type")).alias("p_type"),
+    )
+    numeric, text = feature_columns(parts, exclude=["p_partkey"])
+    ready = build_preprocessor(numeric, text).fit(parts).transform(parts).withColumn("f", vector_to_array("features"))
+    hot = F.slice("f", len(numeric) + 1, F.size("f") - len(numeric))
+    return ready.select(
+        "p_partkey", F.round(F.col("f")[0], 4).alias("price"), F.round(F.col("f")[1], 4).alias("size"),
+        F.array_position(hot, 1.0).cast("int").alias("slot"),
+    )
+
+
 def _line(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
