@@ -35,12 +35,12 @@ def test_runs(spark, name):
 
 def test_approximate_fences_keep_the_rank_error(spark, con):
     """Fences give back the quartiles; each must lie within 5 % of its rank."""
-    n = con.sql("SELECT count(*) FROM lineitem").fetchone()[0]
+    n = con.execute("SELECT count(*) FROM lineitem").fetchone()[0]
     for row in QUERIES["approx_fences"](spark, TESTDATA).collect():
         spread = (row.upper - row.lower) / 4
         for quartile, share in ((row.lower + 1.5 * spread, 0.25), (row.median, 0.5), (row.upper - 1.5 * spread, 0.75)):
             q = f"{quartile:.9f}"
-            below, upto = con.sql(
+            below, upto = con.execute(
                 f"SELECT count(*) FILTER ({row.column} < {q} - 1e-6), count(*) FILTER ({row.column} <= {q} + 1e-6) FROM lineitem"
             ).fetchone()
             assert below / n <= share + 0.05 and upto / n >= share - 0.05
