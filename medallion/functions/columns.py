@@ -86,8 +86,9 @@ def hash_number(key: Column, seed: int, digits: int = 8) -> Column:
 
 
 def row_key(df: DataFrame, key: list[str] | None) -> Column:
-    """Text that identifies a row: its key columns, or the whole row without a key."""
-    names = [resolve(df, k) for k in key] if key else list(df.columns)
-    if len(names) == 1 and key:
-        return F.coalesce(quoted(names[0]).cast("string"), F.lit(""))
-    return F.to_json(F.struct(*[quoted(n) for n in names]), {"ignoreNullFields": "false"})
+    """Text that identifies a row: its key columns, or the whole row without a key.
+
+    The values are joined by the unit separator, a null being the null character.
+    """
+    names = [resolve(df, k) for k in key] if key else df.columns
+    return F.concat_ws("\x1f", *[F.coalesce(quoted(n).cast("string"), F.lit("\0")) for n in names])

@@ -19,7 +19,7 @@ from medallion.functions.columns import number_or_null, resolve
 
 BUCKETS = 8192
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
+MAX_RANGES = 2048
 WIDE = 2.0**53
 
 
@@ -178,7 +178,7 @@ def range_splits(df: DataFrame, column: str, rows: int, rows_per_range: int = RO
     if parts <= 1:
         return []
     shares = [i / parts for i in range(1, parts)]
-    cuts = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", shares, 1 / (4 * parts))
+    cuts = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", shares, 1 / (2 * parts))
     return sorted({c for c in cuts if math.isfinite(c)})
 
 

@@ -6,6 +6,7 @@ data. Null and NaN are never outliers.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -48,7 +49,7 @@ def fit_fences(
 ) -> list[Fence]:
     """Fences of several columns: given ``bounds``, or quartiles widened by 1.5 times their distance.
 
-    ``quantiles='approx'`` takes one pass with a rank ``error``. A column without any value gets no
+    ``quantiles='approx'`` takes one pass with a rank ``error``. A column without quartiles gets no
     fence.
     """
     if method not in METHODS:
@@ -61,20 +62,24 @@ def fit_fences(
     limits = {c: (float(lo), float(hi)) for c, (lo, hi) in (bounds or {}).items() if c in columns}
     open_columns = [c for c in columns if c not in limits]
     measured = columns if method == "median" else open_columns
+    shares = [0.25, 0.75, 0.5] if method == "median" else [0.25, 0.75]
     medians: dict[str, float | None] = {}
     if measured:
         found = (
-            exact_quantiles(df, measured, [0.25, 0.5, 0.75])
+            exact_quantiles(df, measured, shares)
             if quantiles == "exact"
-            else approx_quantiles(df, measured, [0.25, 0.5, 0.75], error)
+            else approx_quantiles(df, measured, shares, error)
         )
-        for c, (q1, q2, q3) in found.items():
-            if q2 is None:
+        for c, (q1, q3, *median) in found.items():
+            if q1 is None:
                 continue
-            medians[c] = q2
-            if c in open_columns:
+            medians[c] = median[0] if median else None
+            # Equal infinite quartiles leave no distance to widen by.
+            if c in open_columns and not math.isnan(q3 - q1):
                 spread = WHISKER * (q3 - q1)
                 limits[c] = (q1 - spread, q3 + spread)
+    if method == "median":
+        limits = {c: v for c, v in limits.items() if medians.get(c) is not None}
     fences = [Fence(c, *limits[c], median=medians.get(c)) for c in columns if c in limits]
     return fit_edges(df, fences) if method == "clamp" else fences
 

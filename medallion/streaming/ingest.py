@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.documents import decode_json, quarantine, valid_documents
+from medallion.operators.ordering import order_statistics
+
+TOP_ROWS = 1000
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -68,10 +71,45 @@ def ingest_json_stream(
     return writer.start()
 
 
-def ingest_bounded(messages: DataFrame, schema: T.StructType | str | None, limit: int, order: list[str], value: str = "value") -> DataFrame:
+def ingest_bounded(
+    messages: DataFrame,
+    schema: T.StructType | str | None,
+    limit: int,
+    order: list[str],
+    value: str = "value",
+    top_rows: int = TOP_ROWS,
+) -> DataFrame:
     """The first ``limit`` readable messages in the given order, fewer when the input ends before.
 
-    Each task keeps only its own first ``limit`` rows, so nothing is sorted as a whole.
+    ``order`` is a position, unique in the topic, or a partition and a position unique in it; both
+    numbers. Up to ``top_rows`` messages are found by keeping the first rows of every task. Beyond,
+    the position of the last one is looked up first, so that no task has to gather them.
     """
-    decoded = decode_json(messages, schema, value).where("valid").orderBy(*order).limit(limit)
-    return decoded.select(*order, *([F.col("document.*")] if schema is not None else ["document"]))
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    readable = decode_json(messages, schema, value).where("valid")
+    first = readable.orderBy(*order).limit(limit) if limit <= top_rows else _first(readable, limit, order)
+    return first.select(*order, *([F.col("document.*")] if schema is not None else ["document"]))
+
+
+def _first(rows: DataFrame, limit: int, order: list[str]) -> DataFrame:
+    *group, position = order
+    if len(group) > 1:
+        raise ValueError("order takes a position, or a partition and a position")
+    if not group:
+        cut = _position(rows, position, limit)
+        return rows if cut is None else rows.where(F.col(position) <= cut)
+    # One row per partition of the topic.
+    (name,) = group
+    for part in rows.groupBy(name).agg(F.count("*").alias("n")).orderBy(name).collect():
+        if limit <= part.n:
+            cut = _position(rows.where(F.col(name) == part[name]), position, limit)
+            return rows.where((F.col(name) < part[name]) | ((F.col(name) == part[name]) & (F.col(position) <= cut)))
+        limit -= part.n
+    return rows
+
+
+def _position(rows: DataFrame, position: str, limit: int) -> int | None:
+    """The position of the last of ``limit`` rows; None when there are not that many."""
+    n, found = order_statistics(rows, [position], lambda n: {limit - 1} if limit <= n else set())[position]
+    return int(found[limit - 1]) if limit <= n else None

@@ -150,6 +150,11 @@ def test_empty_column_gets_no_fence(spark):
     assert treat_outliers(df, []).collect() == df.collect()
 
 
+def test_infinite_quartiles(spark):
+    df = spark.createDataFrame([(1.0, float("inf"))] * 9 + [(2.0, 1.0), (3.0, -float("inf"))], "x double, y double")
+    assert [f.column for f in fit_fences(df, ["x", "y"])] == ["x"]
+
+
 def test_flags(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 50.0), (3, None), (4, float("nan"))], "id long, x double")
     out = flag_outliers(df, [Fence("x", 10, 90)]).orderBy("id")

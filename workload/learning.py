@@ -295,7 +295,7 @@ def auc(spark, sf_dir):
     return auc_roc(events, "label", "value").select(F.round("AUC", 9).alias("auc"))
 
 
-LINE_TEST = BUCKET.format(key="""('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || '}')""")
+LINE_TEST = BUCKET.format(key="(l_orderkey || chr(31) || l_linenumber)")
 FITTED_TRAIN = f"""
 WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, {LINE_TEST} AS test FROM lineitem),
 m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM s WHERE NOT test)
