@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 
 import pandas as pd
 from pyspark import StorageLevel, cloudpickle
@@ -65,21 +66,24 @@ def train_model(
     estimator.setFeaturesCol("features")
     estimator.setLabelCol(target)
     prepare = build_preprocessor(numeric, text, encoding=encoding, **preprocessing)
-    if cache:
-        rows = _spread(rows).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _cached(rows) if cache else nullcontext(rows) as rows:
         if encoding == "onehot":
             check_cardinality(rows, text, max_categories)
         return Pipeline(stages=[*prepare.getStages(), estimator]).fit(rows)
-    finally:
-        if cache:
-            rows.unpersist()
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that came in fewer pieces; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+@contextmanager
+def _cached(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows cached, and dealt out to all cores if they came in fewer pieces than that."""
+    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if kept[0].rdd.getNumPartitions() < cores:
+            kept.append(kept[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
+        yield kept[-1]
+    finally:
+        for frame in kept:
+            frame.unpersist()
 
 
 def score(df: DataFrame, model: PipelineModel, output: str = "predictions") -> DataFrame:
