@@ -1,19 +1,20 @@
 """Benchmark decontamination by CGK embedding and bit sampling.
 
 Texts are sequences of lower-cased words. An item of ``n`` words occurs in a document where the document has a passage
-within ``floor(max_error * n)`` word edits (insert, delete, replace) of it. Search:
+within ``floor(max_error * n)`` word edits (insert, delete, replace) of it. The symbols that are embedded are pairs of
+neighbouring words, of which an edit changes two at most. Search:
 
-1. Every item has a window length: the largest of a geometric series that fits in it with three words to spare, so that
-   any passage holds a whole window that starts at a multiple of four words. All windows of all items are indexed;
+1. Every item has a window length: the largest of a geometric series that fits in it with three symbols to spare, so that
+   any passage holds a whole window that starts at a multiple of four. All windows of all items are indexed;
    of a document, those starting at multiples of four. (Shorter items have windows of their own length, at every word.)
-2. The CGK walk reads a window: at step ``j`` it emits the word at its pointer and moves on if the random bit of that
-   step and word says so. Words that differ make two walks drift apart and meet again, so edit distance becomes Hamming
-   distance. ``walks`` independent walks are made of twice the window's words.
+2. The CGK walk reads a window: at step ``j`` it emits the symbol at its pointer and moves on if the random bit of that
+   step and symbol says so. Symbols that differ make two walks drift apart and meet again, so edit distance becomes Hamming
+   distance. ``walks`` independent walks are made of twice the window's symbols.
 3. Each of ``repeats`` keys per walk samples ``bits`` steps; equal keys make a candidate.
 4. Candidates are verified by the exact edit distance of the whole item to the best passage around them.
 
-Before 2, windows are left out that cannot belong to a passage within the bound because too few of their words occur in
-any item at all: an exact test.
+Before 2, windows are left out that cannot belong to a passage within the bound because too few of their symbols occur
+in any item at all: an exact test. Items of one word are looked up as they are.
 
 Items are read in blocks of at most ``block_words`` words, so what is broadcast has a fixed bound; documents are read
 once per block, and never shuffled.
@@ -33,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from medallion.llm.common import BATCH_BYTES, each_row, run_hashes
+from medallion.llm.common import BATCH_BYTES, ODD, each_row, mix, run_hashes
 
 STRIDE = 4
 
@@ -43,9 +44,9 @@ _WORDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 
 @dataclass(frozen=True)
 class DecontaminationSpec:
-    max_error: float = 0.3
+    max_error: float = 0.25
     walks: int = 4
-    repeats: int = 4
+    repeats: int = 8
     bits: int = 4
     seed: int = 5
     block_words: int = 1 << 18
@@ -66,6 +67,11 @@ def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return *run_hashes(raw, _WORDS[raw]), raw
 
 
+def symbols(words: np.ndarray) -> np.ndarray:
+    """A hash of each word with the next; one fewer than words."""
+    return mix(words[:-1] * ODD[40] + words[1:] * ODD[41])
+
+
 def series(longest: int) -> list[int]:
     """Window lengths 8, 12, 18, 27, ... up to a length."""
     out = [8]
@@ -79,15 +85,22 @@ class Index:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], spec: DecontaminationSpec):
         self.spec = spec
-        self.vocabulary = np.unique(np.concatenate([w for _, w in items]))
-        self.items = [(item, np.searchsorted(self.vocabulary, w) + 1) for item, w in items]
+        self.items = items
+        made = [symbols(w) for _, w in items]
+        self.vocabulary = np.unique(np.concatenate([*made, np.zeros(1, np.uint64)]))
+        coded = [np.searchsorted(self.vocabulary, m) + 1 for m in made]
+        self.single = {}
+        for i, (_, w) in enumerate(items):
+            if len(w) == 1:
+                self.single.setdefault(int(w[0]), []).append(i)
         lengths = series(max(len(w) for _, w in items))
         self.classes: dict[tuple[int, int], list[int]] = defaultdict(list)  # (window, stride): items
-        for i, (_, w) in enumerate(self.items):
+        for i, w in enumerate(coded):
             fits = [x for x in lengths if x <= len(w) - STRIDE + 1]
-            self.classes[(fits[-1], STRIDE) if fits else (len(w), 1)].append(i)
+            if len(w):
+                self.classes[(fits[-1], STRIDE) if fits else (len(w), 1)].append(i)
         rng = np.random.default_rng(spec.seed)
-        steps = 2 * max(size for size, _ in self.classes)
+        steps = 2 * max([1, *(size for size, _ in self.classes)])
         self.coins = rng.integers(0, 2**63, (spec.walks, steps // 64 + 1, len(self.vocabulary) + 2), dtype=np.uint64)
         self.salts = rng.integers(1, 2**62, spec.bits, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.samples, self.tables, self.least = {}, {}, {}
@@ -95,11 +108,11 @@ class Index:
             size = key[0]
             span = max(1, 2 * size - size // 4)
             self.samples[key] = np.sort(np.array([[rng.choice(span, spec.bits, replace=span < spec.bits) for _ in range(spec.repeats)] for _ in range(spec.walks)]), axis=2)
-            self.least[key] = size - max(spec.bound(len(self.items[i][1])) for i in members)
+            self.least[key] = size - 2 * max(spec.bound(len(items[i][1])) for i in members)
             flat, starts, owners = [], [], []
             base = 0
             for i in members:
-                w = self.items[i][1]
+                w = coded[i]
                 flat.append(w)
                 offsets = np.arange(len(w) - size + 1)
                 starts.append(base + offsets)
@@ -130,12 +143,13 @@ class Index:
         return out
 
     def candidates(self, ids: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int]]:
-        """``(document, item, word where it would start)`` over several documents laid end to end; ``bounds``: where each begins."""
+        """``(document, item, word where it would start)`` over several documents laid end to end; ``bounds``: where each
+        begins. A symbol stands where its first word does."""
         found: set[tuple[int, int, int]] = set()
         known = np.concatenate(([0], np.cumsum(ids > 0)))
         for key, tables in self.tables.items():
             size, stride = key
-            counts = np.maximum(0, (np.diff(bounds) - size) // stride + 1)
+            counts = np.maximum(0, (np.diff(bounds) - 1 - size) // stride + 1)
             first = np.cumsum(counts) - counts
             starts = np.repeat(bounds[:-1], counts) + (np.arange(counts.sum()) - np.repeat(first, counts)) * stride
             starts = starts[known[starts + size] - known[starts] >= self.least[key]]
@@ -169,14 +183,18 @@ def passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return distance, start, end
 
 
-def occurrences(index: Index, ids: np.ndarray, bounds: np.ndarray):
+def occurrences(index: Index, words: np.ndarray, ids: np.ndarray, bounds: np.ndarray):
     """Verified ``(document, item, distance, first word, end)``; of overlapping ones of an item, the nearest."""
     by: dict[tuple[int, int], set[int]] = defaultdict(set)
     for doc, i, start in index.candidates(ids, bounds):
         by[doc, i].add(start)
+    if index.single:
+        for at in np.flatnonzero(np.isin(words, np.array(list(index.single), np.uint64))):
+            for i in index.single[int(words[at])]:
+                by[int(np.searchsorted(bounds, at, "right")) - 1, i].add(int(at))
     for (doc, i), starts in sorted(by.items()):
-        words = index.items[i][1]
-        n, limit = len(words), index.spec.bound(len(words))
+        item = index.items[i][1]
+        n, limit = len(item), index.spec.bound(len(item))
         low, high = int(bounds[doc]), int(bounds[doc + 1])
         spans: list[list[int]] = []
         for s in sorted(starts):  # candidates near each other are one stretch of text
@@ -192,7 +210,7 @@ def occurrences(index: Index, ids: np.ndarray, bounds: np.ndarray):
                 x, y = todo.pop()
                 if y - x < n - limit or y <= x:
                     continue
-                distance, start, end = passage(words, ids[x:y])
+                distance, start, end = passage(item, words[x:y])
                 if distance <= limit:
                     hits.add((distance, x + start, x + end))
                     todo += [(x, x + start), (x + end, y)] if end > start else []
@@ -228,13 +246,30 @@ def blocks(benchmark: DataFrame, spec: DecontaminationSpec):
 FOUND = "doc_id long, item_id long, distance int, n_words int, start long, end long, passage string"
 
 
-def laid_out(index: Index, texts: list[str | None]):
-    """The words of several texts as numbers of the vocabulary, end to end; where each begins; and their places."""
-    made = [word_hashes(t) for t in texts]
-    bounds = np.concatenate(([0], np.cumsum([len(m[0]) for m in made], dtype=np.int64)))
-    hashes = np.concatenate([m[0] for m in made]) if made else np.zeros(0, np.uint64)
-    at = np.minimum(np.searchsorted(index.vocabulary, hashes), len(index.vocabulary) - 1)
-    return np.where(index.vocabulary[at] == hashes, at + 1, 0), bounds, made
+def laid_out(index: Index, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of several texts end to end, their symbols as numbers of the vocabulary, and where each text begins."""
+    raws = [lowered(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    words, bounds, at = [], [np.zeros(1, np.int64)], 0
+    while at < len(raws):  # a piece at a time, as many texts as fit in a cache
+        to, size = at, 0
+        while to < len(raws) and (to == at or size + len(raws[to]) < 1 << 18):
+            size += len(raws[to]) + 1
+            to += 1
+        raw = np.frombuffer(b" ".join(raws[at:to]) + b" ", np.uint8)
+        hashes, starts, _ = run_hashes(raw, _WORDS[raw])
+        ends = np.cumsum([len(r) + 1 for r in raws[at:to]])
+        words.append(hashes)
+        bounds.append(bounds[-1][-1] + np.searchsorted(starts, ends))
+        at = to
+    words, bounds = np.concatenate(words or [np.zeros(0, np.uint64)]), np.concatenate(bounds)
+    ids = np.zeros(len(words), np.int64)
+    if len(words) > 1:
+        made = symbols(words)
+        place = np.minimum(np.searchsorted(index.vocabulary, made), len(index.vocabulary) - 1)
+        ids[:-1] = np.where(index.vocabulary[place] == made, place + 1, 0)
+        last = bounds[1:] - 1  # no symbol reaches into the next text
+        ids[last[last >= 0]] = 0
+    return words, ids, bounds
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationSpec = DecontaminationSpec()) -> DataFrame:
@@ -249,10 +284,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationSp
             index = shared.value
             for batch in each_row(batches):
                 texts, ids_ = batch["text"].tolist(), batch["doc_id"].tolist()
-                words, bounds, made = laid_out(index, texts)
                 rows = []
-                for d, i, distance, a, b in occurrences(index, words, bounds):
-                    _, starts, ends, raw = made[d]
+                for d, i, distance, a, b in occurrences(index, *laid_out(index, texts)):
+                    _, starts, ends, raw = word_hashes(texts[d])
                     ahead = np.cumsum((raw[: ends[b - 1]] & 0xC0) != 0x80)
                     begin, end = int(ahead[starts[a]]) - 1, int(ahead[-1])
                     rows.append((ids_[d], index.items[i][0], distance, len(index.items[i][1]), begin, end, texts[d][begin:end]))
@@ -277,9 +311,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationS
                 for part in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // BATCH_BYTES)) + 1):
                     if len(part):
                         rows = batch.slice(int(part[0]), len(part))
-                        words, bounds, _ = laid_out(shared.value, rows.column(at).to_pylist())
                         hit = np.zeros(len(rows), bool)
-                        for d, *_ in occurrences(shared.value, words, bounds):
+                        for d, *_ in occurrences(shared.value, *laid_out(shared.value, rows.column(at).to_pylist())):
                             hit[d] = True
                         yield rows.filter(pa.array(~hit))
 

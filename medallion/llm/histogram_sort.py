@@ -73,11 +73,15 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def _probe(rows: DataFrame, probes: list[tuple[int, int, int, int, int]], width: int, how: str = "left") -> DataFrame:
     """Move rows of probed ranges to the child between their two probes; children are numbered from ``first``."""
-    spark = rows.sparkSession
-    table = spark.createDataFrame(probes, f"{NODE} long, __part int, __low long, __step long, __first long")
+    if len(probes) == 1 and probes[0][0] == 0:  # all rows are in the first range
+        table = None
+        found = dict(zip(("__part", "__low", "__step", "__first"), map(F.lit, probes[0][1:])))
+        rows = rows.withColumns(found)
+    else:
+        table = rows.sparkSession.createDataFrame(probes, f"{NODE} long, __part int, __low long, __step long, __first long")
     part = F.when(F.col("__part") == 0, F.col(KEY[0])).when(F.col("__part") == 1, F.col(KEY[1])).otherwise(F.col(KEY[2]))
     child = F.floor((part.cast("decimal(20,0)") - F.col("__low").cast("decimal(20,0)")) / F.col("__step").cast("decimal(20,0)")).cast("long")
-    out = rows.join(F.broadcast(table), NODE, how)
+    out = rows if table is None else rows.join(F.broadcast(table), NODE, how)
     return out.withColumn(NODE, F.coalesce(F.col("__first") + F.least(child, F.lit(width - 1)), F.col(NODE))).drop("__part", "__low", "__step", "__first")
 
 
