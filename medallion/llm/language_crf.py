@@ -22,12 +22,13 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from medallion.llm.common import ODD, each_row, mix, saved
+from medallion.llm.common import ODD, mix, saved
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -252,42 +253,65 @@ def _fitter(shared, spec: CrfSpec, step: int):
     return fit
 
 
+#: Characters of text whose words are labelled at a time: bounds a worker's memory.
+PIECE = 6 << 20
+
+
 class Labeller:
-    """Probabilities of the languages of all words of a batch of texts; remembers scores of words."""
+    """Probabilities of the languages of all words of some texts; remembers scores of words."""
 
     def __init__(self, model: Model, spec: CrfSpec):
         self.model, self.spec = model, spec
+        self._forget()
+
+    def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(model.languages)), np.float32)
+        self.scores = np.zeros((1024, len(self.model.languages)), np.float32)
+        self.scored = 0
 
-    def _score(self, words: list[str]) -> None:
-        for lo in range(0, len(words), 20_000):
-            part = words[lo : lo + 20_000]
-            numbers, starts = self.model.features.of(part)
-            made = np.add.reduceat(self.model.weights[numbers], starts, axis=0)
-            at = len(self.number)
-            while at + len(part) > len(self.scores):
-                self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
-            self.scores[at : at + len(part)] = made
-            self.number.update(zip(part, range(at, at + len(part))))
-
-    def batch(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """One array (word, language) per text."""
-        if len(self.number) > self.spec.remembered:
-            self.number, self.scores = {}, np.zeros((1024, self.scores.shape[1]), np.float32)
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of words, new ones for words that are not known yet."""
         known = self.number
-        self._score(sorted({w for words in texts for w in words if w not in known}))
+        return np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+
+    def _score(self) -> None:
+        """Scores of all words that came since."""
+        new = list(islice(self.number, self.scored, None))
+        while len(self.number) > len(self.scores):
+            self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
+        for lo in range(0, len(new), 10_000):
+            numbers, starts = self.model.features.of(new[lo : lo + 10_000])
+            made = np.add.reduceat(self.model.weights[numbers], starts, axis=0)
+            self.scores[self.scored : self.scored + len(made)] = made
+            self.scored += len(made)
+
+    def label(self, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """One array (word, language) for each text, given as numbers of words."""
+        self._score()
         lengths = np.array([len(w) for w in texts], np.int64)
         order = np.argsort(-lengths, kind="stable")
         order = order[lengths[order] > 0]
-        out = [np.zeros((0, self.scores.shape[1]))] * len(texts)
+        out = [np.zeros((0, self.scores.shape[1]), np.float32)] * len(texts)
         if len(order):
-            ids = np.fromiter((known[w] for i in order for w in texts[i]), np.int64, int(lengths[order].sum()))
-            p = forward_backward(self.scores[ids].astype(np.float64), self.model.trans, lengths[order])
+            p = forward_backward(self.scores[np.concatenate([texts[i] for i in order])], self.model.trans.astype(np.float32), lengths[order])
             for i, part in zip(order, np.split(p, np.cumsum(lengths[order])[:-1])):
                 out[i] = part
+        if len(self.number) > self.spec.remembered:
+            self._forget()
         return out
 
+    def pieces(self, texts, split):
+        """``split`` turns a text into words and anything to keep with them; yields (kept, probabilities) in order."""
+        kept, numbers, size = [], [], 0
+        for i, text in enumerate(texts):
+            words, keep = split(text)
+            kept.append(keep)
+            numbers.append(self.numbers(words))
+            size += len(text) if text else 0
+            if size > PIECE or i == len(texts) - 1:
+                yield from zip(kept, self.label(numbers))
+                kept, numbers, size = [], [], 0
+
 
 def predict(docs: DataFrame, model: Model | None, spec: CrfSpec = CrfSpec()) -> DataFrame:
     """``doc_id, lang_pred, score``: the language with the largest mean probability over the words of a text."""
@@ -298,9 +322,9 @@ def predict(docs: DataFrame, model: Model | None, spec: CrfSpec = CrfSpec()) ->
 
     def label(batches):
         labeller = Labeller(shared.value, spec)
-        for batch in each_row(batches):
+        for batch in batches:
             names, scores = [], []
-            for p in labeller.batch([words_of(t) for t in batch["text"]]):
+            for _, p in labeller.pieces(batch["text"].tolist(), lambda t: (words_of(t), None)):
                 mean = p.mean(axis=0) if len(p) else None
                 best = int(mean.argmax()) if len(p) else -1
                 names.append(shared.value.languages[best] if len(p) else "und")
@@ -315,12 +339,15 @@ def label_words(docs: DataFrame, model: Model, spec: CrfSpec = CrfSpec()) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(model)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
+    def found(text):
+        words = [m for m in _WORDS.finditer(text or "") if has_letter(m.group())]
+        return [m.group().lower() for m in words], words
+
     def runs(batches):
         labeller = Labeller(shared.value, spec)
-        for batch in each_row(batches):
-            found = [[m for m in _WORDS.finditer(t) if has_letter(m.group())] if t else [] for t in batch["text"]]
+        for batch in batches:
             rows = []
-            for doc, spans, p in zip(batch["doc_id"], found, labeller.batch([[m.group().lower() for m in s] for s in found])):
+            for doc, (spans, p) in zip(batch["doc_id"], labeller.pieces(batch["text"].tolist(), found)):
                 best = p.argmax(axis=1)
                 cuts = np.flatnonzero(np.diff(best)) + 1
                 for part in np.split(np.arange(len(best)), cuts):
