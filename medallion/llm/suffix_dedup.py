@@ -16,7 +16,7 @@ removed. Strings do not cross documents.
    prefix. What is left after ``length`` rounds are the repeated intervals. No suffix is sorted again.
 5. In each interval the earliest string stays and the others' bytes are removed.
 
-A range of anchors holds about ``range_bytes``. An anchor whose distinct contexts alone are more (the border of a passage that
+A range of anchors holds about ``range_bytes``. An anchor whose distinct contexts alone are more than ``anchor_bytes`` (the border of a passage that
 very many documents share) is not merged in one task: its strings are dealt out one by one and equal ones met by an
 aggregate, which gives the same result.
 
@@ -43,9 +43,11 @@ NULL_ID = -(2**63)
 @dataclass(frozen=True)
 class DedupSpec:
     length: int = 100
-    gram: int = 24
+    gram: int = 40
     shards: int = 4
-    range_bytes: int = 4 << 20
+    range_bytes: int = 1 << 20
+    #: Distinct contexts of one anchor that one task merges at most.
+    anchor_bytes: int = 4 << 20
 
     @property
     def span(self) -> int:
@@ -129,8 +131,8 @@ def transform(strings: list[bytes]) -> np.ndarray:
 def predecessors(bwt: np.ndarray) -> np.ndarray:
     """Row of the suffix one symbol longer, for every row; rows with an end mark as symbol lead nowhere (-1)."""
     order = np.argsort(bwt, kind="stable")
-    out = np.empty(len(bwt), np.int64)
-    out[order] = np.arange(len(bwt))
+    out = np.empty(len(bwt), np.int32)
+    out[order] = np.arange(len(bwt), dtype=np.int32)
     out[bwt == 0] = -1
     return out
 
@@ -141,19 +143,25 @@ def repeated_intervals(bwts: list[np.ndarray], depth: int) -> tuple[np.ndarray,
     bwt = np.concatenate(bwts)
     base = np.cumsum([0, *map(len, bwts)])
     back = np.concatenate([np.where((p := predecessors(b)) >= 0, p + base[i], -1) for i, b in enumerate(bwts)])
-    rows = np.arange(len(bwt))
-    block = np.zeros(len(bwt), np.int64)
+    back = back.astype(np.int32)
+    rows = np.arange(len(bwt), dtype=np.int32)
+    block = np.zeros(len(bwt), np.int32)
     for _ in range(depth):
         symbol = bwt[rows]
         go = symbol > 0
-        rows, symbol, block = rows[go], symbol[go], block[go]
-        order = np.argsort(symbol, kind="stable")
-        rows, symbol, block = back[rows[order]], symbol[order], block[order]
+        if not go.all():
+            rows, symbol, block = rows[go], symbol[go], block[go]
         if not len(rows):
             break
-        opens = np.concatenate(([True], (np.diff(symbol.astype(np.int64)) != 0) | (np.diff(block) != 0)))
-        alone = opens & np.append(opens[1:], True)
-        rows, block = rows[~alone], np.cumsum(opens)[~alone]
+        symbol = (symbol - 1).astype(np.uint8)
+        order = np.argsort(symbol, kind="stable")
+        rows, symbol, block = back[rows[order]], symbol[order], block[order]
+        opens = np.ones(len(rows) + 1, bool)
+        opens[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        stay = ~(opens[:-1] & opens[1:])
+        block = np.cumsum(opens[:-1], dtype=np.int32)
+        if not stay.all():
+            rows, block = rows[stay], block[stay]
     return rows, block
 
 
@@ -163,7 +171,7 @@ def places(bwts: list[np.ndarray], lengths: list[np.ndarray]) -> tuple[np.ndarra
     owners, offsets = [], []
     for bwt, size in zip(bwts, lengths):
         back = predecessors(bwt)
-        owner, offset = np.empty(len(bwt), np.int64), np.empty(len(bwt), np.int64)
+        owner, offset = np.empty(len(bwt), np.int32), np.empty(len(bwt), np.int32)
         rows, live = np.arange(len(size)), np.arange(len(size))
         step = 0
         while len(live):
@@ -270,8 +278,8 @@ def repeats(docs: DataFrame, spec: DedupSpec = DedupSpec()) -> DataFrame:
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     ranges = max(1, -(-total // spec.range_bytes))
     some = firsts.drop("digest").join(sizes, "h")
-    merged = _merged(some.where(F.col("bytes") <= spec.range_bytes), ranges, spec)
-    single = _single(some.where(F.col("bytes") > spec.range_bytes), spec)
+    merged = _merged(some.where(F.col("bytes") <= spec.anchor_bytes), ranges, spec)
+    single = _single(some.where(F.col("bytes") > spec.anchor_bytes), spec)
     whole = copies.select("id", "tie", F.lit(0).alias("lo"), (F.col("n") - spec.length).cast("int").alias("hi"))
     return same.unionByName(merged).unionByName(single).unionByName(whole)
 
