@@ -6,12 +6,15 @@ How it runs:
    broadcast; it only decides the *order* of shingles (rare first, then by hash), and any common order gives the
    same links. Where the corpus has far more shingles than counters, rare shingles share a level and only frequent
    ones are told apart, which is what keeps them out of the prefixes.
-2. Documents with equal shingle sets become one class, represented by its smallest id. Only representatives go on.
-3. Prefix shingles of representatives meet in one exchange. Those that occur once are dropped in place, and
-   neighbours in size order become the first candidates.
-4. Candidates that pass the length, positional and suffix filters are verified on their whole sets, and linked.
-5. Prefix shingles are joined again, now between different components only: a group of thousands of near copies,
-   already one component, makes no pairs with itself. Pairs verified before are not verified again.
+2. Prefix shingles of all documents meet in one exchange; those that occur once are dropped in place. Documents with
+   equal shingle sets form one class, represented by its smallest id; only representatives go on.
+3. In the list of each prefix shingle, documents are ordered by its position in them (the least edited of a group of near
+   copies comes first) and every document is a candidate with the first few and with the one before it.
+4. Candidates that pass the length, positional and suffix filters are verified on their whole sets, and linked. The suffix
+   filter bounds the difference of two whole sets from below by the parities of 512 parts of them by hash.
+5. Prefix shingles are joined again, now between different components only and with all filters in the join's condition: a
+   group of thousands of near copies, already one component, makes no pairs with itself. Pairs verified before are
+   not verified again.
 
 Nulls and edges: a null or wordless text has an empty set and links with nothing; a row without id takes its class's
 component (null if the whole class has no id); repeated rows and ids are kept, one result row per input row, and
@@ -30,7 +33,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medallion.llm.common import components, each_row, id_bitmap, may_hold, packed_chunks, saved, shingle_set, summed_cells
 
-HIST = 16
+#: Words of 64 parity bits.
+PARITY = 8
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,7 @@ def shingle_order(docs: DataFrame, spec: JoinSpec) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
-    """Per row: set size, a 128-bit digest of the set, its rarest shingles in order, and counts by hash value."""
+    """Per row: set size, a 128-bit digest of the set, its rarest shingles in order, and the parities of its parts by hash."""
     shift = np.uint64(64 - spec.order_cells.bit_length() + 1)
 
     def cut(batches):
@@ -72,18 +76,19 @@ def prefixes(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 s = shingle_set(text, spec.size)
                 n = len(s)
-                first = hist = digest = None
+                first = parity = digest = None
                 if n:
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     order = np.lexsort((s, levels.value[(s >> shift).astype(np.int64)]))
                     first = s[order[: spec.prefix(n)]].view(np.int64)
-                    hist = np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=HIST).astype(np.int32)
-                rows.append((doc, n, digest, first, hist))
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "first", "hist"])
+                    odd = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY) & 1
+                    parity = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                rows.append((doc, n, digest, first, parity))
+            out = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "first", "parity"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInPandas(
-        cut, "doc_id long, n long, digest binary, first array<long>, hist array<int>"
+        cut, "doc_id long, n long, digest binary, first array<long>, parity array<long>"
     )
 
 
@@ -99,43 +104,48 @@ def fits(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Colu
     return length & (most >= needed(na, nb, spec))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
-    """The distinct pairs ``(a, b)`` of representatives that link. Sets are made again from the whole texts, only for
-    documents that a fixed-size bitmap of candidate ids lets through."""
-    slim = classes.select("rep", "n", "hist", "digest")
-    left = slim.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("hist").alias("ha"))
-    right = slim.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("hist").alias("hb"))
-    apart = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    kept = pairs.join(left, "a").join(right, "b").where(apart <= F.col("na") + F.col("nb") - 2 * needed(F.col("na"), F.col("nb"), spec))
-    kept = saved(kept.select("a", "b").distinct(), "candidates")
-    ids = kept.select(F.col("a").alias("rep")).union(kept.select("b")).distinct()
+def alike(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Column:
+    """Suffix filter: parts of odd difference are no more than the sets may differ by."""
+    apart = sum((F.bit_count(pa[i].bitwiseXOR(pb[i])) for i in range(PARITY)), F.lit(0))
+    return apart <= na + nb - 2 * needed(na, nb, spec)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """The pairs ``(a, b)`` that link. Sets are made again from the whole texts, only for documents that a fixed-size
+    bitmap of candidate ids lets through; 48 bits of each shingle's hash are compared."""
+    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     held = id_bitmap(ids, "rep")
 
     def sets(batches):
         for batch in each_row(batches):
-            known = batch["doc_id"].notna() & batch["text"].notna()
-            batch = batch[known]
+            batch = batch[batch["doc_id"].notna() & batch["text"].notna()]
             batch = batch[may_hold(held.value, batch["doc_id"].to_numpy(np.int64))] if len(batch) else batch
-            made = [shingle_set(t, spec.size) for t in batch["text"]]
-            yield pd.DataFrame({"rep": batch["doc_id"].astype("int64").to_numpy(), "tokens": [s.tobytes() for s in made]})
+            made = [shingle_set(t, spec.size) >> np.uint64(16) for t in batch["text"]]
+            blobs = [s.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in made]
+            yield pd.DataFrame({"rep": batch["doc_id"].astype("int64").to_numpy(), "tokens": blobs})
 
     whole = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sets, "rep long, tokens binary").where(F.length("tokens") > 0)
     whole = saved(whole.join(ids, "rep", "left_semi"), "sets")
     one = whole.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
     two = whole.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
 
+    def unpacked(data: bytes) -> np.ndarray:
+        out = np.zeros((len(data) // 6, 8), np.uint8)
+        out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+        return out.view(np.uint64).ravel()
+
     def test(batches):
         for batch in batches:
             ok = []
             for ta, tb in zip(batch["ta"], batch["tb"]):
-                x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
+                x, y = unpacked(ta), unpacked(tb)
                 small, big = (x, y) if len(x) <= len(y) else (y, x)
                 at = np.minimum(np.searchsorted(big, small), len(big) - 1)
                 both = int((big[at] == small).sum())
                 ok.append(100 * both >= spec.percent * (len(x) + len(y) - both))
             yield batch.loc[np.array(ok, bool), ["a", "b"]]
 
-    return kept.join(one, "a").join(two, "b").mapInPandas(test, "a long, b long").distinct()
+    return pairs.join(one, "a").join(two, "b").mapInPandas(test, "a long, b long").distinct()
 
 
 @dataclass(frozen=True)
@@ -153,40 +163,66 @@ class JoinResult:
         return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+#: First documents of a shingle's list that all others of the list are compared with.
+LEADERS = 4
+
+
+def _met(tokens: DataFrame) -> DataFrame:
+    """Rows whose shingle has another row."""
+    near = Window.partitionBy("token").orderBy("pos", "rep")
+    seen = tokens.withColumns({"__a": F.lag("rep").over(near), "__b": F.lead("rep").over(near)})
+    return seen.where("__a is not null or __b is not null").drop("__a", "__b")
+
+
+def _first_pairs(shared: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Every document with the leaders of the lists it is in and with its neighbour there."""
+    near = Window.partitionBy("token").orderBy("pos", "rep")
+    so_far = near.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    me = F.struct("rep", "n", "pos")
+    others = F.array(*[F.nth_value(me, i).over(so_far) for i in range(1, LEADERS + 1)], F.lag(me).over(near))
+    rows = shared.withColumn("others", others)
+    good = F.filter("others", lambda o: o.isNotNull() & (o["rep"] != F.col("rep")) & fits(F.col("n"), F.col("pos"), o["n"], o["pos"], spec))
+    rows = rows.select("rep", F.array_distinct(F.transform(good, lambda o: o["rep"])).alias("others")).where(F.size("others") > 0)
+    found = rows.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    pairs = found.select("rep", F.explode("others").alias("other"))
+    return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
 def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     """Join ``docs(doc_id, text, ...)`` with itself; see the module's text."""
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(shingle_order(docs, spec))
     cut = saved(prefixes(docs, levels, spec), "prefixes")
-
     reps = cut.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     rows = saved(cut.select("doc_id", "n", "digest").join(reps, "digest", "left").select("doc_id", "n", "rep"), "members")
-    classes = cut.where("n > 0").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    classes = classes.dropDuplicates(["doc_id", "digest"])  # repeated rows; on the join's own partitions
-    classes = classes.withColumnRenamed("doc_id", "rep")
-
-    tokens = classes.select("rep", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("pos", "token"))
-    near = Window.partitionBy("token").orderBy("n", "rep")
-    seen = tokens.select(
-        "token", "rep", "n", "pos", F.lag("rep").over(near).alias("rep0"), F.lag("n").over(near).alias("n0"),
-        F.lag("pos").over(near).alias("pos0"), F.lead("rep").over(near).alias("rep1"),
-    )
-    shared = saved(seen.where("rep0 is not null or rep1 is not null").drop("rep1"), "shared")
 
-    first = shared.where("rep0 is not null and rep0 != rep").where(fits(F.col("n"), F.col("pos"), F.col("n0"), F.col("pos0"), spec))
-    first = saved(first.select(F.least("rep", "rep0").alias("a"), F.greatest("rep", "rep0").alias("b")).distinct(), "tried")
-    links = saved(verified(first, classes, docs, spec), "links")
+    tokens = cut.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("pos", "token"))
+    shared = saved(_met(tokens), "shared")
+    own = rows.where("doc_id = rep").select("rep").distinct()
+    shared = shared.join(own, "rep", "left_semi").repartition("token").dropDuplicates(["token", "rep", "n", "pos"])  # repeated rows
+    shared = saved(_met(shared), "shared")
+    members = shared.select("rep").distinct()
+    profiles = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), "parity")
+    profiles = saved(profiles.join(members, "rep", "left_semi").distinct(), "profiles")
+
+    tried = _first_pairs(shared, spec)
+    one = profiles.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    two = profiles.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    tried = tried.join(one, "a").join(two, "b").where(alike(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), spec)).select("a", "b").distinct()
+    tried = saved(tried, "tried")
+    links = saved(verified(tried, docs, spec), "links")
     labels = saved(components(links), "labels")
 
-    named = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("group"))
+    named = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
     mixed = named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
-    named = named.join(mixed, "token", "left_semi")
-    a, b = named.alias("a"), named.alias("b")
+    named = saved(named.join(mixed, "token", "left_semi").select("token", "rep", "n", "pos", "group"), "mixed")
+    full = named.join(profiles.select("rep", "n", "parity"), ["rep", "n"])
+    a, b = full.alias("a"), full.alias("b")
     both = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.group") != F.col("b.group"))
-                  & fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), spec))
-    more = both.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    late = saved(verified(more, classes, docs, spec), "links")
-    links = links.union(late)
+                  & fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), spec)
+                  & alike(F.col("a.n"), F.col("a.parity"), F.col("b.n"), F.col("b.parity"), spec))
+    late = both.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    links = links.union(saved(verified(saved(late, "late"), docs, spec), "links"))
     return JoinResult(rows, links, saved(components(links), "labels"))
 
 
