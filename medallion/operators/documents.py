@@ -85,6 +85,17 @@ def _extract(df: DataFrame, field: Field, text: bool, many: str) -> Column:
     return F.coalesce(c.cast("string"), F.lit("")) if text else c
 
 
+def as_text(kind: T.DataType | str) -> T.DataType:
+    """The same nested type with text in place of every plain value."""
+    if isinstance(kind, str):
+        kind = T._parse_datatype_string(kind)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(as_text(kind.elementType))
+    return T.StringType()
+
+
 def decode_json(df: DataFrame, schema: T.StructType | str | None, value: str = "value", output: str = "document", valid: str = "valid") -> DataFrame:
     """Decode a JSON message, text or UTF-8 bytes, and tell whether it is a readable object.
 

@@ -34,6 +34,8 @@ def hash_split(df: DataFrame, test_percent: int = 20, seed: int = 42, key: list[
     ``exact=True`` takes ``ceil(n * percent / 100)`` rows for the test, to within the rows that share
     the hash at the edge, by looking up that hash instead of sorting.
     """
+    if test_percent != int(test_percent):
+        raise ValueError("test_percent must be a whole number")
     if not 0 < test_percent < 100:
         raise ValueError("test_percent must be between 0 and 100")
     identity = row_key(df, key)
@@ -179,6 +181,16 @@ class NumericScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWr
         )
 
 
+class LimitedIndexer(StringIndexer):
+    """A StringIndexer that measures its columns before it gathers their values on the driver."""
+
+    limit = MAX_CATEGORIES
+
+    def _fit(self, dataset):
+        check_cardinality(dataset, self.getInputCols(), self.limit)
+        return super()._fit(dataset)
+
+
 def check_cardinality(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> None:
     """Refuse to one-hot encode columns whose distinct values would not fit in an encoder.
 
@@ -186,7 +198,7 @@ def check_cardinality(df: DataFrame, columns: list[str], limit: int = MAX_CATEGO
     """
     if not columns:
         return
-    counts = df.agg(*[F.approx_count_distinct(quoted(resolve(df, c))).alias(f"a{i}") for i, c in enumerate(columns)]).first()
+    counts = df.agg(*[F.count_distinct(quoted(resolve(df, c))).alias(f"a{i}") for i, c in enumerate(columns)]).first()
     large = {c: n for c, n in zip(columns, counts) if n > limit}
     if large:
         raise ValueError(f"too many categories to one-hot encode (limit {limit}): {large}; drop them or use encoding='hash'")
@@ -201,6 +213,7 @@ def build_preprocessor(
     ddof: int = 0,
     encoding: str = "onehot",
     hash_features: int = 1 << 12,
+    max_categories: int = MAX_CATEGORIES,
     output: str = "features",
 ) -> Pipeline:
     """An unfitted pipeline from columns to a feature vector.
@@ -213,6 +226,8 @@ def build_preprocessor(
         raise ValueError(f"unknown scope {scope!r}")
     if encoding not in ("onehot", "hash"):
         raise ValueError(f"unknown encoding {encoding!r}")
+    if median not in ("exact", "approx"):
+        raise ValueError(f"unknown median {median!r}; use 'exact' or 'approx'")
     stages, parts = [], []
     if numeric:
         filled, scaled = [f"{c}__filled" for c in numeric], [f"{c}__scaled" for c in numeric]
@@ -226,7 +241,9 @@ def build_preprocessor(
         stages.append(ModeImputer(inputCols=categorical, outputCols=known))
         if encoding == "onehot":
             index, onehot = [f"{c}__index" for c in categorical], [f"{c}__onehot" for c in categorical]
-            stages.append(StringIndexer(inputCols=known, outputCols=index, handleInvalid="keep"))
+            indexer = LimitedIndexer(inputCols=known, outputCols=index, handleInvalid="keep")
+            indexer.limit = max_categories
+            stages.append(indexer)
             # The last index is the one of unseen values; dropping it leaves zeros.
             stages.append(OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=True))
             parts += onehot

@@ -92,12 +92,12 @@ def auc_roc(df: DataFrame, label: str, score: Column | str, rows_per_range: int
     """One row: the exact area under the ROC curve, tied scores counted half.
 
     Scores are first reduced to one row per distinct value, so ties of any size cost nothing; the
-    ranks then come from running totals over ranges of scores.
+    ranks then come from running totals over ranges of scores. A NaN score is left out like a null one.
     """
     y = quoted(resolve(df, label))
     s = quoted(resolve(df, score)) if isinstance(score, str) else score
     scored = df.select(s.cast("double").alias("s"), (y == 1).cast("bigint").alias("pos"), (y != 1).cast("bigint").alias("neg"))
-    scored = scored.where("s IS NOT NULL AND pos IS NOT NULL")
+    scored = scored.where("s IS NOT NULL AND NOT isnan(s) AND pos IS NOT NULL")
     splits = range_splits(scored, "s", scored.count(), rows_per_range)
     distinct = scored.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     ranked = running_total(distinct, scored, "s", "neg", "below", splits)

@@ -8,13 +8,14 @@ from contextlib import contextmanager, nullcontext
 import pandas as pd
 from pyspark import StorageLevel, cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from medallion.functions.columns import quoted, require_absent, resolve
-from medallion.operators.features import MAX_CATEGORIES, build_preprocessor, check_cardinality, feature_columns
+from medallion.operators.features import MAX_CATEGORIES, build_preprocessor, feature_columns
 
 ESTIMATORS = {
     "linear_regression": LinearRegression,
@@ -22,6 +23,8 @@ ESTIMATORS = {
     "random_forest_classifier": RandomForestClassifier,
 }
 MAX_MODEL_BYTES = 256 << 20
+#: A forest depends on how rows are dealt out, so the number of pieces does not follow the cluster.
+TRAIN_PARTITIONS = 32
 
 
 def make_estimator(name: str, **params):
@@ -51,6 +54,7 @@ def train_model(
     exclude: list[str] | None = None,
     encoding: str = "onehot",
     max_categories: int = MAX_CATEGORIES,
+    partitions: int = TRAIN_PARTITIONS,
     cache: bool = True,
     **preprocessing,
 ) -> PipelineModel:
@@ -65,31 +69,26 @@ def train_model(
     estimator = estimator.copy()
     estimator.setFeaturesCol("features")
     estimator.setLabelCol(target)
-    prepare = build_preprocessor(numeric, text, encoding=encoding, **preprocessing)
+    prepare = build_preprocessor(numeric, text, encoding=encoding, max_categories=max_categories, **preprocessing)
+    rows = rows.repartition(partitions)
     with _cached(rows) if cache else nullcontext(rows) as rows:
-        if encoding == "onehot":
-            check_cardinality(rows, text, max_categories)
         return Pipeline(stages=[*prepare.getStages(), estimator]).fit(rows)
 
 
 @contextmanager
 def _cached(df: DataFrame) -> Iterator[DataFrame]:
-    """The rows cached, and dealt out to all cores if they came in fewer pieces than that."""
-    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)]
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if kept[0].rdd.getNumPartitions() < cores:
-            kept.append(kept[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
-        yield kept[-1]
+        yield kept
     finally:
-        for frame in kept:
-            frame.unpersist()
+        kept.unpersist()
 
 
-def score(df: DataFrame, model: PipelineModel, output: str = "predictions") -> DataFrame:
-    """Append the prediction to the input columns."""
-    require_absent(df, output, "prediction")
-    return model.transform(df).select(*[quoted(c) for c in df.columns], F.col("prediction").alias(output))
+def score(df: DataFrame, model: PipelineModel, output: str = "predictions", raw: str | None = None) -> DataFrame:
+    """Append the prediction to the input columns; with ``raw``, a binary classifier's score of class 1 under that name."""
+    require_absent(df, output, "prediction", *([raw] if raw else []))
+    more = [vector_to_array("rawPrediction")[1].alias(raw)] if raw else []
+    return model.transform(df).select(*[quoted(c) for c in df.columns], F.col("prediction").alias(output), *more)
 
 
 def score_python_model(

@@ -19,7 +19,9 @@ from medallion.functions.columns import number_or_null, resolve
 
 BUCKETS = 8192
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 2048
+MIN_RANGES = 8
+#: Cuts found in one pass over all rows; further ones are found inside these.
+COARSE_RANGES = 1024
 WIDE = 2.0**53
 
 
@@ -169,17 +171,24 @@ def approx_quantiles(df: DataFrame, columns: list[str], probabilities: list[floa
 
 
 def range_splits(df: DataFrame, column: str, rows: int, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Cut points that divide the values of a column into ranges; none when one range is enough.
+    """Cut points that divide the values of a column into ranges, at least one.
 
     ``rows`` is the size of ``df``. The points are approximate quantiles, so a range holds about
-    ``rows_per_range`` rows or a single value, more only once there are ``MAX_RANGES`` of them.
+    ``rows_per_range`` rows or a single value. Where that takes more ranges than one pass finds well,
+    each coarse range is cut again, all in one aggregate.
     """
-    parts = min(MAX_RANGES, math.ceil(rows / rows_per_range))
-    if parts <= 1:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    cuts = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", shares, 1 / (2 * parts))
-    return sorted({c for c in cuts if math.isfinite(c)})
+    wanted = max(MIN_RANGES, math.ceil(rows / rows_per_range))
+    parts = min(COARSE_RANGES, wanted)
+    values = df.select(F.col(column).cast("double").alias("x"))
+    found = values.approxQuantile("x", [i / parts for i in range(1, parts)], 1 / (2 * parts))
+    cuts = sorted({c for c in found if math.isfinite(c)}) or [0.0]
+    inner = math.ceil(wanted / parts)
+    if inner > 1:
+        shares = [i / inner for i in range(1, inner)]
+        fine = add_range(values.where("x IS NOT NULL AND NOT isnan(x)"), "x", cuts).groupBy("range")
+        rows_ = fine.agg(F.percentile_approx("x", shares, 4 * inner).alias("cuts")).collect()
+        cuts = sorted({*cuts, *(c for r in rows_ for c in r.cuts if math.isfinite(c))})
+    return cuts
 
 
 def add_range(df: DataFrame, column: str, splits: list[float], output: str = "range") -> DataFrame:
@@ -195,13 +204,10 @@ def neighbours(distinct: DataFrame, rows: DataFrame, value: str, partition: str,
     ``distinct`` holds each value of ``rows`` once per partition. Each range looks inside itself; only
     the ends of the ranges, taken from ``rows``, are compared with the other ranges.
     """
-    if not splits:
-        order = Window.partitionBy(partition).orderBy(value)
-        return distinct.withColumns({"previous": F.lag(value).over(order), "next": F.lead(value).over(order)})
     ranged = add_range(distinct, value, splits)
     inside = Window.partitionBy(partition, "range").orderBy(value)
     ends = add_range(rows, value, splits).groupBy(partition, "range").agg(F.min(value).alias("__first"), F.max(value).alias("__last"))
-    # One row per range, at most MAX_RANGES for a partition.
+    # One row per range.
     across = Window.partitionBy(partition).orderBy("range")
     ends = ends.select(
         partition,
@@ -211,7 +217,7 @@ def neighbours(distinct: DataFrame, rows: DataFrame, value: str, partition: str,
     )
     return (
         ranged.withColumns({"previous": F.lag(value).over(inside), "next": F.lead(value).over(inside)})
-        .join(F.broadcast(ends), [partition, "range"])
+        .join(ends, [partition, "range"])
         .withColumns({"previous": F.coalesce("previous", "__before"), "next": F.coalesce("next", "__after")})
         .drop("range", "__before", "__after")
     )
@@ -223,18 +229,15 @@ def running_total(distinct: DataFrame, rows: DataFrame, order: str, amount: str,
     ``distinct`` holds the amounts of ``rows`` summed per value. Each range adds up inside itself, on
     top of the totals of the ranges below, taken from ``rows``.
     """
-    if not splits:
-        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return distinct.withColumn(output, F.coalesce(F.sum(amount).over(before), F.lit(0)))
     ranged = add_range(distinct, order, splits)
     before = Window.partitionBy("range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range, at most MAX_RANGES in all.
+    # One row per range.
     across = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = add_range(rows, order, splits).groupBy("range").agg(F.sum(amount).alias("__total"))
     totals = totals.select("range", F.coalesce(F.sum("__total").over(across), F.lit(0)).alias("__base"))
     return (
         ranged.withColumn(output, F.coalesce(F.sum(amount).over(before), F.lit(0)))
-        .join(F.broadcast(totals), "range")
+        .join(totals, "range")
         .withColumn(output, F.col(output) + F.col("__base"))
         .drop("range", "__base")
     )

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from medallion.functions.columns import INTEGRAL, not_nan, quoted, require_absent, resolve
+from medallion.functions.columns import INTEGRAL, is_floating, not_nan, quoted, require_absent, resolve
 from medallion.operators.ordering import ROWS_PER_RANGE, approx_quantiles, exact_quantiles, neighbours, range_splits
 
 METHODS = ("clamp", "median", "cap", "neighbor")
@@ -54,6 +55,8 @@ def fit_fences(
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; use one of {METHODS}")
+    if quantiles not in ("exact", "approx"):
+        raise ValueError(f"unknown quantiles {quantiles!r}; use 'exact' or 'approx'")
     columns = [resolve(df, c) for c in columns]
     if isinstance(bounds, dict):
         bounds = {resolve(df, c): b for c, b in bounds.items()}
@@ -165,6 +168,13 @@ def replace_by_neighbour(
     require_absent(df, "__changes")
     if set(key) & {resolve(df, f.column) for f in fences}:
         raise ValueError("key columns cannot be treated themselves")
+    # Whole and decimal numbers keep all their digits; a double is enough for the others.
+    floating = [f for f in fences if is_floating(df, resolve(df, f.column))]
+    exact = [f for f in fences if f not in floating]
+    if floating and exact:
+        return replace_by_neighbour(replace_by_neighbour(df, exact, key, rows_per_range), floating, key, rows_per_range)
+    scale = max((df.schema[resolve(df, f.column)].dataType.scale for f in exact if isinstance(df.schema[resolve(df, f.column)].dataType, T.DecimalType)), default=0)
+    kind = "double" if floating else f"decimal(38,{scale})"
     # Neighbours are sought among these rows, so the edges are theirs, not those of the fitting data.
     fences = fit_edges(df, fences)
     flags = [F.coalesce(is_outlier(df, f), F.lit(False)) for f in fences]
@@ -173,20 +183,21 @@ def replace_by_neighbour(
         return df
     any_outlier = reduce(or_, [is_outlier(df, f) for f in fences])
     dirty = df.where(any_outlier)
+    _require_keys(dirty, key)
 
     # A plain number as key is combined by hashing, a struct by sorting.
     identity = quoted(key[0]) if len(key) == 1 else F.struct(*[quoted(k) for k in key])
     hits = [
-        F.when(flag, F.struct(F.lit(t).alias("t"), quoted(resolve(df, f.column)).cast("double").alias("x")))
+        F.when(flag, F.struct(F.lit(t).alias("t"), quoted(resolve(df, f.column)).cast(kind).alias("x")))
         for t, (f, flag) in enumerate(zip(fences, flags))
     ]
     outliers = dirty.select(identity.alias("key"), F.explode(F.array(*hits)).alias("h")).where("h IS NOT NULL")
     outliers = outliers.select("key", "h.t", "h.x")
     splits = range_splits(outliers, "x", rows, rows_per_range)
     distinct = outliers.groupBy("t", "x").agg(F.min("key").alias("key"), F.count("*").alias("n"))
-    edges = {(t, float(v)) for t, f in enumerate(fences) for v in (f.low, f.high) if v is not None}
+    edges = {(t, float(v) if floating else Decimal(v)) for t, f in enumerate(fences) for v in (f.low, f.high) if v is not None}
     if edges:
-        inner = df.sparkSession.createDataFrame(sorted(edges), "t int, x double")
+        inner = df.sparkSession.createDataFrame(sorted(edges), f"t int, x {kind}")
         distinct, outliers = (d.unionByName(inner, allowMissingColumns=True) for d in (distinct, outliers))
     names = [F.col("key").alias(key[0])] if len(key) == 1 else ["key.*"]
     after = F.when(F.col("n") > 1, F.col("x")).otherwise(F.col("next"))
@@ -211,6 +222,17 @@ def replace_by_neighbour(
     return df.where(~F.coalesce(any_outlier, F.lit(False))).unionByName(fixed)
 
 
+def _require_keys(rows: DataFrame, key: list[str]) -> None:
+    """The key must name each of the rows."""
+    missing = reduce(or_, [quoted(k).isNull() for k in key])
+    found = rows.groupBy(*[quoted(k) for k in key]).agg(F.count("*").alias("__n"), F.max(missing).alias("__null"))
+    worst = found.agg(F.max("__n"), F.max("__null")).first()
+    if worst[1]:
+        raise ValueError(f"key columns {key} are null in rows with outliers")
+    if (worst[0] or 0) > 1:
+        raise ValueError(f"key columns {key} are not unique among rows with outliers")
+
+
 def fences_to_frame(spark: SparkSession, fences: list[Fence]) -> DataFrame:
     """Fences as a small table, to be stored beside a model."""
     rows = [(f.column, f.lower, f.upper, f.low, f.high, f.median, f.outliers) for f in fences]

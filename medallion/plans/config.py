@@ -42,6 +42,8 @@ class DocumentConfig:
     source_options: dict = field(default_factory=dict)
     array_file: bool = False
     repeated: str = "last"
+    #: Where lines that are no documents go; beside the destination unless given.
+    rejects: str | None = None
 
 
 @dataclass

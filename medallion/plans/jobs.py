@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from contextlib import nullcontext
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from medallion.functions.columns import quoted, resolve
 from medallion.operators.clean import cast_columns, derive_columns, drop_columns
-from medallion.operators.documents import PATIENT_SCHEMA, PATIENT_SPEC, flatten
+from medallion.operators.documents import PATIENT_SCHEMA, PATIENT_SPEC, as_text, decode_json, flatten, quarantine, valid_documents
 from medallion.operators.features import hash_split
-from medallion.operators.metrics import classification_metrics, regression_metrics
+from medallion.operators.metrics import auc_roc, binary_metrics, classification_metrics, regression_metrics
 from medallion.operators.models import load_model, make_estimator, save_model, score, train_model
 from medallion.operators.outliers import Fence, fences_from_frame, fences_to_frame, fit_fences, treat_outliers
 from medallion.operators.runs import best_run, log_run, read_runs
@@ -97,10 +98,19 @@ def transform_job(spark: SparkSession, config: TransformConfig, apply_stored: bo
 
 
 def extract_documents_job(spark: SparkSession, config: DocumentConfig) -> None:
-    """Nested patient documents to flat CSV."""
-    documents = read_documents(
-        spark, config.source, PATIENT_SCHEMA, fmt=config.source_format, array_file=config.array_file, **config.source_options
-    )
+    """Nested patient documents to flat CSV. Values keep their text, so an age of ``"51"`` or ``51.5`` stays as it is.
+
+    Of JSON lines, those that are no documents are kept as they came, in ``rejects``.
+    """
+    schema = as_text(PATIENT_SCHEMA)
+    if config.source_format == "json" and not config.array_file:
+        lines = spark.read.options(**config.source_options).text(config.source).where(F.trim("value") != "")
+        decoded = decode_json(lines, schema)
+        bad = quarantine(decoded)
+        write_if_any(bad, lambda df: df.write.mode("overwrite").text(config.rejects or f"{config.destination.rstrip('/')}.rejects"))
+        documents = valid_documents(decoded)
+    else:
+        documents = read_documents(spark, config.source, schema, fmt=config.source_format, array_file=config.array_file, **config.source_options)
     write_csv(flatten(documents, PATIENT_SPEC, many=config.repeated), config.destination, blank_empty=True)
 
 
@@ -110,6 +120,21 @@ def extract_relational_job(spark: SparkSession, config: RelationalConfig) -> boo
     return write_if_any(rows, lambda df: write_csv(df, config.destination, header=config.header))
 
 
+def evaluate(test: DataFrame, model, target: str, classifier: bool) -> dict[str, float]:
+    """Metrics on the test rows: of a classifier of 0 and 1 also AUC (from its own score), precision, recall and F1."""
+    if not classifier:
+        return regression_metrics(score(test, model), target, "predictions").first().asDict()
+    found = test.select(quoted(resolve(test, target)).alias("y")).where("y IS NOT NULL").agg(F.min("y"), F.max("y"), F.bool_and(F.col("y").isin(0, 1))).first()
+    if tuple(found) != (0, 1, True):
+        return classification_metrics(score(test, model), target, "predictions").first().asDict()
+    scored = score(test, model, raw="__score").persist()
+    try:
+        errors = classification_metrics(scored, target, "predictions").first().asDict()
+        return errors | binary_metrics(scored, target, "predictions").first().asDict() | auc_roc(scored, target, "__score").first().asDict()
+    finally:
+        scored.unpersist()
+
+
 def train_job(spark: SparkSession, config: TrainConfig) -> tuple[str, dict[str, float]]:
     """Split, fit on the training rows, evaluate on the others, store the model, record the run."""
     df = _load(spark, config.source, config.source_format, config.source_options)
@@ -117,9 +142,7 @@ def train_job(spark: SparkSession, config: TrainConfig) -> tuple[str, dict[str,
     estimator = make_estimator(config.estimator, **config.params)
     exclude = [*config.exclude, *(config.split_key or [])]
     model = train_model(train, estimator, config.target_feature, exclude=exclude, **config.preprocessing)
-    scored = score(test, model)
-    measure = classification_metrics if config.estimator.endswith("classifier") else regression_metrics
-    metrics = measure(scored, config.target_feature, "predictions").first().asDict()
+    metrics = evaluate(test, model, config.target_feature, config.estimator.endswith("classifier"))
     run_id = uuid.uuid4().hex
     path = f"{config.models.rstrip('/')}/{run_id}"
     save_model(model, path)

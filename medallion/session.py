@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -34,17 +36,25 @@ def build_session(app: str = "medallion", master: str | None = None, **conf: str
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Executors write there and other executors read it back, so a machine-local folder is accepted
-    only when the whole session runs on this machine.
+    Executors write there and other executors read it back; see ``local_scratch`` for trials on one machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="medallion-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def local_scratch(spark: SparkSession) -> None:
+    """Give a session that runs on this machine alone, and has no shared folder, one that is removed when Python ends."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    root = tempfile.mkdtemp(prefix="medallion-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(f"file://{root}")
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """The rows as a columnar table in the scratch folder, removed at the end.

@@ -10,8 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 from medallion.operators.documents import decode_json, quarantine, valid_documents
 from medallion.operators.ordering import order_statistics
 
-TOP_ROWS = 1000
-
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -77,39 +75,50 @@ def ingest_bounded(
     limit: int,
     order: list[str],
     value: str = "value",
-    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """The first ``limit`` readable messages in the given order, fewer when the input ends before.
 
-    ``order`` is a position, unique in the topic, or a partition and a position unique in it; both
-    numbers. Up to ``top_rows`` messages are found by keeping the first rows of every task. Beyond,
-    the position of the last one is looked up first, so that no task has to gather them.
+    ``order`` is a position, or a partition and a position in it; both numbers. The position of the last
+    message is looked up first, so that no task has to gather them. Exactly ``limit`` rows come out:
+    of messages that share the last position the smallest texts, and null positions and partitions
+    come last.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
     readable = decode_json(messages, schema, value).where("valid")
-    first = readable.orderBy(*order).limit(limit) if limit <= top_rows else _first(readable, limit, order)
-    return first.select(*order, *([F.col("document.*")] if schema is not None else ["document"]))
+    return _first(readable, limit, order, value).select(*order, *([F.col("document.*")] if schema is not None else ["document"]))
 
 
-def _first(rows: DataFrame, limit: int, order: list[str]) -> DataFrame:
+def _first(rows: DataFrame, limit: int, order: list[str], value: str) -> DataFrame:
     *group, position = order
     if len(group) > 1:
         raise ValueError("order takes a position, or a partition and a position")
     if not group:
-        cut = _position(rows, position, limit)
-        return rows if cut is None else rows.where(F.col(position) <= cut)
+        return _upto(rows, position, limit, value)
     # One row per partition of the topic.
     (name,) = group
-    for part in rows.groupBy(name).agg(F.count("*").alias("n")).orderBy(name).collect():
+    taken = rows.limit(0)
+    parts = rows.groupBy(name).agg(F.count("*").alias("n")).orderBy(F.col(name).asc_nulls_last()).collect()
+    whole = []
+    for part in parts:
+        here = rows.where(F.col(name).eqNullSafe(F.lit(part[name])))
         if limit <= part.n:
-            cut = _position(rows.where(F.col(name) == part[name]), position, limit)
-            return rows.where((F.col(name) < part[name]) | ((F.col(name) == part[name]) & (F.col(position) <= cut)))
+            taken = _upto(here, position, limit, value)
+            break
         limit -= part.n
-    return rows
+        whole.append(part[name])
+    if not whole:
+        return taken
+    known = F.col(name) <= max(p for p in whole if p is not None) if any(p is not None for p in whole) else F.lit(False)
+    return rows.where(known | F.col(name).isNull() if None in whole else known).unionByName(taken)
 
 
-def _position(rows: DataFrame, position: str, limit: int) -> int | None:
-    """The position of the last of ``limit`` rows; None when there are not that many."""
+def _upto(rows: DataFrame, position: str, limit: int, value: str) -> DataFrame:
+    """Rows below the position of the last of ``limit``, and as many at that position as are left."""
     n, found = order_statistics(rows, [position], lambda n: {limit - 1} if limit <= n else set())[position]
-    return int(found[limit - 1]) if limit <= n else None
+    if limit <= n:
+        cut = int(found[limit - 1])
+        below, at = rows.where(F.col(position) < cut), rows.where(F.col(position) == cut)
+    else:
+        below, at = rows.where(F.col(position).isNotNull()), rows.where(F.col(position).isNull())
+    return below.unionByName(at.orderBy(value).limit(limit - below.count()))

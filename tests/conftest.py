@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from medallion.session import build_session  # noqa: E402
+from medallion.session import build_session, local_scratch  # noqa: E402
 
 TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -21,5 +21,6 @@ def spark():
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
+    local_scratch(session)
     yield session
     session.stop()

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medallion.session import local_scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +18,11 @@ def query(sql: str | None = None):
     """Register a function under its name, with the SQL that gives the same rows."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            local_scratch(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = run
         if sql is not None:
             SQL[function.__name__] = sql
         return function
