@@ -1,0 +1,19 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests"), os.path.join(ROOT, "tests", "llm")]
+os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
+from llm_rows import DOCS, edge_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edges(spark):
+    return spark.createDataFrame(edge_rows(), DOCS)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
