@@ -205,9 +205,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def local_scratch(spark: SparkSession) -> None:
     """A scratch folder for a session on one machine that has none set, as in tests; removed when Python ends."""
     import atexit
+    import os
     import shutil
     import tempfile
 
+    if spark.sparkContext.master.split("[")[0] == "local":  # its Python workers find this package where the driver did
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        env = spark.sparkContext.environment
+        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
     if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return
     if spark.sparkContext.master.split("[")[0] != "local":

@@ -9,7 +9,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from medallion.llm import decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, quality_knn, suffix_dedup, temperature_mixing, winnowing
-from llm_rows import edge_rows, prose
+from medallion.llm.common import local_scratch
+from llm_rows import DOCS, edge_rows, prose
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    local_scratch(spark)
+    return spark.createDataFrame(edge_rows(), DOCS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
 
 
 # -- chat formatting
@@ -121,7 +133,8 @@ def test_passages_with_edits_are_found(spark, edges, none):
 # -- fixity
 
 
-def test_audit_finds_each_damage(spark):
+def test_audit_finds_each_damage(spark, none):
+    local_scratch(spark)
     rows = [(i % 3, (i // 3) * 100_000, f"record {i}") for i in range(300)]
     left = spark.createDataFrame(rows, "archive string, offset long, payload string")
     right = [(a, o, "changed" if p.endswith(" 7") else p) for a, o, p in rows if not p.endswith(" 8")] + [("9", 5, "new"), ("1", 0, "twin")]
