@@ -36,6 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """All queries and their SQL."""
-    from workload import cleaning, documents, files, learning, runs, streams  # noqa: F401
+    from workload import cleaning, documents, files, jobs, learning, runs, streams  # noqa: F401
 
     return QUERIES, SQL
