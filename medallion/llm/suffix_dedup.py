@@ -137,15 +137,18 @@ def predecessors(bwt: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_intervals(bwts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def repeated_intervals(bwts: list[np.ndarray], depth: int, offsets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Merge transforms: rows (numbered through all of them) whose suffixes share ``depth`` symbols with another's, and the
-    interval each belongs to. Rows of an interval are next to each other, in the order of the merged suffixes."""
+    interval each belongs to. Rows of an interval are next to each other, in the order of the merged suffixes.
+
+    Every round leads a row one place back in its string, so a row of an offset below ``depth`` leaves before the last
+    round. Where the ``offsets`` of the rows are given, such rows are left out from the start."""
     bwt = np.concatenate(bwts)
     base = np.cumsum([0, *map(len, bwts)])
     back = np.concatenate([np.where((p := predecessors(b)) >= 0, p + base[i], -1) for i, b in enumerate(bwts)])
     back = back.astype(np.int32)
-    rows = np.arange(len(bwt), dtype=np.int32)
-    block = np.zeros(len(bwt), np.int32)
+    rows = np.arange(len(bwt), dtype=np.int32) if offsets is None else np.flatnonzero(offsets >= depth).astype(np.int32)
+    block = np.zeros(len(rows), np.int32)
     for _ in range(depth):
         symbol = bwt[rows]
         go = symbol > 0
@@ -306,8 +309,8 @@ def _merged(some: DataFrame, ranges: int, spec: DedupSpec) -> DataFrame:
         rows = rows.sort_values("shard")
         bwts = [np.frombuffer(zlib.decompress(b), np.uint16) for b in rows["bwt"]]
         lengths = [np.asarray(s, np.int64) for s in rows["size"]]
-        at, block = repeated_intervals(bwts, spec.length)
         owner, offset = places(bwts, lengths)
+        at, block = repeated_intervals(bwts, spec.length, offset)
         owner, offset = owner[at], offset[at]
         ids, ties, los = (np.concatenate([np.asarray(x, np.int64) for x in rows[c]]) for c in ("id", "tie", "lo"))
         id_, tie, start = ids[owner], ties[owner], los[owner] + offset
