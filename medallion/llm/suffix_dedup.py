@@ -38,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from medallion.llm.common import BYTE_CODES, each_row, id_bitmap, may_hold, mix, saved
 
 NULL_ID = -(2**63)
+#: Contexts that a task hands on at once: bounds its memory where documents hold many.
+OUT_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -258,6 +260,8 @@ def repeats(docs: DataFrame, spec: DedupSpec = DedupSpec()) -> DataFrame:
     met = saved(_repeating(met.join(copies, ["id", "tie"], "left_anti").distinct()), "anchors")
     wanted = saved(met.groupBy("id", "tie").agg(F.collect_set("at").alias("at")), "wanted")
 
+    names = ["h", "id", "tie", "lo", "hi", "digest", "part"]
+
     def contexts(batches):
         for batch in batches:
             out = []
@@ -267,7 +271,10 @@ def repeats(docs: DataFrame, spec: DedupSpec = DedupSpec()) -> DataFrame:
                 for i in np.flatnonzero(np.isin(place, at)):
                     part = raw[lo[i] : hi[i] + spec.length]
                     out.append((int(h[i].view(np.int64)), id_, tie, int(lo[i]), int(hi[i]), hashlib.blake2b(part, digest_size=12).digest(), part))
-            yield pd.DataFrame(out, columns=["h", "id", "tie", "lo", "hi", "digest", "part"])
+                    if len(out) == OUT_ROWS:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+            yield pd.DataFrame(out, columns=names)
 
     texts = _with_text(docs, wanted)(True).join(wanted, ["id", "tie"])
     parts = saved(texts.mapInPandas(contexts, f"h long, {KEY}, lo int, hi int, digest binary, part binary"), "contexts")
