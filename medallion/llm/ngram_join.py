@@ -12,9 +12,9 @@ How it runs:
    copies comes first) and every document is a candidate with the first few and with the one before it.
 4. Candidates that pass the length, positional and suffix filters are verified on their whole sets, and linked. The suffix
    filter bounds the difference of two whole sets from below by the parities of 512 parts of them by hash.
-5. Prefix shingles are joined again, now between different components only and with all filters in the join's condition: a
-   group of thousands of near copies, already one component, makes no pairs with itself. Pairs verified before are
-   not verified again.
+5. Prefix shingles with longer lists than step 3 covers are joined again, now between different components only and with all
+   filters in the join's condition: a group of thousands of near copies, already one component, makes no pairs with itself.
+   Pairs verified before are not verified again.
 
 Nulls and edges: a null or wordless text has an empty set and links with nothing; a row without id takes its class's
 component (null if the whole class has no id); repeated rows and ids are kept, one result row per input row, and
@@ -113,7 +113,7 @@ def alike(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Col
 def verified(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
     """The pairs ``(a, b)`` that link. Sets are made again from the whole texts, only for documents that a fixed-size
     bitmap of candidate ids lets through; 48 bits of each shingle's hash are compared."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    ids = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "ids")
     held = id_bitmap(ids, "rep")
 
     def sets(batches):
@@ -174,16 +174,21 @@ def _met(tokens: DataFrame) -> DataFrame:
     return seen.where("__a is not null or __b is not null").drop("__a", "__b")
 
 
-def _first_pairs(shared: DataFrame, spec: JoinSpec) -> DataFrame:
-    """Every document with the leaders of the lists it is in and with its neighbour there."""
+def _lists(tokens: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Rows whose shingle has another row, with the size of its list and the row's candidates there (``others``): the leaders
+    of the list and the row before it."""
     near = Window.partitionBy("token").orderBy("pos", "rep")
     so_far = near.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     me = F.struct("rep", "n", "pos")
     others = F.array(*[F.nth_value(me, i).over(so_far) for i in range(1, LEADERS + 1)], F.lag(me).over(near))
-    rows = shared.withColumn("others", others)
+    rows = tokens.withColumns({"size": F.count("*").over(Window.partitionBy("token")), "others": others}).where("size > 1")
     good = F.filter("others", lambda o: o.isNotNull() & (o["rep"] != F.col("rep")) & fits(F.col("n"), F.col("pos"), o["n"], o["pos"], spec))
-    rows = rows.select("rep", F.array_distinct(F.transform(good, lambda o: o["rep"])).alias("others")).where(F.size("others") > 0)
-    found = rows.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    return rows.withColumn("others", F.array_distinct(F.transform(good, lambda o: o["rep"])))
+
+
+def _first_pairs(shared: DataFrame) -> DataFrame:
+    """Every document with its candidates in the lists it is in."""
+    found = shared.where(F.size("others") > 0).groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
     pairs = found.select("rep", F.explode("others").alias("other"))
     return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
@@ -200,12 +205,12 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     shared = saved(_met(tokens), "shared")
     own = rows.where("doc_id = rep").select("rep").distinct()
     shared = shared.join(own, "rep", "left_semi").repartition("token").dropDuplicates(["token", "rep", "n", "pos"])  # repeated rows
-    shared = saved(_met(shared), "shared")
+    shared = saved(_lists(shared, spec), "lists")
     members = shared.select("rep").distinct()
     profiles = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), "parity")
     profiles = saved(profiles.join(members, "rep", "left_semi").distinct(), "profiles")
 
-    tried = _first_pairs(shared, spec)
+    tried = _first_pairs(shared)
     one = profiles.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     two = profiles.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     tried = tried.join(one, "a").join(two, "b").where(alike(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), spec)).select("a", "b").distinct()
@@ -213,7 +218,8 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     links = saved(verified(tried, docs, spec), "links")
     labels = saved(components(links), "labels")
 
-    named = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    # in a list of up to LEADERS + 1 rows every pair has been tried
+    named = shared.where(F.col("size") > LEADERS + 1).select("token", "rep", "n", "pos").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
     mixed = named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
     named = saved(named.join(mixed, "token", "left_semi").select("token", "rep", "n", "pos", "group"), "mixed")
     full = named.join(profiles.select("rep", "n", "parity"), ["rep", "n"])
