@@ -57,9 +57,8 @@ def shingle_order(docs: DataFrame, spec: JoinSpec) -> np.ndarray:
     def count(batches):
         total = np.zeros(cells, np.uint32)
         for batch in each_row(batches):
-            sets = [shingle_set(t, spec.size) >> shift for t in batch["text"]]
-            if sets:
-                total += np.bincount(np.concatenate(sets).astype(np.int64), minlength=cells).astype(np.uint32)
+            for text in batch["text"]:
+                np.add.at(total, (shingle_set(text, spec.size) >> shift).astype(np.int64), np.uint32(1))
         yield packed_chunks(total)
 
     parts = docs.select("text").mapInPandas(count, "chunk int, cells binary")
