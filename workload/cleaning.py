@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from medallion.functions.columns import run_stamp
 from medallion.operators.clean import cast_columns, derive_columns, drop_columns, project
 from medallion.operators.features import feature_columns, hash_split
-from medallion.operators.ordering import exact_quantiles
+from medallion.operators.ordering import approx_quantiles, exact_quantiles
 from medallion.operators.outliers import fences_from_frame, fences_to_frame, fit_fences, flag_outliers, treat_outliers
 from medallion.plans.config import TransformConfig
 from medallion.plans.jobs import transform
@@ -137,6 +137,28 @@ def approx_fences(spark, sf_dir):
     return fences_to_frame(spark, fences).select("column", "lower", "upper", "median")
 
 
+@query(
+    "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS n, true AS first, true AS second, true AS third FROM lineitem""" for c in FENCE_COLUMNS
+    )
+)
+def approx_quartiles(spark, sf_dir):
+    """Whether each approximate quartile lies within 5 % of its rank."""
+    lines, error, shares = table(spark, sf_dir, "lineitem"), 0.05, (0.25, 0.5, 0.75)
+    found = approx_quantiles(lines, FENCE_COLUMNS, list(shares), error)
+
+    def within(c, value, share):
+        n = F.count(c)
+        return (F.count_if(F.col(c) < value) <= n * (share + error)) & (F.count_if(F.col(c) <= value) >= n * (share - error))
+
+    names = ("first", "second", "third")
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), *[within(c, v, s).alias(name) for name, v, s in zip(names, found[c], shares)])
+        for c in FENCE_COLUMNS
+    ]
+    return lines.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 @query(EVENT_FENCES + "SELECT event_id, coalesce(value < lo OR value > hi, false) AS outlier_value FROM events, f")
 def outlier_flags(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "value")

@@ -176,7 +176,13 @@ def model_roundtrip(spark, sf_dir):
     return predicted.select("l_orderkey", "l_linenumber", F.round("prediction", 1).alias("prediction"))
 
 
-@query()
+def _counted(scored, *keys):
+    """How many rows a model scored and how many predictions are numbers, by ``keys``."""
+    good = F.count_if(F.col("predictions").isNotNull() & ~F.isnan("predictions"))
+    return scored.groupBy(*keys).agg(F.count("*").alias("n"), good.alias("scored"))
+
+
+@query(f"SELECT l_returnflag, count(*) AS n, count(*) AS scored FROM lineitem WHERE {BUCKET.format(key='l_orderkey')} GROUP BY 1")
 def rf_regress(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_extendedprice"
@@ -184,10 +190,13 @@ def rf_regress(spark, sf_dir):
     train, test = hash_split(lines, key=["l_orderkey"])
     forest = make_estimator("random_forest_regressor", numTrees=20, maxDepth=5)
     model = train_model(train, forest, "l_extendedprice", exclude=["l_orderkey"])
-    return score(test, model)
+    return _counted(score(test, model), "l_returnflag")
 
 
-@query()
+@query(f"""
+SELECT CAST(event_type = 'purchase' AS DOUBLE) AS bought, count(*) AS n, count(*) AS scored FROM events
+WHERE {BUCKET.format(key='event_id')} GROUP BY 1
+""")
 def rf_classify(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         "event_id", "value", (F.col("user_id") % 24).alias("cohort"), (F.col("event_type") == "purchase").cast("double").alias("bought")
@@ -195,7 +204,7 @@ def rf_classify(spark, sf_dir):
     train, test = hash_split(events, key=["event_id"])
     forest = make_estimator("random_forest_classifier", maxDepth=5)
     model = train_model(train, forest, "bought", exclude=["event_id"])
-    return score(test, model)
+    return _counted(score(test, model), "bought")
 
 
 def _price_rule():
@@ -338,3 +347,64 @@ def inference_run(spark, sf_dir):
     inference_job(spark, InferenceConfig(source=silver, destination=gold, model=model, destination_format="parquet"))
     scored = spark.read.parquet(gold)
     return scored.withColumn("predictions", F.round("predictions", 1))
+
+
+# One tree of one split is a rule that SQL can find: the cut with the largest sum of squared totals by count on both sides.
+ONE_SPLIT = {"numTrees": 1, "maxDepth": 1, "maxBins": 64, "bootstrap": False, "featureSubsetStrategy": "all"}
+NOISY = "CASE WHEN l_quantity > 30 THEN l_linenumber <> 1 ELSE l_linenumber = 1 END"
+
+
+def _one_split_sql(target):
+    return f"""
+WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, CAST({target} AS DOUBLE) AS y, {LINE_TEST} AS test FROM lineitem),
+c AS (SELECT q, count(*) AS n, sum(y) AS t FROM s WHERE NOT test GROUP BY 1),
+w AS (SELECT q, lead(q) OVER (ORDER BY q) AS above, sum(n) OVER (ORDER BY q) AS nl, sum(t) OVER (ORDER BY q) AS tl,
+             sum(n) OVER () AS n, sum(t) OVER () AS t FROM c),
+k AS (SELECT (q + above) / 2 AS cut, tl / nl AS low, (t - tl) / (n - nl) AS high FROM w WHERE above IS NOT NULL
+      ORDER BY tl * tl / nl + (t - tl) * (t - tl) / (n - nl) DESC LIMIT 1),
+p AS (SELECT l_orderkey, l_linenumber, y, CASE WHEN q <= cut THEN low ELSE high END AS p FROM s, k WHERE test)
+"""
+
+
+def _targets(spark, sf_dir, target):
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", "l_quantity", F.expr(target).cast("double").alias("y"))
+
+
+def _split_once(spark, sf_dir, target, name):
+    train, test = hash_split(_targets(spark, sf_dir, target), key=["l_orderkey", "l_linenumber"])
+    return test, train_model(train, make_estimator(name, **ONE_SPLIT), "y", exclude=["l_orderkey", "l_linenumber"])
+
+
+@query(_one_split_sql("l_extendedprice") + "SELECT l_orderkey, l_linenumber, round(p, 3) AS prediction FROM p")
+def tree_regress(spark, sf_dir):
+    test, model = _split_once(spark, sf_dir, "l_extendedprice", "random_forest_regressor")
+    return score(test, model).select("l_orderkey", "l_linenumber", F.round("predictions", 3).alias("prediction"))
+
+
+@query(_one_split_sql(NOISY) + "SELECT l_orderkey, l_linenumber, round(p, 6) AS score, CAST(p > 0.5 AS DOUBLE) AS prediction FROM p")
+def tree_classify(spark, sf_dir):
+    test, model = _split_once(spark, sf_dir, NOISY, "random_forest_classifier")
+    scored = score(test, model, raw="score")
+    return scored.select("l_orderkey", "l_linenumber", F.round("score", 6).alias("score"), F.col("predictions").alias("prediction"))
+
+
+@query(
+    _one_split_sql(NOISY)
+    + """, r AS (SELECT y, p > 0.5 AS h, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM p),
+a AS (SELECT count(*) AS n, sum(y) AS pos, count(*) FILTER (y = 1 AND h) AS tp, count(*) FILTER (y = 0 AND h) AS fp,
+             count(*) FILTER (y = 1 AND NOT h) AS fn, sum(r) FILTER (y = 1) AS rs FROM r)
+SELECT 'tree_' AS experiment, round((n - fp - fn) / n, 6) AS accuracy, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+       round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round((rs - pos * (pos + 1) / 2) / (pos * (n - pos)), 6) AS auc FROM a"""
+)
+def train_classifier(spark, sf_dir):
+    """The training job with a binary classifier, seen through the run it recorded."""
+    silver, models, runs = (scratch_dir(spark, n) for n in ("silver", "models", "runs"))
+    _targets(spark, sf_dir, NOISY).write.parquet(silver)
+    config = TrainConfig(
+        source=silver, target_feature="y", experiment_name="tree_", models=models, runs=runs,
+        estimator="random_forest_classifier", params=ONE_SPLIT, split_key=["l_orderkey", "l_linenumber"],
+    )
+    train_job(spark, config)
+    names = ("Accuracy", "Precision", "Recall", "F1", "AUC")
+    return read_runs(spark, runs).select("experiment", *[F.round(F.col("metrics")[n], 6).alias(n.lower()) for n in names])
