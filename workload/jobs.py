@@ -7,12 +7,13 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from medallion.operators.documents import decode_json, valid_documents
-from medallion.plans.config import IngestConfig, PublishConfig, SelectConfig
-from medallion.plans.jobs import ingest_job, publish_job, select_job, transform_job
+from medallion.plans.config import InferenceConfig, IngestConfig, PublishConfig, SelectConfig, TrainConfig, TransformConfig
+from medallion.plans.jobs import inference_job, ingest_job, publish_job, select_job, train_job, transform_job
 from medallion.session import scratch_dir
 from medallion.sources.sinks import publish_json, write_csv, write_table
 from workload import SQL, query, table
 from workload.cleaning import ETL
+from workload.learning import LINE_TEST
 from workload.runs import RUNS_SQL, monthly_runs
 from workload.streams import EVENT, FILES_PER_BATCH
 
@@ -34,6 +35,36 @@ def transform_files(spark, sf_dir):
     return spark.read.parquet(again)
 
 
+@query(f"""
+WITH e AS (SELECT min(l_quantity) AS low, max(l_quantity) AS high FROM lineitem WHERE l_orderkey % 2 = 0 AND l_quantity BETWEEN 7.5 AND 40.5),
+s AS (SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS net, {LINE_TEST} AS test,
+             CASE WHEN l_quantity < 7.5 THEN low WHEN l_quantity > 40.5 THEN high ELSE l_quantity END AS l_quantity FROM lineitem, e),
+m AS (SELECT regr_slope(net, l_quantity) AS b, regr_intercept(net, l_quantity) AS a FROM s WHERE l_orderkey % 2 = 0 AND NOT test)
+SELECT l_orderkey, l_linenumber, l_quantity, round(a + b * l_quantity, 1) AS predictions FROM s, m WHERE l_orderkey % 2 = 1
+""")
+def inference_fences(spark, sf_dir):
+    """Training on the lines of even orders, then new lines (odd orders) treated with the stored fences and scored."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    old, new, silver, fresh, gold, fences, models, runs = (
+        scratch_dir(spark, n) for n in ("old", "new", "silver", "fresh", "gold", "fences", "models", "runs")
+    )
+    lines.where("l_orderkey % 2 = 0").write.parquet(old)
+    lines.where("l_orderkey % 2 = 1").write.parquet(new)
+    config = TransformConfig(
+        source=old, destination=silver, source_format="parquet", numerical_columns_list=["l_quantity"], outlier_bounds=[7.5, 40.5],
+        feature_engineering_transformations={"net": "l_quantity * l_extendedprice"}, columns_to_remove=["l_extendedprice"], fences=fences,
+    )
+    transform_job(spark, config)
+    run_id, _ = train_job(spark, TrainConfig(
+        source=silver, target_feature="net", experiment_name="net_", models=models, runs=runs, estimator="linear_regression",
+        params={"solver": "normal"}, split_key=["l_orderkey", "l_linenumber"],
+    ))
+    transform_job(spark, replace(config, source=new, destination=fresh), apply_stored=True)
+    inference_job(spark, InferenceConfig(source=fresh, destination=gold, model=f"{models}/{run_id}", destination_format="parquet"))
+    scored = spark.read.parquet(gold)
+    return scored.select("l_orderkey", "l_linenumber", "l_quantity", F.round("predictions", 1).alias("predictions"))
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def ingest_runs(spark, sf_dir):
     """The ingest job after each of two deliveries, and once with nothing new: every message is stored once."""
