@@ -1,20 +1,14 @@
-"""Benchmark decontamination by CGK embedding and bit sampling.
+"""Benchmark decontamination by shared word pairs, without loss, and exact word edit distance.
 
 Texts are sequences of lower-cased words. An item of ``n`` words occurs in a document where the document has a passage
-within ``floor(max_error * n)`` word edits (insert, delete, replace) of it. The symbols that are embedded are pairs of
-neighbouring words, of which an edit changes two at most. Search:
+within ``k = floor(max_error * n)`` word edits (insert, delete, replace) of it. Search:
 
-1. Every item has a window length: the largest of a geometric series that fits in it with three symbols to spare, so that
-   any passage holds a whole window that starts at a multiple of four. All windows of all items are indexed;
-   of a document, those starting at multiples of four. (Shorter items have windows of their own length, at every word.)
-2. The CGK walk reads a window: at step ``j`` it emits the symbol at its pointer and moves on if the random bit of that
-   step and symbol says so. Symbols that differ make two walks drift apart and meet again, so edit distance becomes Hamming
-   distance. ``walks`` independent walks are made of twice the window's symbols.
-3. Each of ``repeats`` keys per walk samples ``bits`` steps; equal keys make a candidate.
-4. Candidates are verified by the exact edit distance of the whole item to the best passage around them.
-
-Before 2, windows are left out that cannot belong to a passage within the bound because too few of their symbols occur
-in any item at all: an exact test. Items of one word are looked up as they are.
+1. An edit spoils two pairs of neighbouring words at most. So a passage within the bound holds the item's pairs at
+   ``n - 1 - 2 k`` of its places at least, and it has ``n + k`` words at most. Where that number is below one (items of one
+   word, bounds above two fifths) single words take the place of pairs: at least ``n - k``.
+2. An index lists for each pair the items that hold it. The places of a document where an item's pairs stand, in order,
+   give a candidate wherever as many as needed lie within the longest passage. This leaves out no passage: recall is 1.
+3. Candidates are verified by the exact edit distance of the whole item to the best passage around them.
 
 Items are read in blocks of at most ``block_words`` words, so what is broadcast has a fixed bound; documents are read
 once per block, and never shuffled.
@@ -36,8 +30,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from medallion.llm.common import BATCH_BYTES, ODD, each_row, mix, run_hashes
 
-STRIDE = 4
-
 _WORDS = np.zeros(256, bool)
 _WORDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -45,12 +37,12 @@ _WORDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 @dataclass(frozen=True)
 class DecontaminationSpec:
     max_error: float = 0.25
-    walks: int = 4
-    repeats: int = 8
-    bits: int = 4
-    seed: int = 5
     block_words: int = 1 << 18
 
+    def __post_init__(self):
+        if not 0 <= self.max_error < 1:
+            raise ValueError("max_error is at least 0 and below 1")
+
     def bound(self, n: int) -> int:
         return int(self.max_error * n)
 
@@ -72,96 +64,79 @@ def symbols(words: np.ndarray) -> np.ndarray:
     return mix(words[:-1] * ODD[40] + words[1:] * ODD[41])
 
 
-def series(longest: int) -> list[int]:
-    """Window lengths 8, 12, 18, 27, ... up to a length."""
-    out = [8]
-    while out[-1] * 3 // 2 <= longest:
-        out.append(out[-1] * 3 // 2)
-    return out
+#: Words of a piece of documents that is searched at once, and places of symbols that are listed at once, about.
+PIECE_WORDS, PLACES = 1 << 20, 1 << 22
+
+
+class Postings:
+    """The items that hold a symbol, each once, for every symbol of ``made``: item numbers and their symbols."""
+
+    def __init__(self, made: dict[int, np.ndarray]):
+        symbol = np.concatenate([np.zeros(0, np.uint64), *(np.unique(m) for m in made.values())])
+        owner = np.repeat(np.array(list(made), np.int64), [len(np.unique(m)) for m in made.values()])
+        self.vocabulary, self.symbol = np.unique(symbol, return_inverse=True)
+        order = np.lexsort((owner, self.symbol))
+        self.symbol, self.owner = self.symbol[order], owner[order]
+
+    def places(self, symbols_: np.ndarray):
+        """``(items, places)`` of the symbols that items hold, ascending; whole items at a time, about PLACES of them or
+        what one item has."""
+        if not len(self.vocabulary):
+            return
+        at = np.minimum(np.searchsorted(self.vocabulary, symbols_), len(self.vocabulary) - 1)
+        known = np.flatnonzero(self.vocabulary[at] == symbols_)
+        at = at[known]
+        counts = np.bincount(at, minlength=len(self.vocabulary))
+        totals = np.bincount(self.owner, weights=counts[self.symbol])
+        part = (np.cumsum(totals) // PLACES).astype(np.int64)
+        for p in np.unique(part[totals > 0]):
+            held = part[self.owner] == p
+            owner, sizes = self.owner[held], np.bincount(self.symbol[held], minlength=len(self.vocabulary))
+            first, many = np.cumsum(sizes) - sizes, sizes[at]
+            within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            items = owner[np.repeat(first[at], many) + within]
+            order = np.argsort(items, kind="stable")
+            yield items[order], np.repeat(known, many)[order]
 
 
 class Index:
-    """The keys of all windows of a block of items; small, bounded, the same on every worker."""
+    """The pairs of a block of items; small, bounded, the same on every worker."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], spec: DecontaminationSpec):
         self.spec = spec
         self.items = items
-        made = [symbols(w) for _, w in items]
-        self.vocabulary = np.unique(np.concatenate([*made, np.zeros(1, np.uint64)]))
-        coded = [np.searchsorted(self.vocabulary, m) + 1 for m in made]
-        self.single = {}
-        for i, (_, w) in enumerate(items):
-            if len(w) == 1:
-                self.single.setdefault(int(w[0]), []).append(i)
-        lengths = series(max(len(w) for _, w in items))
-        self.classes: dict[tuple[int, int], list[int]] = defaultdict(list)  # (window, stride): items
-        for i, w in enumerate(coded):
-            fits = [x for x in lengths if x <= len(w) - STRIDE + 1]
-            if len(w):
-                self.classes[(fits[-1], STRIDE) if fits else (len(w), 1)].append(i)
-        rng = np.random.default_rng(spec.seed)
-        steps = 2 * max([1, *(size for size, _ in self.classes)])
-        self.coins = rng.integers(0, 2**63, (spec.walks, steps // 64 + 1, len(self.vocabulary) + 2), dtype=np.uint64)
-        self.salts = rng.integers(1, 2**62, spec.bits, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.samples, self.tables, self.least = {}, {}, {}
-        for key, members in sorted(self.classes.items()):
-            size = key[0]
-            span = max(1, 2 * size - size // 4)
-            self.samples[key] = np.sort(np.array([[rng.choice(span, spec.bits, replace=span < spec.bits) for _ in range(spec.repeats)] for _ in range(spec.walks)]), axis=2)
-            self.least[key] = size - 2 * max(spec.bound(len(items[i][1])) for i in members)
-            flat, starts, owners = [], [], []
-            base = 0
-            for i in members:
-                w = coded[i]
-                flat.append(w)
-                offsets = np.arange(len(w) - size + 1)
-                starts.append(base + offsets)
-                owners.append(np.stack([np.full(len(offsets), i), offsets], axis=1).astype(np.int32))
-                base += len(w)
-            keys = self.keys(np.concatenate(flat), np.concatenate(starts), key)
-            owner = np.concatenate(owners)
-            order = np.argsort(keys, axis=1, kind="stable")
-            self.tables[key] = [(k[o], owner[o]) for k, o in zip(keys, order)]
-
-    def keys(self, ids: np.ndarray, starts: np.ndarray, key: tuple[int, int]) -> np.ndarray:
-        """One row per walk and repeat, one column per window."""
-        size, spec = key[0], self.spec
-        out = np.zeros((spec.walks * spec.repeats, len(starts)), np.uint64)
-        past, ids = np.int64(len(self.vocabulary) + 1), np.append(ids, 0)
-        for walk in range(spec.walks):
-            at = np.zeros(len(starts), np.int64)
-            wanted = defaultdict(list)
-            for r, steps in enumerate(self.samples[key][walk]):
-                for b, j in enumerate(steps):
-                    wanted[int(j)].append((walk * spec.repeats + r, b))
-            for j in range(max(wanted) + 1):
-                word = np.where(at < size, ids[starts + np.minimum(at, size - 1)], past)
-                for row, b in wanted.get(j, ()):
-                    out[row] += (word.astype(np.uint64) + np.uint64(1)) * self.salts[b] * np.uint64(0x9E3779B97F4A7C15)
-                    out[row] ^= out[row] >> np.uint64(29)
-                at += ((self.coins[walk, j >> 6][word] >> np.uint64(j & 63)) & np.uint64(1)).astype(np.int64)
-        return out
-
-    def candidates(self, ids: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int]]:
-        """``(document, item, word where it would start)`` over several documents laid end to end; ``bounds``: where each
-        begins. A symbol stands where its first word does."""
-        found: set[tuple[int, int, int]] = set()
-        known = np.concatenate(([0], np.cumsum(ids > 0)))
-        for key, tables in self.tables.items():
-            size, stride = key
-            counts = np.maximum(0, (np.diff(bounds) - 1 - size) // stride + 1)
-            first = np.cumsum(counts) - counts
-            starts = np.repeat(bounds[:-1], counts) + (np.arange(counts.sum()) - np.repeat(first, counts)) * stride
-            starts = starts[known[starts + size] - known[starts] >= self.least[key]]
-            for lo in range(0, len(starts), 1 << 18):
-                part = starts[lo : lo + (1 << 18)]
-                for row, (sorted_keys, owner) in zip(self.keys(ids, part, key), tables):
-                    a, b = np.searchsorted(sorted_keys, row, "left"), np.searchsorted(sorted_keys, row, "right")
-                    for w in np.flatnonzero(b > a):
-                        doc = int(np.searchsorted(bounds, part[w], "right")) - 1
-                        for i, offset in owner[a[w] : b[w]]:
-                            found.add((doc, int(i), int(part[w] - offset)))
-        return found
+        sizes = np.array([len(w) for _, w in items])
+        limits = np.array([spec.bound(len(w)) for _, w in items])
+        by_pair = sizes - 1 - 2 * limits >= 1
+        self.longest = sizes + limits
+        self.least = np.where(by_pair, sizes - 1 - 2 * limits, sizes - limits)
+        self.postings = {  # words of a symbol: items
+            2: Postings({i: symbols(w) for i, (_, w) in enumerate(items) if by_pair[i]}),
+            1: Postings({i: w for i, (_, w) in enumerate(items) if not by_pair[i]}),
+        }
+
+    def candidates(self, words: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """``(document, item, first word, end)``: apart from each other, the stretches that hold every passage within the
+        bound, over several documents laid end to end; ``bounds``: where each begins."""
+        found = []
+        for width, postings in self.postings.items():
+            for items, places in postings.places(symbols(words) if width == 2 else words):
+                docs = np.searchsorted(bounds, places, "right") - 1
+                if width == 2:  # no pair reaches into the next text
+                    inside = places + 1 < bounds[docs + 1]
+                    items, places, docs = items[inside], places[inside], docs[inside]
+                last = np.arange(len(items)) + self.least[items] - 1
+                one = np.flatnonzero(last < len(items))
+                two = last[one]
+                near = (items[one] == items[two]) & (docs[one] == docs[two]) & (places[two] - places[one] <= self.longest[items[one]] - width)
+                one, two = one[near], two[near]
+                i, d = items[one], docs[one]
+                a = np.maximum(bounds[d], places[two] + width - self.longest[i])
+                b = np.minimum(bounds[d + 1], places[one] + self.longest[i])
+                opens = np.ones(len(i) + 1, bool)
+                opens[1:-1] = (i[1:] != i[:-1]) | (d[1:] != d[:-1]) | (a[1:] > b[:-1])
+                found += zip(*(x.tolist() for x in (d[opens[:-1]], i[opens[:-1]], a[opens[:-1]], b[opens[1:]])))
+        return sorted(found)
 
 
 def passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -183,42 +158,28 @@ def passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return distance, start, end
 
 
-def occurrences(index: Index, words: np.ndarray, ids: np.ndarray, bounds: np.ndarray):
+def occurrences(index: Index, words: np.ndarray, bounds: np.ndarray):
     """Verified ``(document, item, distance, first word, end)``; of overlapping ones of an item, the nearest."""
-    by: dict[tuple[int, int], set[int]] = defaultdict(set)
-    for doc, i, start in index.candidates(ids, bounds):
-        by[doc, i].add(start)
-    if index.single:
-        for at in np.flatnonzero(np.isin(words, np.array(list(index.single), np.uint64))):
-            for i in index.single[int(words[at])]:
-                by[int(np.searchsorted(bounds, at, "right")) - 1, i].add(int(at))
-    for (doc, i), starts in sorted(by.items()):
-        item = index.items[i][1]
-        n, limit = len(item), index.spec.bound(len(item))
-        low, high = int(bounds[doc]), int(bounds[doc + 1])
-        spans: list[list[int]] = []
-        for s in sorted(starts):  # candidates near each other are one stretch of text
-            a, b = max(low, s - limit), min(high, s + n + limit)
-            if spans and a <= spans[-1][1]:
-                spans[-1][1] = max(b, spans[-1][1])
-            elif b > a:
-                spans.append([a, b])
-        hits = set()
-        for a, b in spans:
-            todo = [(a, b)]
+    first = 0
+    while first < len(bounds) - 1:  # a piece at a time, of one document at least
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + PIECE_WORDS, "right")) - 1)
+        base, piece = bounds[first], words[bounds[first] : bounds[last]]
+        for doc, i, a, b in index.candidates(piece, bounds[first : last + 1] - base):
+            item = index.items[i][1]
+            n, limit = len(item), index.spec.bound(len(item))
+            low = int(bounds[first + doc] - base)
+            todo, hits = [(a, b)], set()
             while todo:  # the nearest passage, then what lies left and right of it
                 x, y = todo.pop()
                 if y - x < n - limit or y <= x:
                     continue
-                distance, start, end = passage(item, words[x:y])
+                distance, start, end = passage(item, piece[x:y])
                 if distance <= limit:
                     hits.add((distance, x + start, x + end))
                     todo += [(x, x + start), (x + end, y)] if end > start else []
-        taken: list[tuple[int, int]] = []
-        for distance, a, b in sorted(hits):
-            if all(b <= c or d <= a for c, d in taken):
-                taken.append((a, b))
-                yield doc, i, distance, a - low, b - low
+            for distance, x, y in sorted(hits):
+                yield first + doc, i, distance, x - low, y - low
+        first = last
 
 
 def blocks(benchmark: DataFrame, spec: DecontaminationSpec):
@@ -246,8 +207,8 @@ def blocks(benchmark: DataFrame, spec: DecontaminationSpec):
 FOUND = "doc_id long, item_id long, distance int, n_words int, start long, end long, passage string"
 
 
-def laid_out(index: Index, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of several texts end to end, their symbols as numbers of the vocabulary, and where each text begins."""
+def laid_out(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of several texts end to end, and where each text begins."""
     raws = [lowered(t or "").encode("utf-8", "surrogatepass") for t in texts]
     words, bounds, at = [], [np.zeros(1, np.int64)], 0
     while at < len(raws):  # a piece at a time, as many texts as fit in a cache
@@ -261,15 +222,7 @@ def laid_out(index: Index, texts: list[str | None]) -> tuple[np.ndarray, np.ndar
         words.append(hashes)
         bounds.append(bounds[-1][-1] + np.searchsorted(starts, ends))
         at = to
-    words, bounds = np.concatenate(words or [np.zeros(0, np.uint64)]), np.concatenate(bounds)
-    ids = np.zeros(len(words), np.int64)
-    if len(words) > 1:
-        made = symbols(words)
-        place = np.minimum(np.searchsorted(index.vocabulary, made), len(index.vocabulary) - 1)
-        ids[:-1] = np.where(index.vocabulary[place] == made, place + 1, 0)
-        last = bounds[1:] - 1  # no symbol reaches into the next text
-        ids[last[last >= 0]] = 0
-    return words, ids, bounds
+    return np.concatenate(words or [np.zeros(0, np.uint64)]), np.concatenate(bounds)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationSpec = DecontaminationSpec()) -> DataFrame:
@@ -285,7 +238,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationSp
             for batch in each_row(batches):
                 texts, ids_ = batch["text"].tolist(), batch["doc_id"].tolist()
                 rows = []
-                for d, i, distance, a, b in occurrences(index, *laid_out(index, texts)):
+                for d, i, distance, a, b in occurrences(index, *laid_out(texts)):
                     _, starts, ends, raw = word_hashes(texts[d])
                     ahead = np.cumsum((raw[: ends[b - 1]] & 0xC0) != 0x80)
                     begin, end = int(ahead[starts[a]]) - 1, int(ahead[-1])
@@ -312,7 +265,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, spec: DecontaminationS
                     if len(part):
                         rows = batch.slice(int(part[0]), len(part))
                         hit = np.zeros(len(rows), bool)
-                        for d, *_ in occurrences(shared.value, *laid_out(shared.value, rows.column(at).to_pylist())):
+                        for d, *_ in occurrences(shared.value, *laid_out(rows.column(at).to_pylist())):
                             hit[d] = True
                         yield rows.filter(pa.array(~hit))
 

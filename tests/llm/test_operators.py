@@ -130,6 +130,59 @@ def test_passages_with_edits_are_found(spark, edges, none):
     assert decontamination.find_passages(none, benchmark).count() == 0 and decontamination.find_passages(edges, benchmark.limit(0)).count() == 0
 
 
+def nearest_passage(item, words):
+    """Least word edits of an item to any passage, by the plain table."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item):
+        new = [i + 1]
+        for j, y in enumerate(words):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_every_passage_at_the_full_bound_is_found(spark):
+    spec, rng = decontamination.DecontaminationSpec(), random.Random(11)
+    items = [(n, [f"{w}{rng.randrange(40)}" for w in prose(2000 + n, n).split()]) for n in [1, 2, 3, 4, 5, 7, 8, 10, 11, 13, 17, 20, 30, 50, 95, 150, 400]]
+    docs = []
+    for n, item in items:
+        for kind in ["replace", "insert", "delete", "any"] * 3:
+            x = list(item)
+            places = sorted(rng.sample(range(n), spec.bound(n)), reverse=True)
+            for at in places:
+                what = rng.choice(["replace", "insert", "delete"]) if kind == "any" else kind
+                x[at : at + (what != "insert")] = [] if what == "delete" else [f"new{rng.randrange(999)}"]
+            docs.append([*prose(len(docs), rng.randrange(9)).split(), *x, *prose(len(docs) + 1, rng.randrange(9)).split()])
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    want = {}
+    for i, words in enumerate(docs):
+        for n, item in items:
+            if len(words) >= n - spec.bound(n) and (n == items[i // 12][0] or len(set(words) & set(item)) >= n - spec.bound(n)):
+                distance = nearest_passage(item, words)
+                if distance <= spec.bound(n):
+                    want[i, n] = distance
+    assert {i for i, _ in want} == set(range(len(docs)))
+    got = {}
+    for r in decontamination.find_passages(texts, benchmark).collect():
+        got[r.doc_id, r.item_id] = min(r.distance, got.get((r.doc_id, r.item_id), r.distance))
+    assert got == want
+    assert decontamination.decontaminated(texts, benchmark).count() == 0
+
+
+def test_a_search_in_parts_finds_the_same(monkeypatch):
+    rng = random.Random(3)
+    items = [(i, [rng.choice("abc") for _ in range(rng.randrange(1, 9))]) for i in range(9)]
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(30))) for _ in range(40)]
+    index = decontamination.Index([(i, decontamination.word_hashes(" ".join(w))[0]) for i, w in items], decontamination.DecontaminationSpec())
+    whole = list(decontamination.occurrences(index, *decontamination.laid_out(texts)))
+    want = {(d, i) for d, t in enumerate(texts) for i, w in items if nearest_passage(w, t.split()) <= index.spec.bound(len(w))}
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 50)
+    monkeypatch.setattr(decontamination, "PLACES", 20)
+    assert list(decontamination.occurrences(index, *decontamination.laid_out(texts))) == whole
+    assert {(d, i) for d, i, *_ in whole} == want
+
+
 # -- fixity
 
 
