@@ -170,6 +170,14 @@ def test_every_passage_at_the_full_bound_is_found(spark):
     assert decontamination.decontaminated(texts, benchmark).count() == 0
 
 
+def test_three_tenths_of_the_words_may_differ(spark):
+    item = prose(31, 40).split()
+    texts = [(k, " ".join(f"new{i}" if i % 3 == 1 and i < 3 * k else w for i, w in enumerate(item))) for k in (10, 11, 12, 13)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {(r.doc_id, r.distance) for r in decontamination.find_passages(docs, benchmark).collect()} == {(10, 10), (11, 11), (12, 12)}
+
+
 def test_a_search_in_parts_finds_the_same(monkeypatch):
     rng = random.Random(3)
     items = [(i, [rng.choice("abc") for _ in range(rng.randrange(1, 9))]) for i in range(9)]
