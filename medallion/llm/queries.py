@@ -153,10 +153,14 @@ def op7_sharding(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: Six common words in a row share a hash: an edit that keeps half of a text is seen from about 14 words on.
+FINE = winnowing.WinnowSpec(gram=3, window=4)
+
+
 @query()
 def op8_winnowing(spark, sf_dir):
     """Fingerprints of every document, of its edited text, and how alike they are."""
-    found = winnowing.compare_edits(table(spark, sf_dir, "documents"))
+    found = winnowing.compare_edits(table(spark, sf_dir, "documents"), FINE)
     return found.select(
         "doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         winnowing.written(F.col("print")).alias("fingerprint"), winnowing.written(F.col("edited_print")).alias("edited_fingerprint"),

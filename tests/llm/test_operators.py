@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from medallion.llm import decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, quality_knn, suffix_dedup, temperature_mixing, winnowing
+from medallion.llm import decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, quality_knn, queries, suffix_dedup, temperature_mixing, winnowing
 from medallion.llm.common import local_scratch
 from llm_rows import DOCS, edge_rows, prose
 
@@ -303,6 +303,13 @@ def test_winnowing_guarantee_and_ties(spark, edges, none):
     assert winnowing.compare_edits(edges).count() == len(edge_rows())
 
 
+def test_half_of_a_short_text_is_seen(spark, tmp_path):
+    rows = [(n, prose(300 + n, n)) for n in range(14, 60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op8_winnowing"](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows) and all(r.near_edited > 0 for r in found)
+
+
 # -- mixing
 
 
