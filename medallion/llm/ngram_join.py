@@ -231,26 +231,47 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     return JoinResult(rows, links, saved(components(links), "labels"))
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``__vertex``: the id, but a number of its own (from 2 ** 62 on) for every further text of an id that has
+    several. Texts are shuffled only for such ids, and the few their bitmap lets through."""
+    mark = F.xxhash64("doc_id", "text")
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", mark.alias("mark"))
+    clashes = saved(known.groupBy("doc_id").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo < hi").select("doc_id", "lo"), "clashes")
+    own = F.col("doc_id").cast("long")
+    if not clashes.limit(1).count():
+        return docs.withColumn("__vertex", own)
+    held = id_bitmap(clashes, "doc_id")
+    at = docs.columns.index("doc_id")
+    some = _side(docs, at, held, True).join(clashes.withColumnRenamed("doc_id", "__id").withColumnRenamed("lo", "__lo"), F.col("doc_id") == F.col("__id"), "left")
+    other = mark.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    some = some.withColumn("__vertex", F.when(mark != F.col("__lo"), other).otherwise(own)).drop("__id", "__lo")
+    return _side(docs, at, held, False).withColumn("__vertex", own).unionByName(saved(some, "apart"))
+
+
+def _side(docs: DataFrame, at: int, held, maybe: bool) -> DataFrame:
+    """The rows whose id, in column ``at``, a bitmap lets through, or the others."""
+
+    def pick(batches):
+        for batch in batches:
+            ids = batch.column(at).cast("int64")
+            hit = may_hold(held.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit if maybe else ~hit))
+
+    return docs.mapInArrow(pick, docs.schema)
+
+
 def keep_one(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     """One document of each component stays: the one with the smallest id. Rows without words or id stay; of rows that
-    repeat an id, one stays. Texts are shuffled only for ids that go or repeat, and the few their bitmap lets through."""
-    found = saved(ngram_join(docs, spec).documents(), "components")
+    repeat id and text, one stays. Different texts of one id are documents of their own here; all but one of them come after
+    all other ids. Texts are shuffled only for ids that go or repeat, and the few their bitmap lets through."""
+    docs = _told_apart(docs)
+    found = saved(ngram_join(docs.select(F.col("__vertex").alias("doc_id"), "text"), spec).documents(), "components")
     gone = found.where("component_id is not null and doc_id != component_id").select("doc_id")
     again = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1")
     marked = saved(gone.withColumn("goes", F.lit(1)).union(again.select("doc_id", F.lit(0))).groupBy("doc_id").agg(F.max("goes").alias("goes")), "marked")
     held = id_bitmap(marked, "doc_id")
-    at = docs.columns.index("doc_id")
-
-    def side(maybe: bool):
-        def pick(batches):
-            for batch in batches:
-                ids = batch.column(at).cast("int64")
-                hit = may_hold(held.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(hit if maybe else ~hit))
-
-        return docs.mapInArrow(pick, docs.schema)
-
-    some = side(True).alias("d").join(marked.alias("m"), F.col("d.doc_id") == F.col("m.doc_id"), "left")
+    at = docs.columns.index("__vertex")
+    some = _side(docs, at, held, True).alias("d").join(marked.alias("m"), F.col("d.__vertex") == F.col("m.doc_id"), "left")
     stay = some.where("m.goes is null").select("d.*")
-    once = some.where("m.goes = 0").select("d.*").dropDuplicates(["doc_id"])
-    return side(False).unionByName(stay).unionByName(once)
+    once = some.where("m.goes = 0").select("d.*").dropDuplicates(["__vertex"])
+    return _side(docs, at, held, False).unionByName(stay).unionByName(once).drop("__vertex")

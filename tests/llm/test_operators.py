@@ -254,6 +254,17 @@ def test_join_against_all_pairs(spark, edges, none):
     assert ngram_join.keep_one(none).count() == 0
 
 
+def test_texts_that_share_an_id_stay(spark):
+    base = prose(41, 60)
+    rows = [(1, base), (1, prose(42, 60)), (2, prose(43, 60)), (2, base + " end"), (3, prose(44, 60)), (3, prose(44, 60)), (4, prose(45, 60)), (4, ""), (4, None)]
+    local_scratch(spark)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in ngram_join.keep_one(docs).collect()]
+    near = {(1, base), (2, base + " end")}
+    assert len(near & set(kept)) == 1
+    assert sorted(map(str, set(kept) - near)) == sorted(map(str, set(rows) - near)) and len(kept) == len(set(kept))
+
+
 # -- sharding
 
 
