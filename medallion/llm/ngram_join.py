@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters, verified once per pair.
+"""N-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters: components, and links that span them.
 
 How it runs:
 
