@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from medallion.llm import decontamination, histogram_sort, ngram_join, quality_knn, queries, temperature_mixing
 from medallion.llm.common import local_scratch, saved, table
 
-#: The mixing of the pipeline: the most plentiful source once, no other more than 1.25 times, so no document is lost.
-MIX = temperature_mixing.MixSpec(repeats=1.25)
+#: The mixing of the pipeline, as in op9_mixing: the most plentiful source once, no other more than four times, so no document
+#: is lost.
+MIX = temperature_mixing.MixSpec(repeats=4.0)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -420,3 +420,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert kept[0] == set(range(40)) and kept[1] == set(range(30)) and kept[2] == set(range(30)) - {5} and kept[3] == kept[2]
     final = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in final.collect()} == kept[3] and {"size", "shard", "slot"} <= set(final.columns)
+
+
+def test_pipeline_mixing_moves_weights(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, prose(i, 10), "en", "many" if i < 200 else "few", 1) for i in range(220)]
+    out = corpus_pipeline.mixing(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), str(tmp_path)).collect()
+    assert {r.doc_id for r in out} == set(range(220))
+    drawn = collections.Counter(r.source for r in out)
+    assert drawn["many"] == 200 and 70 <= drawn["few"] <= 80
