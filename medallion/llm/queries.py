@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medallion.llm import (
-    decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, quality_knn, suffix_dedup, temperature_mixing, winnowing,
+    decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, quality_knn, suffix_dedup, superkmer_dedup, temperature_mixing, winnowing,
 )
 from medallion.llm.common import held_out, local_scratch, saved, table
 
@@ -183,5 +183,26 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query(r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM texts),
+windows AS (
+  SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS s
+  FROM words QUALIFY i <= n - 34),
+often AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS i FROM windows JOIN often USING (s)),
+cut AS (
+  SELECT doc_id, count(h.i) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE h.i IS NULL), '') AS kept
+  FROM words LEFT JOIN hit h USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+""")
+def op11_superkmers(spark, sf_dir):
+    """Documents without the words of any window of 35 words that also starts elsewhere."""
+    out = superkmer_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["hi"] - r["lo"])
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def load():
     return QUERIES, SQL
