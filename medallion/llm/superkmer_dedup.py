@@ -39,12 +39,10 @@ from pyspark.sql import DataFrame, functions as F
 from medallion.llm.common import ODD, id_bitmap, may_hold, mix, partitions, saved
 
 #: Text taken at once in a task, and super-k-mers sorted at once (more only where one text, or one key, is larger).
-CUT_BYTES = 4 << 20
-SORT_BYTES = 4 << 20
+CUT_BYTES = 1 << 20
+SORT_BYTES = 2 << 20
 #: Keys that are cut again, at most: a bucket is at least this part of all super-k-mers.
 HOT_KEYS = 1 << 22
-#: Different words a task remembers the hashes of.
-WORDS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -57,14 +55,6 @@ class WindowSpec:
     orders: int = 3
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def split(text: str | None) -> list[bytes]:
     """Words: runs of bytes other than space and 0x09 to 0x0D."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
@@ -119,13 +109,13 @@ def window_keys(words: np.ndarray, spec: WindowSpec, hot: list[np.ndarray]) -> t
     return keys, places, again
 
 
-def super_kmers(texts: list[list[bytes]], hashes: WordHashes, spec: WindowSpec, hot: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+def super_kmers(texts: list[list[bytes]], spec: WindowSpec, hot: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """Key, text number, first word and word after the last of every super-k-mer, and whether the last order cut it."""
     lengths = np.array([len(t) for t in texts], np.int64)
     long = np.flatnonzero(lengths >= spec.window)
     if not len(long):
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3, np.zeros(0, bool)
-    words = np.concatenate([np.fromiter(map(hashes.__getitem__, texts[i]), np.uint64, len(texts[i])) for i in long])
+    words = np.concatenate([np.fromiter(map(xxhash.xxh64_intdigest, texts[i]), np.uint64, len(texts[i])) for i in long])
     (keys, places, fresh), ends = window_keys(words, spec, hot), np.cumsum(lengths[long])
     owner = np.repeat(np.arange(len(long)), lengths[long])[: len(keys)]
     at = np.flatnonzero(np.arange(len(keys)) + spec.window <= ends[owner])
@@ -185,11 +175,10 @@ def _census(texts: DataFrame, spec: WindowSpec, hot: list[np.ndarray]) -> DataFr
     hot = texts.sparkSession.sparkContext.broadcast(hot)
 
     def scan(batches):
-        hashes = WordHashes()
         for batch in cuts(batches):
             words = [split(t) for t in batch["text"]]
             rows = []
-            for key, i, lo, hi, fresh in zip(*(x.tolist() for x in super_kmers(words, hashes, spec, hot.value))):
+            for key, i, lo, hi, fresh in zip(*(x.tolist() for x in super_kmers(words, spec, hot.value))):
                 if fresh:
                     packed = b" ".join(words[i][lo:hi])
                     rows.append((key - (1 << 63), xxhash.xxh3_64_intdigest(packed) - (1 << 63), len(packed)))
@@ -220,11 +209,11 @@ def _packed(texts: DataFrame, spec: WindowSpec, hot, bitmap) -> DataFrame:
     """``(key, packed, n)``: super-k-mers whose key is not alone, equal ones of a piece of a task as one row."""
 
     def scan(batches):
-        hashes, hot_keys, marks = WordHashes(), hot.value, bitmap.value
+        hot_keys, marks = hot.value, bitmap.value
         for batch in cuts(batches):
             words = [split(t) for t in batch["text"]]
             rows: dict[tuple[int, bytes], int] = {}
-            for key, i, lo, hi in _candidates(words, hashes, spec, hot_keys, marks):
+            for key, i, lo, hi in _candidates(words, spec, hot_keys, marks):
                 piece = key - (1 << 63), b" ".join(words[i][lo:hi])
                 rows[piece] = rows.get(piece, 0) + 1
             yield pd.DataFrame([(k, p, n) for (k, p), n in rows.items()], columns=["key", "packed", "n"])
@@ -232,8 +221,8 @@ def _packed(texts: DataFrame, spec: WindowSpec, hot, bitmap) -> DataFrame:
     return texts.mapInPandas(scan, "key long, packed binary, n long")
 
 
-def _candidates(words, hashes, spec, hot, marks):
-    found = super_kmers(words, hashes, spec, hot)
+def _candidates(words, spec, hot, marks):
+    found = super_kmers(words, spec, hot)
     keep = may_hold(marks, (found[0] ^ np.uint64(1 << 63)).view(np.int64))
     return zip(*(x[keep].tolist() for x in found[:4]))
 
@@ -270,11 +259,11 @@ def _occurrences(texts: DataFrame, spec: WindowSpec, hot, bitmap, found) -> Data
     """``(digest, text_key, start)`` of super-k-mers that may hold repeated windows."""
 
     def scan(batches):
-        hashes, hot_keys, marks, wanted = WordHashes(), hot.value, bitmap.value, found.value
+        hot_keys, marks, wanted = hot.value, bitmap.value, found.value
         for batch in cuts(batches):
             words = [split(t) for t in batch["text"]]
             digests, owners, starts = [], [], []
-            for _, i, lo, hi in _candidates(words, hashes, spec, hot_keys, marks):
+            for _, i, lo, hi in _candidates(words, spec, hot_keys, marks):
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words[i][lo:hi])))
                 owners.append(i)
                 starts.append(lo)
