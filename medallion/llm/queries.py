@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medallion.llm import (
-    decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, quality_knn, suffix_dedup, superkmer_dedup, temperature_mixing, winnowing,
+    decontamination, fixity, histogram_sort, language_crf, ngram_join, perspectives, prefix_trie, quality_knn, suffix_dedup, superkmer_dedup,
+    temperature_mixing, token_alignment, winnowing,
 )
 from medallion.llm.common import held_out, local_scratch, saved, table
 
@@ -204,5 +205,45 @@ def op11_superkmers(spark, sf_dir):
     return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query()
+def op12_alignment(spark, sf_dir):
+    """Every document's tokens of two vocabularies aligned, and how common its linked pairs of ids are in the corpus."""
+    found = token_alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    out = found.totals(found.documents().withColumn("groups_sha256", digest).drop("groups"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations),
+own AS (
+  SELECT c, list({'r': r, 't': t} ORDER BY i) AS s,
+         xor(list_reduce(list_transform([4294967295] || list_transform(string_split(c::VARCHAR, ''), lambda x : ascii(x)::BIGINT), lambda x : x::BIGINT),
+           lambda crc, b : list_reduce([xor(crc, b)] || range(8), lambda v, n : xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 4 AS h
+  FROM turns GROUP BY c),
+rebuilt AS (SELECT own.c, list_concat(coalesce(f.s[1:own.h], []), own.s[own.h+1:]) AS s FROM own LEFT JOIN own f ON f.c = own.c - own.c % 20),
+prefixes AS (SELECT c, s, len(s) AS n, unnest(generate_series(0, len(s))) AS d FROM rebuilt),
+keyed AS (SELECT c, n, d, to_json(s[1:d])::VARCHAR AS k, to_json(s[1:greatest(d-1, 0)])::VARCHAR AS up, s[d].t AS t FROM prefixes),
+nodes AS (
+  SELECT d, k, up, min(c) AS c, count(*) AS n_convs, any_value(len(regexp_extract_all(coalesce(t, ''), '[^\x20\x09-\x0D]+'))) AS words,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends
+  FROM keyed GROUP BY d, k, up),
+children AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY d, up),
+below AS (
+  SELECT a.d, a.k, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM nodes v LEFT JOIN children USING (d, k) JOIN keyed a ON a.c = v.c AND a.d <= v.d GROUP BY a.d, a.k)
+SELECT v.c AS conv_id, v.d AS depth, p.c AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM nodes v LEFT JOIN children USING (d, k) JOIN below USING (d, k) LEFT JOIN nodes p ON p.d = v.d - 1 AND p.k = v.up
+""")
+def op13_prefix_trie(spark, sf_dir):
+    """The prefix trie of all conversations, each with its first turns taken from the first of its family of twenty."""
+    turns, lengths = prefix_trie.branched(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, lengths).drop("name", "parent")
+
+
 def load():
     return QUERIES, SQL
