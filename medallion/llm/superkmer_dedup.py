@@ -28,6 +28,7 @@ result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +44,7 @@ CUT_BYTES = 1 << 20
 SORT_BYTES = 2 << 20
 #: Keys that are cut again, at most: a bucket is at least this part of all super-k-mers.
 HOT_KEYS = 1 << 22
+UPPER = np.uint64(0xFFFFFFFF00000000)
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,7 @@ class WindowSpec:
     window: int = 35
     gram: int = 6
     #: Bytes of different super-k-mers of one key.
-    bucket_bytes: int = 1 << 20
+    bucket_bytes: int = 4 << 20
     #: Orders of the runs before the window's own hash decides.
     orders: int = 3
 
@@ -71,16 +73,14 @@ def cuts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield batch[part == k]
 
 
-def sliding_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest of every ``width`` values in a row, and its place (the left one of equals)."""
-    at, have = np.arange(len(values)), 1
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest of every ``width`` values in a row, by their upper halves; the left one of equals."""
+    least, have = values & UPPER | np.arange(len(values), dtype=np.uint64), 1
     while have < width:
         step = min(have, width - have)
-        left, right = values[: len(values) - step], values[step:]
-        better = right < left
-        values, at = np.where(better, right, left), np.where(better, at[step:], at[: len(at) - step])
+        least = np.minimum(least[: len(least) - step], least[step:])
         have += step
-    return values, at
+    return (least & ~UPPER).astype(np.int64)
 
 
 def run_sums(words: np.ndarray, size: int) -> np.ndarray:
@@ -97,12 +97,18 @@ def window_keys(words: np.ndarray, spec: WindowSpec, hot: list[np.ndarray]) -> t
     """
     with np.errstate(over="ignore"):
         grams, span = run_sums(words, spec.gram), spec.window - spec.gram + 1
-        keys, places = sliding_least(mix(grams), span)
+        hashes = mix(grams)
+        places = sliding_least(hashes, span)
+        keys = hashes[places]
         again = np.ones(len(keys), bool)
         for order, full in enumerate(hot, 1):
             again &= np.isin(keys, full)
+            if not again.any():
+                break
             if order < spec.orders:
-                finer, at = sliding_least(mix(grams ^ ODD[order]), span)
+                hashes = mix(grams ^ ODD[order])
+                at = sliding_least(hashes, span)
+                finer = hashes[at]
             else:
                 finer, at = mix(run_sums(mix(words), spec.window)), np.arange(len(keys))
             keys[again], places[again] = mix(keys[again] * ODD[order] + finer[again]), at[again]
@@ -115,7 +121,7 @@ def super_kmers(texts: list[list[bytes]], spec: WindowSpec, hot: list[np.ndarray
     long = np.flatnonzero(lengths >= spec.window)
     if not len(long):
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3, np.zeros(0, bool)
-    words = np.concatenate([np.fromiter(map(xxhash.xxh64_intdigest, texts[i]), np.uint64, len(texts[i])) for i in long])
+    words = np.concatenate([np.fromiter(map(zlib.crc32, texts[i]), np.uint64, len(texts[i])) for i in long])
     (keys, places, fresh), ends = window_keys(words, spec, hot), np.cumsum(lengths[long])
     owner = np.repeat(np.arange(len(long)), lengths[long])[: len(keys)]
     at = np.flatnonzero(np.arange(len(keys)) + spec.window <= ends[owner])
