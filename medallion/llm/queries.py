@@ -235,8 +235,8 @@ children AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM nodes WHERE
 below AS (
   SELECT a.d, a.k, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved
   FROM nodes v LEFT JOIN children USING (d, k) JOIN keyed a ON a.c = v.c AND a.d <= v.d GROUP BY a.d, a.k)
-SELECT v.c AS conv_id, v.d AS depth, p.c AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves::BIGINT AS n_leaves,
-       saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+SELECT v.c AS conv_id, v.d AS depth, p.c AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
 FROM nodes v LEFT JOIN children USING (d, k) JOIN below USING (d, k) LEFT JOIN nodes p ON p.d = v.d - 1 AND p.k = v.up
 """)
 def op13_prefix_trie(spark, sf_dir):
