@@ -9,13 +9,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal, localcontext
+from fractions import Fraction
 from functools import reduce
 from operator import or_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from medallion.functions.columns import number_or_null, resolve
+from medallion.functions.columns import INTEGRAL, number_or_null, quoted, resolve
+
+Number = int | float | Decimal
 
 BUCKETS = 8192
 ROWS_PER_RANGE = 1_000_000
@@ -23,21 +27,35 @@ MIN_RANGES = 8
 #: Cuts found in one pass over all rows; further ones are found inside these.
 COARSE_RANGES = 1024
 WIDE = 2.0**53
+DECIMAL_DIGITS = 38
+#: Sketches of the first pass: their size, the rank error allowed for (several times the expected one), and the number of
+#: values from which they are worth it.
+SKETCH_SIZE = 4000
+SKETCH_MARGIN = 0.004
+SKETCHED_ROWS = 10_000
 
 
 @dataclass
 class _Interval:
-    """Values of one column known to contain the wanted ranks; ``below`` counts smaller values."""
+    """Values of one column that contain the wanted ranks; ``below`` counts smaller values.
+
+    A ``guess`` comes from a sketch. Whether it contains the ranks, and how many values are below, shows in its pass.
+    """
 
     column: int
-    lo: float
-    hi: float
+    lo: Number
+    hi: Number
     below: int
     ranks: frozenset[int]
+    guess: bool = False
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], buckets: int = BUCKETS) -> dict[str, list[float | None]]:
-    """Exact interpolated quantiles of several columns; null and NaN are skipped."""
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], buckets: int = BUCKETS) -> dict[str, list[Number | None]]:
+    """Exact interpolated quantiles of several columns; null and NaN are skipped.
+
+    A quantile that is a value of the column, or lies between equal ones, comes in the column's own type; between two
+    different values it is computed from them exactly and is a decimal for decimal columns, else a float.
+    """
 
     def ranks(n: int) -> set[int]:
         return {r for p in probabilities for r in _position(n, p)[:2]}
@@ -48,44 +66,101 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
 
 def order_statistics(
     df: DataFrame, columns: list[str], ranks: Callable[[int], set[int]], buckets: int = BUCKETS
-) -> dict[str, tuple[int, dict[int, float]]]:
+) -> dict[str, tuple[int, dict[int, Number]]]:
     """Per column: how many values there are, and the values at the ranks (from 0) asked for.
 
-    ``ranks`` is told the count. A first aggregate gives the count and the range of every column. Then
-    each pass counts values in equal buckets of the remaining interval and keeps the bucket that holds
-    the wanted rank, until that bucket holds a single value. State per task is at most ``buckets``
-    counters per interval however many rows or ties there are, and only the chosen bucket of each
+    ``ranks`` is told the count. A first aggregate gives the count, the range and a quantile sketch of every column; the
+    sketch's bounds on a rank are the first interval. Then each pass counts values in equal buckets of the remaining interval
+    and keeps the bucket that holds the wanted rank, until that bucket holds a single value. The first of these passes also
+    counts the values below the interval, which proves it right; a wrong one is replaced by the part of the range beside it. So
+    two passes are enough unless thousands of values lie between the bounds, however the values are spread. State per task is at
+    most ``buckets`` counters per interval however many rows or ties there are, and only the chosen bucket of each
     rank reaches the driver. Null and NaN are skipped.
+
+    Whole numbers are compared and divided as 64-bit numbers, decimals as decimals, floating point as doubles,
+    so every value comes back as it is in the table: an ``int``, a ``Decimal`` or a ``float``.
     """
     names = [resolve(df, c) for c in columns]
-    values = df.select(*[number_or_null(df, c).alias(f"v{i}") for i, c in enumerate(names)])
-    stats = _ranges(values, len(names))
-
-    found: list[dict[int, float]] = [{} for _ in names]
-    intervals = []
-    for i, (n, n_low, n_high, lo, hi) in enumerate(stats):
+    values = df.select(*[_typed(df, c).alias(f"v{i}") for i, c in enumerate(names)])
+    kinds = [f.dataType for f in values.schema.fields]
+    stats = _ranges(values, kinds)
+    ends = [(lo, hi) for *_, lo, hi in (row[:5] for row in stats)]
+
+    found: list[dict[int, Number]] = [{} for _ in names]
+    whole, sketches = [], []
+    for i, (n, n_low, n_high, lo, hi, sketch) in enumerate(stats):
         wanted = ranks(n) if n else set()
         found[i].update({r: -math.inf for r in wanted if r < n_low})
         found[i].update({r: math.inf for r in wanted if r >= n - n_high})
-        rest = frozenset(wanted - found[i].keys())
+        rest = wanted - found[i].keys()
         if rest:
-            intervals.append(_Interval(i, lo, hi, n_low, rest))
+            whole.append(_Interval(i, lo, hi, n_low, frozenset(rest)))
+            sketches.append((n - n_low - n_high, sketch))
+    intervals = _guesses(df.sparkSession, whole, kinds, sketches)
 
     first = True
     while intervals:
         for iv in intervals:
-            if iv.lo == iv.hi:
+            if iv.lo == iv.hi and not iv.guess:
                 found[iv.column].update({r: iv.lo for r in iv.ranks})
-        intervals = [iv for iv in intervals if iv.lo < iv.hi]
+        intervals = [iv for iv in intervals if iv.lo < iv.hi or iv.guess]
         if intervals:
             # With one interval the bucket numbers filter by themselves, without computing a value twice.
-            spans = [F.col(f"v{iv.column}").between(iv.lo, iv.hi) for iv in intervals]
-            inside = values if first or len(spans) == 1 else values.where(reduce(or_, spans))
-            intervals = _narrow(inside, intervals, buckets)
+            guessed = any(iv.guess for iv in intervals)
+            spans = [F.col(f"v{iv.column}").between(_literal(iv.lo, kinds[iv.column]), _literal(iv.hi, kinds[iv.column])) for iv in intervals]
+            inside = values if guessed or first or len(spans) == 1 else values.where(reduce(or_, spans))
+            intervals = _narrow(inside, intervals, kinds, ends, buckets)
             first = False
     return {c: (stats[i][0], found[i]) for i, c in enumerate(columns)}
 
 
+def _guesses(spark, whole: list[_Interval], kinds: list[T.DataType], sketches: list[tuple[int, bytes]]) -> list[_Interval]:
+    """The sketches' bounds on each rank, where columns are long enough for them to be narrower than the range."""
+    asked = {}
+    for t, (iv, (n, sketch)) in enumerate(zip(whole, sketches)):
+        if n >= SKETCHED_ROWS:
+            margin = SKETCH_MARGIN * n + 1
+            shares = [min(max((r - iv.below + side * margin) / n, 0.0), 1.0) for r in sorted(iv.ranks) for side in (-1, 1)]
+            kll = F.kll_sketch_get_quantile_bigint if isinstance(kinds[iv.column], T.LongType) else F.kll_sketch_get_quantile_double
+            asked[t] = kll(F.lit(bytearray(sketch)), F.array(*[F.lit(s) for s in shares])).alias(f"q{t}")
+    found = spark.range(1).select(*asked.values()).first() if asked else None
+    out: list[_Interval] = []
+    for t, iv in enumerate(whole):
+        if t not in asked:
+            out.append(iv)
+            continue
+        bounds = [min(max(_nearest(v, iv), iv.lo), iv.hi) for v in found[f"q{t}"]]
+        own: list[_Interval] = []
+        for r, lo, hi in zip(sorted(iv.ranks), bounds[::2], bounds[1::2]):
+            if own and lo <= own[-1].hi:
+                own[-1] = _Interval(iv.column, own[-1].lo, max(hi, own[-1].hi), iv.below, own[-1].ranks | {r}, True)
+            else:
+                own.append(_Interval(iv.column, lo, hi, iv.below, frozenset([r]), True))
+        out += own
+    return out
+
+
+def _nearest(value: Number, like: _Interval) -> Number:
+    """A sketched value in the column's own type: only a place to look at."""
+    if not isinstance(like.lo, Decimal):
+        return value
+    with localcontext() as context:
+        context.prec = DECIMAL_DIGITS
+        return Decimal(value).quantize(Decimal(1).scaleb(min(like.lo.as_tuple().exponent, like.hi.as_tuple().exponent)))
+
+
+def _typed(df: DataFrame, name: str) -> Column:
+    """The column as a 64-bit number, as the decimal it is, or as double with NaN as NULL."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, INTEGRAL):
+        return quoted(name).cast("bigint")
+    return quoted(name) if isinstance(kind, T.DecimalType) else number_or_null(df, name)
+
+
+def _literal(value: Number, kind: T.DataType) -> Column:
+    return F.lit(value) if isinstance(kind, T.DoubleType) else F.lit(f"{value:f}" if isinstance(value, Decimal) else str(value)).cast(kind)
+
+
 def _position(n: int, p: float) -> tuple[int, int, float]:
     at = p * (n - 1)
     low = math.floor(at)
@@ -97,51 +172,104 @@ def _interpolate(n, values, p):
         return None
     low, high, part = _position(n, p)
     a, b = values[low], values[high]
-    return a if a == b else a + (b - a) * part
-
-
-def _ranges(values: DataFrame, width: int) -> list[tuple]:
-    """Per column: count, count of -inf, count of +inf, least and greatest finite value."""
+    if a == b:
+        return a
+    if isinstance(a, Decimal):
+        with localcontext() as context:
+            context.prec = 2 * DECIMAL_DIGITS
+            return a + (b - a) * Decimal(part)
+    if isinstance(a, int) and max(abs(a), abs(b)) > WIDE:
+        return float(a + (b - a) * Fraction(part))
+    return a + (b - a) * part
+
+
+def _ranges(values: DataFrame, kinds: list[T.DataType]) -> list[tuple]:
+    """Per column: count, count of -inf, count of +inf, least and greatest finite value, and a sketch of the finite ones."""
     aggregates = []
-    for i in range(width):
+    for i, kind in enumerate(kinds):
         c = F.col(f"v{i}")
-        finite = F.when(F.abs(c) < math.inf, c)
+        infinite = isinstance(kind, T.DoubleType)
+        finite = F.when(F.abs(c) < math.inf, c) if infinite else c
         aggregates += [
             F.count(c),
-            F.count(F.when(c == -math.inf, 1)),
-            F.count(F.when(c == math.inf, 1)),
+            F.count(F.when(c == -math.inf, 1)) if infinite else F.lit(0),
+            F.count(F.when(c == math.inf, 1)) if infinite else F.lit(0),
             F.min(finite),
             F.max(finite),
+            F.kll_sketch_agg_bigint(c, SKETCH_SIZE) if isinstance(kind, T.LongType) else F.kll_sketch_agg_double(finite.cast("double"), SKETCH_SIZE),
         ]
     row = values.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggregates)]).first()
-    return [tuple(row[5 * i : 5 * i + 5]) for i in range(width)]
+    return [tuple(row[6 * i : 6 * i + 6]) for i in range(len(kinds))]
 
 
-def _bucket(iv: _Interval, buckets: int) -> Column:
+def _bucket(iv: _Interval, kind: T.DataType, buckets: int) -> Column:
     """Bucket number of a value inside the interval; it never decreases as the value grows."""
     c = F.col(f"v{iv.column}")
-    lo, hi, x = F.lit(iv.lo), F.lit(iv.hi), c
+    share = {T.LongType: _whole_share, T.DecimalType: _decimal_share}.get(type(kind), _double_share)
+    inner = F.greatest(F.lit(1), F.least(F.lit(buckets), share(iv, kind, buckets).cast("int") + 1))
+    lo, hi = _literal(iv.lo, kind), _literal(iv.hi, kind)
+    # The two ends always part, so that every pass shrinks the interval.
+    number = F.when(c == lo, 0).when(c == hi, buckets + 1).otherwise(inner)
+    if iv.guess:
+        infinite = (c == -math.inf) if isinstance(kind, T.DoubleType) else F.lit(False)
+        return F.when(c.isNull() | (c > hi) | infinite, None).when(c < lo, -1).otherwise(number)
+    return F.when((c >= lo) & (c <= hi), number)
+
+
+def _double_share(iv: _Interval, kind: T.DataType, buckets: int) -> Column:
+    x, lo, hi = F.col(f"v{iv.column}"), F.lit(iv.lo), F.lit(iv.hi)
     if max(abs(iv.lo), abs(iv.hi)) > WIDE:
         # A few huge values would leave all others in one bucket, so divide the magnitudes instead.
-        x, lo, hi = (F.signum(e) * F.log1p(F.abs(e)) for e in (c, lo, hi))
+        x, lo, hi = (F.signum(e) * F.log1p(F.abs(e)) for e in (x, lo, hi))
     share = F.when(hi > lo, (x - lo) / F.nullif(hi - lo, F.lit(0.0))).otherwise(F.lit(0.0))
-    # The two ends always part, so that every pass shrinks the interval.
-    inner = F.greatest(F.lit(1), F.least(F.lit(buckets), F.floor(share * buckets).cast("int") + 1))
-    number = F.when(c == iv.lo, 0).when(c == iv.hi, buckets + 1).otherwise(inner)
-    return F.when((c >= iv.lo) & (c <= iv.hi), number)
+    return F.floor(share * buckets)
+
+
+def _whole_share(iv: _Interval, kind: T.DataType, buckets: int) -> Column:
+    """The quotient by a bucket's width: it cannot overflow, whatever the range, and is exact at width 1."""
+    width = (iv.hi - iv.lo) // (buckets - 1) + 1
+    base = abs(iv.lo) // width * (1 if iv.lo >= 0 else -1)
+    return F.expr(f"v{iv.column} div {width}L") - F.lit(base).cast("bigint")
 
 
-def _narrow(values: DataFrame, intervals: list[_Interval], buckets: int) -> list[_Interval]:
+def _decimal_share(iv: _Interval, kind: T.DecimalType, buckets: int) -> Column:
+    """Distances in units of the last digit. They are exact where a unit is a bucket; above that, quotients of decimals, whose
+    rounding keeps the order."""
+    c, unit = F.col(f"v{iv.column}"), Decimal(1).scaleb(-kind.scale)
+    with localcontext() as context:
+        context.prec = 2 * DECIMAL_DIGITS
+        lo, span = int(iv.lo / unit), int((iv.hi - iv.lo) / unit)
+        if span < buckets:
+            # the last digits alone tell the values apart
+            ring = 10 ** len(str(buckets))
+            last = (c % _decimal(ring * unit, kind.scale)) / _decimal(unit, kind.scale)
+            return F.pmod(last.cast("bigint") - F.lit(lo % ring).cast("bigint"), F.lit(ring).cast("bigint"))
+        width = _decimal((span // (buckets - 1) + 1) * unit, kind.scale)
+        if span < 10 ** (DECIMAL_DIGITS - 1):
+            return F.floor((c - _literal(iv.lo, kind)) / width)
+        return F.floor(c / width - _literal(iv.lo, kind) / width)
+
+
+def _decimal(value: Decimal, scale: int) -> Column:
+    digits = max(value.adjusted() + 1, 0) + scale
+    return F.lit(f"{value:f}").cast(T.DecimalType(min(DECIMAL_DIGITS, max(digits, 1)), scale))
+
+
+def _narrow(values: DataFrame, intervals: list[_Interval], kinds: list[T.DataType], ends: list[tuple], buckets: int) -> list[_Interval]:
     """One pass: the buckets that hold the wanted ranks, as new intervals."""
-    hits = [
-        F.struct(F.lit(t).alias("t"), _bucket(iv, buckets).alias("b"), F.col(f"v{iv.column}").alias("x"))
-        for t, iv in enumerate(intervals)
-    ]
+    present = list(dict.fromkeys(kinds[iv.column] for iv in intervals))
+
+    def hit(t: int, iv: _Interval) -> Column:
+        """A value under the field of its type."""
+        fields = [(F.col(f"v{iv.column}") if kinds[iv.column] == k else F.lit(None).cast(k)).alias(f"x{j}") for j, k in enumerate(present)]
+        return F.struct(F.lit(t).alias("t"), _bucket(iv, kinds[iv.column], buckets).alias("b"), *fields)
+
+    edges = [f(f"h.x{j}").alias(f"{name}{j}") for j in range(len(present)) for name, f in (("lo", F.min), ("hi", F.max))]
     histogram = (
-        values.select(F.explode(F.array(*hits)).alias("h"))
+        values.select(F.explode(F.array(*[hit(t, iv) for t, iv in enumerate(intervals)])).alias("h"))
         .where("h.b IS NOT NULL")
         .groupBy("h.t", "h.b")
-        .agg(F.count("*").alias("n"), F.min("h.x").alias("lo"), F.max("h.x").alias("hi"))
+        .agg(F.count("*").alias("n"), *edges)
     )
     # At most buckets + 2 rows per interval: a small window.
     upto = F.sum("n").over(Window.partitionBy("t").orderBy("b"))
@@ -152,13 +280,20 @@ def _narrow(values: DataFrame, intervals: list[_Interval], buckets: int) -> list
         histogram.withColumn("before", upto - F.col("n"))
         .withColumn("r", F.explode(wanted[F.col("t")]))
         .filter("r >= before AND r < before + n")
-        .select("t", "before", "lo", "hi", "r")
         .collect()
     )
     grouped: dict[tuple, set[int]] = {}
+    seen = set()
     for row in chosen:
         iv = intervals[row.t]
-        grouped.setdefault((iv.column, row.lo, row.hi, iv.below + row.before), set()).add(iv.below + row.r)
+        j = present.index(kinds[iv.column])
+        seen.add((row.t, iv.below + row.r))
+        grouped.setdefault((iv.column, row[f"lo{j}"], row[f"hi{j}"], iv.below + row.before), set()).add(iv.below + row.r)
+    # A rank above a guessed interval: all that is certain is that it lies beyond.
+    for t, iv in enumerate(intervals):
+        for r in iv.ranks:
+            if (t, r) not in seen:
+                grouped.setdefault((iv.column, *ends[iv.column], iv.below), set()).add(r)
     return [_Interval(c, lo, hi, below, frozenset(r)) for (c, lo, hi, below), r in grouped.items()]
 
 

@@ -73,9 +73,10 @@ def fit_fences(
             if quantiles == "exact"
             else approx_quantiles(df, measured, shares, error)
         )
-        for c, (q1, q3, *median) in found.items():
-            if q1 is None:
+        for c, quartiles in found.items():
+            if quartiles[0] is None:
                 continue
+            q1, q3, *median = map(float, quartiles)
             medians[c] = median[0] if median else None
             # Equal infinite quartiles leave no distance to widen by.
             if c in open_columns and not math.isnan(q3 - q1):

@@ -1,10 +1,11 @@
 import math
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from medallion.operators.ordering import approx_quantiles, exact_quantiles, neighbours, range_splits, running_total
+from medallion.operators.ordering import approx_quantiles, exact_quantiles, neighbours, order_statistics, range_splits, running_total
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -83,3 +84,28 @@ def test_splits_survive_one_hot_value(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("x"))
     splits = range_splits(df, "x", 1000, 50)
     assert len(splits) == len(set(splits)) > 3
+
+
+def test_whole_numbers_and_decimals_keep_their_type(spark):
+    """Neighbours above 2^53, both ends of bigint, and decimals of 38 digits, at every rank and with few buckets."""
+    rng = np.random.default_rng(4)
+    big = [2**53 + 1, 2**53 + 2, 2**53 + 3, -(2**63), 2**63 - 1, 0, None, *map(int, rng.integers(-(2**62), 2**62, 40))]
+    wide = [Decimal(f"{'-' if i % 3 else ''}{'9' * 26}{i:012d}") for i in range(44)] + [None, Decimal(0), Decimal("1e37")]
+    with localcontext() as context:
+        context.prec = 60
+        close = [Decimal("99999999.999999999999999999999999999999") - Decimal(i).scaleb(-30) for i in range(47)]
+        fine = [Decimal(i).scaleb(-30) + (Decimal(12345678) if i % 2 else 0) for i in range(46)] + [None]
+    df = spark.createDataFrame(list(zip(big, wide, fine, close, map(float, range(47)))), "b long, w decimal(38,0), f decimal(38,30), c decimal(38,30), x double").repartition(3)
+    for buckets in (4, 8192):
+        found = order_statistics(df, df.columns, lambda n: set(range(n)), buckets)
+        for name, values in (("b", big), ("w", wide), ("f", fine), ("c", close), ("x", map(float, range(47)))):
+            want = sorted(v for v in values if v is not None)
+            n, got = found[name]
+            assert n == len(want) and [got[i] for i in range(n)] == want, (name, buckets)
+            assert all(type(v) is type(want[0]) for v in got.values())
+
+
+def test_quantiles_between_large_values(spark):
+    df = spark.createDataFrame([(9007199254740993, Decimal("0.1")), (9007199254740995, Decimal("0.2"))], "n long, d decimal(38,18)")
+    assert exact_quantiles(df.limit(1), ["n"], [0.5]) == {"n": [9007199254740993]}
+    assert exact_quantiles(df, ["n", "d"], [0.0, 0.5]) == {"n": [9007199254740993, float(9007199254740994)], "d": [Decimal("0.1"), Decimal("0.15")]}

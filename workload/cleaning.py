@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from medallion.functions.columns import run_stamp
 from medallion.operators.clean import cast_columns, derive_columns, drop_columns, project
 from medallion.operators.features import feature_columns, hash_split
-from medallion.operators.ordering import approx_quantiles, exact_quantiles
+from medallion.operators.ordering import approx_quantiles, exact_quantiles, order_statistics
 from medallion.operators.outliers import fences_from_frame, fences_to_frame, fit_fences, flag_outliers, treat_outliers
+from medallion.operators.sketches import merge_sketches, read_sketches, sketched_fences, store_sketches
 from medallion.plans.config import TransformConfig
 from medallion.plans.jobs import transform
 from medallion.session import scratch_dir
@@ -17,6 +20,9 @@ from workload import query, table
 AS_OF = "2024-06-30"
 FENCE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
+#: Allowed rank error of merged sketches.
+SKETCH_ERROR = 0.01
+
 # Quartile fences of events.value as a one-row table.
 EVENT_FENCES = """
 WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, median(value) AS q2, quantile_cont(value, 0.75) AS q3 FROM events),
@@ -197,6 +203,43 @@ def outlier_cap(spark, sf_dir):
     return treat_outliers(orders, fences, "cap")
 
 
+def _sketched(name, condition):
+    return f"""SELECT '{name}' AS stage, '{{c}}' AS "column", count({{c}}) AS n, min({{c}}) AS least, max({{c}}) AS greatest,
+        true AS first, true AS second, true AS third FROM lineitem WHERE {condition}"""
+
+
+@query(
+    "\nUNION ALL ".join(
+        text.format(c=c) for text in (_sketched("first", "l_orderkey % 3 <> 0"), _sketched("both", "true")) for c in FENCE_COLUMNS
+    )
+)
+def sketched_fences_merge(spark, sf_dir):
+    """Two deliveries, sketched as they come (the second twice): the quartiles behind the merged fences, tested against the ranks in all
+    rows delivered so far. The fences are made from the stored sketches alone."""
+    lines, path = table(spark, sf_dir, "lineitem"), scratch_dir(spark, "sketches")
+    late = F.col("l_orderkey") % 3 == 0
+    out = []
+    for stage, deliveries, seen in (("first", {"1": lines.where(~late)}, lines.where(~late)), ("both", {"2": lines.where(late)}, lines)):
+        for _ in range(2):
+            for name, rows in deliveries.items():
+                store_sketches(rows, FENCE_COLUMNS, path, name)
+        sketches = read_sketches(spark, path)
+        ends = {r["column"]: r for r in merge_sketches(sketches).select("column", "n", "least", "greatest").collect()}
+        rows = []
+        for fence in sketched_fences(sketches):
+            c, spread = fence.column, (fence.upper - fence.lower) / 4
+            quartiles = (fence.lower + 1.5 * spread, fence.median, fence.upper - 1.5 * spread)
+            n = F.count(c)
+            within = [
+                (F.count_if(F.col(c) < q - 1e-6) <= n * (s + SKETCH_ERROR)) & (F.count_if(F.col(c) <= q + 1e-6) >= n * (s - SKETCH_ERROR))
+                for q, s in zip(quartiles, (0.25, 0.5, 0.75))
+            ]
+            fixed = [F.lit(v).alias(k) for k, v in (("stage", stage), ("column", c), ("n", ends[c].n), ("least", ends[c].least), ("greatest", ends[c].greatest))]
+            rows.append(F.struct(*fixed[:2], fixed[2].cast("long").alias("n"), *fixed[3:], *[w.alias(k) for w, k in zip(within, ("first", "second", "third"))]))
+        out.append(seen.agg(F.array(*rows).alias("rows")).select(F.inline("rows")))
+    return out[0].unionByName(out[1])
+
+
 @query(EVENT_FENCES + """
 , w AS (SELECT event_id, value, lag(value) OVER (ORDER BY value, event_id) AS before,
                lead(value) OVER (ORDER BY value, event_id) AS after FROM events)
@@ -230,6 +273,31 @@ def scoring_fences(spark, sf_dir):
     return treat_outliers(test, fences_from_frame(spark.read.parquet(path)))
 
 
+_TYPED = {
+    "huge": "l_orderkey * 1000003 + l_partkey + 9007199254740993",
+    "signed": "CASE WHEN l_linenumber % 2 = 0 THEN 9223372036854775807 - l_orderkey ELSE l_orderkey - 9223372036854775807 END",
+    "fine": "CAST(concat(CASE WHEN l_linenumber % 3 = 0 THEN '-' ELSE '' END, '99999999999999', lpad(CAST(l_orderkey AS VARCHAR(20)), 12, '0'), '.', lpad(CAST(l_partkey AS VARCHAR(20)), 12, '0')) AS DECIMAL(38,12))",
+    "vast": "CAST(concat(CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '' END, '99999999999999999999999999', lpad(CAST(l_orderkey AS VARCHAR(20)), 12, '0')) AS DECIMAL(38,0))",
+}
+_TYPED_SHARES = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
+
+
+@query(
+    "WITH t AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _TYPED.items()) + " FROM lineitem), "
+    + "n AS (SELECT count(*) - 1 AS last FROM t), shares AS (SELECT unnest([" + ", ".join(map(str, _TYPED_SHARES)) + "]::DOUBLE[]) AS share) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, share, v::VARCHAR AS value FROM shares, n, (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) - 1 AS place FROM t) WHERE place = floor(share * last)::BIGINT"
+        for c in _TYPED
+    )
+)
+def typed_order(spark, sf_dir):
+    """Values at given ranks of whole numbers above 2^53, of both signs up to the ends of their type, and of decimals of 38 digits."""
+    rows = table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(c) for c, e in _TYPED.items()])
+    found = order_statistics(rows, list(_TYPED), lambda n: {math.floor(p * (n - 1)) for p in _TYPED_SHARES})
+    out = [(c, p, f"{values[math.floor(p * (n - 1))]:f}" if "DECIMAL" in _TYPED[c] else str(values[math.floor(p * (n - 1))])) for c, (n, values) in found.items() for p in _TYPED_SHARES]
+    return spark.createDataFrame(out, "name string, share double, value string")
+
+
 ETL = TransformConfig(
     source="lineitem",
     destination="silver",
