@@ -6,15 +6,15 @@ import math
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from medallion.functions.columns import hash_number, number_or_null, quoted, resolve, row_key
+from medallion.operators.categories import CategoryIndexer
 from medallion.operators.ordering import exact_quantiles, order_statistics
 
-MAX_CATEGORIES = 10_000
 HASH_DIGITS = 13
 
 
@@ -47,12 +47,11 @@ def hash_split(df: DataFrame, test_percent: int = 20, seed: int = 42, key: list[
     def last(n: int) -> set[int]:
         return {math.ceil(n * test_percent / 100) - 1}
 
-    # The hash has 52 bits, so it is exact as a double.
     n, found = order_statistics(df.select(number.alias("h")), ["h"], last)["h"]
     if not n:
         return df, df.limit(0)
     (edge,) = found.values()
-    is_test = number <= F.lit(int(edge))
+    is_test = number <= F.lit(edge)
     return df.where(~is_test), df.where(is_test)
 
 
@@ -80,7 +79,7 @@ class MedianImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
         empty = [c for c in columns if found[c][0] is None]
         if empty:
             raise ValueError(f"columns {empty} have no value to take a median of")
-        return self._copyValues(MedianImputerModel(medians=[found[c][0] for c in columns]))
+        return self._copyValues(MedianImputerModel(medians=[float(found[c][0]) for c in columns]))
 
 
 class MedianImputerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
@@ -181,21 +180,8 @@ class NumericScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWr
         )
 
 
-class LimitedIndexer(StringIndexer):
-    """A StringIndexer that measures its columns before it gathers their values on the driver."""
-
-    limit = MAX_CATEGORIES
-
-    def _fit(self, dataset):
-        check_cardinality(dataset, self.getInputCols(), self.limit)
-        return super()._fit(dataset)
-
-
-def check_cardinality(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> None:
-    """Refuse to one-hot encode columns whose distinct values would not fit in an encoder.
-
-    An encoder keeps every value on the driver and in every task, so its size is measured first.
-    """
+def check_cardinality(df: DataFrame, columns: list[str], limit: int = 10_000) -> None:
+    """Refuse columns with more distinct values than ``limit``."""
     if not columns:
         return
     counts = df.agg(*[F.count_distinct(quoted(resolve(df, c))).alias(f"a{i}") for i, c in enumerate(columns)]).first()
@@ -204,6 +190,17 @@ def check_cardinality(df: DataFrame, columns: list[str], limit: int = MAX_CATEGO
         raise ValueError(f"too many categories to one-hot encode (limit {limit}): {large}; drop them or use encoding='hash'")
 
 
+class LimitedIndexer(CategoryIndexer):
+    """A CategoryIndexer that refuses columns above a limit."""
+
+    limit: int | None = None
+
+    def _fit(self, dataset):
+        if self.limit is not None:
+            check_cardinality(dataset, self.getInputCols(), self.limit)
+        return super()._fit(dataset)
+
+
 def build_preprocessor(
     numeric: list[str],
     categorical: list[str],
@@ -213,14 +210,15 @@ def build_preprocessor(
     ddof: int = 0,
     encoding: str = "onehot",
     hash_features: int = 1 << 12,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
     output: str = "features",
 ) -> Pipeline:
     """An unfitted pipeline from columns to a feature vector.
 
     Numbers are imputed by their median and standardised, text by its most frequent value and one-hot
     encoded, where an unseen value gives all zeros. ``scope='all'`` standardises the whole vector
-    instead (sample deviation). ``median='approx'`` takes an element near the median.
+    instead (sample deviation). ``median='approx'`` takes an element near the median. Categories are numbered in a table, so
+    there may be any number of them; ``max_categories`` refuses columns with more.
     """
     if scope not in ("numeric", "all"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -241,7 +239,7 @@ def build_preprocessor(
         stages.append(ModeImputer(inputCols=categorical, outputCols=known))
         if encoding == "onehot":
             index, onehot = [f"{c}__index" for c in categorical], [f"{c}__onehot" for c in categorical]
-            indexer = LimitedIndexer(inputCols=known, outputCols=index, handleInvalid="keep")
+            indexer = LimitedIndexer(inputCols=known, outputCols=index)
             indexer.limit = max_categories
             stages.append(indexer)
             # The last index is the one of unseen values; dropping it leaves zeros.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from medallion.functions.columns import quoted, require_absent, resolve
-from medallion.operators.features import MAX_CATEGORIES, build_preprocessor, feature_columns
+from medallion.operators.features import build_preprocessor, feature_columns
 
 ESTIMATORS = {
     "linear_regression": LinearRegression,
@@ -23,8 +23,11 @@ ESTIMATORS = {
     "random_forest_classifier": RandomForestClassifier,
 }
 MAX_MODEL_BYTES = 256 << 20
-#: A forest depends on how rows are dealt out, so the number of pieces does not follow the cluster.
-TRAIN_PARTITIONS = 32
+#: Training rows of a piece. A forest depends on how rows are dealt out, so pieces follow the rows alone, not the cluster.
+ROWS_PER_PIECE = 200_000
+LEAST_PIECES = 8
+#: Equal rows that stay together when they are dealt out.
+EQUAL_ROWS = 1024
 
 
 def make_estimator(name: str, **params):
@@ -53,15 +56,16 @@ def train_model(
     *,
     exclude: list[str] | None = None,
     encoding: str = "onehot",
-    max_categories: int = MAX_CATEGORIES,
-    partitions: int = TRAIN_PARTITIONS,
+    max_categories: int | None = None,
+    rows_per_piece: int = ROWS_PER_PIECE,
     cache: bool = True,
     **preprocessing,
 ) -> PipelineModel:
     """Fit preprocessing and estimator as one pipeline on the training rows only.
 
     Rows without a target are left out. Only the columns the pipeline needs are kept, and cached while
-    fitting (on disk where memory ends), since every stage and every iteration reads them again.
+    fitting (on disk where memory ends), since every stage and every iteration reads them again. They are dealt to pieces by
+    their content, so the same rows give the same model however the input lies.
     """
     target = resolve(train, target)
     numeric, text = feature_columns(train, target, exclude)
@@ -70,11 +74,30 @@ def train_model(
     estimator.setFeaturesCol("features")
     estimator.setLabelCol(target)
     prepare = build_preprocessor(numeric, text, encoding=encoding, max_categories=max_categories, **preprocessing)
-    rows = rows.repartition(partitions)
+    rows = dealt(rows, rows_per_piece)
     with _cached(rows) if cache else nullcontext(rows) as rows:
         return Pipeline(stages=[*prepare.getStages(), estimator]).fit(rows)
 
 
+def dealt(rows: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """The rows in pieces that their content and number decide, in an order that their content decides.
+
+    Equal rows are counted before they move, and dealt to the pieces in lots, so that a row which occurs very often
+    does not fill one piece.
+    """
+    require_absent(rows, "__n", "__lot", "__piece", "__row")
+    names = [quoted(c) for c in rows.columns]
+    total = rows.count()
+    pieces = max(LEAST_PIECES, -(-total // rows_per_piece))
+    counted = rows.groupBy(*names).agg(F.count("*").alias("__n"))
+    lots = counted.withColumn("__lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__n - 1) div {EQUAL_ROWS}"))))
+    many = F.lit(pieces).cast("long")
+    piece = F.pmod(F.pmod(F.xxhash64(*names), many) + F.pmod("__lot", many), many).cast("int")
+    size = F.least(F.lit(EQUAL_ROWS).cast("long"), F.col("__n") - F.col("__lot") * EQUAL_ROWS)
+    placed = lots.select(*names, piece.alias("__piece"), size.alias("__n")).repartitionById(pieces, "__piece").sortWithinPartitions("__piece", *names)
+    return placed.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("__row")).drop("__row")
+
+
 @contextmanager
 def _cached(df: DataFrame) -> Iterator[DataFrame]:
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,7 +1,11 @@
+import collections
+import random
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from medallion.operators import models
 from medallion.operators.features import hash_split
 from medallion.operators.metrics import binary_metrics, regression_metrics
 from medallion.operators.models import (
@@ -118,3 +122,33 @@ def test_prediction_column_must_be_free(listings):
     model = train_model(listings, make_estimator("linear_regression"), "Price", exclude=["id"])
     with pytest.raises(ValueError):
         score(listings.withColumn("predictions", F.lit(1)), model)
+
+
+def forest_rows(spark):
+    """A third of the rows are one row; some have no target."""
+    rng = random.Random(5)
+    rows = [(float(rng.randrange(50)), rng.choice(["a", "b", "c"]), None if i % 40 == 0 else float(i % 17)) for i in range(1500)]
+    return spark.createDataFrame(rows + [(7.0, "a", 3.0)] * 700, "x double, c string, y double")
+
+
+@pytest.mark.parametrize("name", ["random_forest_regressor", "random_forest_classifier"])
+def test_forests_do_not_depend_on_the_layout(spark, name):
+    rows, seen = forest_rows(spark), []
+    for layout in (rows.repartition(4), rows.repartition(12), rows.orderBy("x").coalesce(1)):
+        model = train_model(layout, make_estimator(name, numTrees=6, maxDepth=4), "y", rows_per_piece=150)
+        seen.append((model.stages[-1].toDebugString.split("\n", 1)[1], sorted(r.p for r in score(rows, model, "p").select("p").collect())))
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_rows_are_dealt_by_content(spark, monkeypatch):
+    monkeypatch.setattr(models, "EQUAL_ROWS", 16)
+    rows = forest_rows(spark)
+    pieces = []
+    for n in (3, 11):
+        placed = models.dealt(rows.repartition(n), 150).withColumn("piece", F.spark_partition_id())
+        pieces.append([tuple(r) for r in placed.collect()])
+    assert pieces[0] == pieces[1]
+    assert collections.Counter(p[:3] for p in pieces[0]) == collections.Counter(map(tuple, rows.collect()))
+    sizes = collections.Counter(p[3] for p in pieces[0])
+    assert len(sizes) == 15 and max(sizes.values()) < 300  # the frequent row alone has 700
+    assert models.dealt(rows.limit(0)).count() == 0

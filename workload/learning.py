@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from medallion.operators.categories import CategoryIndexer
 from medallion.operators.features import (
     MedianImputer,
     ModeImputer,
@@ -89,12 +90,33 @@ PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 def one_hot(spark, sf_dir):
     """Fitted on all types, then applied to rows of which every eleventh has an unknown type."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    index = StringIndexer(inputCols=["p_type"], outputCols=["index"], handleInvalid="keep", stringOrderType="alphabetAsc")
+    index = CategoryIndexer(inputCols=["p_type"], outputCols=["index"])
     onehot = OneHotEncoder(inputCols=["index"], outputCols=["hot"], dropLast=True)
     fitted = Pipeline(stages=[index, onehot]).fit(parts)
     strange = parts.withColumn("p_type", F.when(F.col("p_partkey") % 11 == 0, "UNKNOWN").otherwise(F.col("p_type")))
     hot = fitted.transform(strange).withColumn("hot", vector_to_array("hot"))
-    return hot.select("p_partkey", *[F.col("hot")[i].alias(f"is_{t.lower()}") for i, t in enumerate(fitted.stages[0].labels)])
+    places = {r.value: r["index"] for r in fitted.stages[0].categories(spark).where(F.col("value").isin(PART_TYPES)).collect()}
+    return hot.select("p_partkey", *[F.col("hot")[places[t]].alias(f"is_{t.lower()}") for t in PART_TYPES])
+
+
+@query("""
+WITH lines AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey,
+         CASE WHEN l_returnflag = 'A' THEN 'common' ELSE concat(l_orderkey, '-', l_linenumber, '-', l_partkey) END AS v, concat('s', l_suppkey) AS s FROM lineitem),
+v AS (SELECT v, row_number() OVER (ORDER BY count(*) DESC, v) - 1 AS i FROM lines GROUP BY v),
+s AS (SELECT s, row_number() OVER (ORDER BY count(*) DESC, s) - 1 AS j FROM lines GROUP BY s)
+SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 11 = 0 THEN (SELECT count(*) FROM v) ELSE i END::DOUBLE AS line, j::DOUBLE AS supplier
+FROM lines JOIN v USING (v) JOIN s USING (s)
+""")
+def many_categories(spark, sf_dir):
+    """A column with a category for two of three rows, and one category with the others, numbered; then applied where a part is unseen."""
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "A", "common").otherwise(line).alias("v"), F.concat(F.lit("s"), "l_suppkey").alias("s"), "l_suppkey"
+    )
+    fitted = CategoryIndexer(inputCols=["v", "s"], outputCols=["line", "supplier"]).fit(lines)
+    strange = lines.withColumn("v", F.when(F.col("l_suppkey") % 11 == 0, F.lit(None)).otherwise(F.col("v")))
+    return fitted.transform(strange).select("l_orderkey", "l_linenumber", "line", "supplier")
 
 
 @query("""
