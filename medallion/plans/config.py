@@ -102,18 +102,27 @@ class InferenceConfig:
 
 @dataclass
 class IngestConfig:
-    """Messages to documents. ``path`` names a folder of text files, otherwise a topic is read."""
+    """Messages to documents. ``path`` names a folder, otherwise a topic is read.
+
+    ``path_format`` tells what the folder holds: ``text`` (a message per line) or ``messages`` (Parquet with topic, partition,
+    offset and value). ``delivery`` is ``path`` (a directory per micro-batch), ``commit`` (committed runs, each message once
+    by its offset) or ``store`` (``store_format`` with ``store_options``). Runs with a ``message_limit`` are always committed runs.
+    """
 
     destination: str
-    checkpoint: str
+    checkpoint: str | None = None
     rejects: str | None = None
     schema: str | None = None
     path: str | None = None
+    path_format: str = "text"
     bootstrap_servers: str | None = None
     topic: str | None = None
     group_id: str | None = None
     batch_size: int | None = None
     message_limit: int | None = None
+    delivery: str = "path"
+    store_format: str | None = None
+    store_options: dict = field(default_factory=dict)
     source_options: dict = field(default_factory=dict)
 
 

@@ -26,11 +26,12 @@ from medallion.plans.config import (
     TransformConfig,
 )
 from medallion.session import staged
-from medallion.sources.documents import file_stream, message_stream, read_documents, read_messages
+from medallion.sources.documents import BrokerTopic, FolderTopic, Topic, file_stream, read_documents
 from medallion.sources.relational import read_jdbc, read_sql
 from medallion.sources.sinks import publish_json, write_csv, write_if_any, write_table
 from medallion.sources.tables import read_csv, read_table
-from medallion.streaming.ingest import ingest_bounded, ingest_json_stream
+from medallion.streaming.ingest import ingest_committed_stream, ingest_json_stream, store_sink
+from medallion.streaming.ledger import ingest_next
 
 COLUMNAR = ("parquet", "orc", "delta")
 
@@ -166,27 +167,41 @@ def inference_job(spark: SparkSession, config: InferenceConfig) -> bool:
     return write_if_any(df, lambda rows: _store(score(rows, model), config.destination, config.destination_format))
 
 
+def message_topic(config: IngestConfig) -> Topic:
+    """Where the messages of an ingest come from."""
+    if config.path:
+        return FolderTopic(config.path)
+    options = {"groupIdPrefix": config.group_id, **config.source_options} if config.group_id else config.source_options
+    return BrokerTopic(config.bootstrap_servers, config.topic, options)
+
+
 def ingest_job(spark: SparkSession, config: IngestConfig) -> None:
     """Messages to documents, until the input present now is consumed.
 
-    With ``message_limit`` a bounded batch reads the first readable messages; without it a stream
+    With ``message_limit`` a run takes the next readable messages after those of the runs before it; without it a stream
     goes on where its checkpoint ended.
     """
+    if config.delivery not in ("path", "commit", "store") or config.path_format not in ("text", "messages"):
+        raise ValueError("delivery is 'path', 'commit' or 'store', path_format 'text' or 'messages'")
+    lines = config.path is not None and config.path_format == "text"
+    if lines and (config.message_limit is not None or config.delivery == "commit"):
+        raise ValueError("lines of text have no offsets; committed runs need those of a topic")
     if config.message_limit is not None:
-        if config.path:
-            raise ValueError("a bounded run needs the offsets of a topic")
-        messages = read_messages(spark, config.bootstrap_servers, config.topic, **config.source_options)
-        found = ingest_bounded(messages, config.schema, config.message_limit, ["partition", "offset"])
-        write_table(found.drop("partition", "offset"), config.destination, mode="append")
+        ingest_next(spark, message_topic(config), config.schema, config.destination, config.message_limit, config.rejects)
         return
-    if config.path:
+    if config.checkpoint is None:
+        raise ValueError("a stream needs a checkpoint")
+    if lines:
         stream = file_stream(spark, config.path, config.batch_size)
     else:
-        options = {"groupIdPrefix": config.group_id, **config.source_options} if config.group_id else config.source_options
-        stream = message_stream(spark, config.bootstrap_servers, config.topic, config.batch_size, **options)
-    query = ingest_json_stream(
-        stream, config.schema, config.destination, config.checkpoint, rejects=config.rejects
-    )
+        stream = message_topic(config).stream(spark, config.batch_size)
+    if config.delivery == "commit":
+        query = ingest_committed_stream(stream, config.schema, config.destination, config.checkpoint, rejects=config.rejects, gaps_stay=config.path is None)
+    elif config.delivery == "store":
+        sink = store_sink(config.store_format, **config.store_options)
+        query = ingest_json_stream(stream, config.schema, sink, config.checkpoint, rejects=config.rejects, keep_id=not lines)
+    else:
+        query = ingest_json_stream(stream, config.schema, config.destination, config.checkpoint, rejects=config.rejects)
     query.awaitTermination()
 
 

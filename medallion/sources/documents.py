@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import json
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from medallion.functions.columns import quoted
+from medallion.sources.arrays import split_array
 
 
 def read_documents(
@@ -19,12 +24,12 @@ def read_documents(
     """Read a whole collection of nested documents.
 
     JSON lines are split among tasks. ``array_file=True`` reads files that hold one JSON array each,
-    every element a record; such a file is parsed by one task. Other document stores are reached by
-    ``fmt`` and ``options`` when their package is on the classpath.
+    every element a record; they are cut into their elements first, large ones by many tasks. Other document stores are
+    reached by ``fmt`` and ``options`` when their package is on the classpath.
     """
     reader = spark.read.format(fmt)
-    if fmt == "json":
-        reader = reader.option("multiLine", array_file)
+    if fmt == "json" and array_file:
+        path = split_array(spark, path)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**options).load(path) if path else reader.options(**options).load()
@@ -42,6 +47,99 @@ def message_stream(spark: SparkSession, servers: str, topic: str, batch_size: in
     return _topic(spark.readStream, servers, topic, options).load()
 
 
+MESSAGE_KEY = ("topic", "partition", "offset")
+MESSAGE = "topic STRING, partition INT, offset BIGINT, value STRING"
+
+
+@dataclass(frozen=True, order=True)
+class Span:
+    """Offsets of a partition from ``start`` up to and without ``end``."""
+
+    topic: str
+    partition: int
+    start: int
+    end: int
+
+
+class Topic:
+    """A topic read as batches between explicit offsets."""
+
+    def ends(self, spark: SparkSession) -> list[Span]:
+        """For each partition the offsets present now."""
+        raise NotImplementedError
+
+    def read(self, spark: SparkSession, spans: Iterable[Span]) -> DataFrame:
+        """``topic, partition, offset, value`` of the messages in ``spans``."""
+        raise NotImplementedError
+
+    def stream(self, spark: SparkSession, batch_size: int | None = None) -> DataFrame:
+        """All messages from the first on, as a stream."""
+        raise NotImplementedError
+
+
+def _present(messages: DataFrame) -> list[Span]:
+    ends = messages.groupBy("topic", "partition").agg(F.min("offset").alias("start"), (F.max("offset") + 1).alias("end"))
+    return [Span(*r) for r in ends.select("topic", "partition", "start", "end").collect()]  # one row per partition
+
+
+def inside(spans: Iterable[Span]) -> Column:
+    """Whether a message lies in one of the spans."""
+    found = F.lit(False)
+    for s in spans:
+        found = found | ((F.col("topic") == s.topic) & (F.col("partition") == s.partition) & (F.col("offset") >= s.start) & (F.col("offset") < s.end))
+    return F.coalesce(found, F.lit(False))
+
+
+@dataclass(frozen=True)
+class BrokerTopic(Topic):
+    """A topic of a message broker; needs its package on the classpath."""
+
+    servers: str
+    topic: str
+    options: dict = field(default_factory=dict)
+
+    def ends(self, spark):
+        # The offsets present now are resolved by this one query; later ones read up to them.
+        return _present(read_messages(spark, self.servers, self.topic, **self.options))
+
+    def read(self, spark, spans):
+        return read_messages(spark, self.servers, self.topic, **{**self.options, **self.offsets(spans)}).select(*MESSAGE_KEY, "value")
+
+    @staticmethod
+    def offsets(spans: Iterable[Span]) -> dict[str, str]:
+        """Options that read exactly these offsets, of no other partition."""
+        bounds: dict[str, dict[str, dict[str, int]]] = {"start": {}, "end": {}}
+        for s in spans:
+            for side, known in bounds.items():
+                known.setdefault(s.topic, {})[str(s.partition)] = getattr(s, side)
+        return {"startingOffsets": json.dumps(bounds["start"]), "endingOffsets": json.dumps(bounds["end"]), "assign": json.dumps({t: sorted(map(int, p)) for t, p in bounds["end"].items()})}
+
+    def stream(self, spark, batch_size=None):
+        return message_stream(spark, self.servers, self.topic, batch_size, **self.options)
+
+
+@dataclass(frozen=True)
+class FolderTopic(Topic):
+    """A folder of Parquet files with ``topic, partition, offset, value``, to which files with higher offsets may be added."""
+
+    path: str
+
+    def ends(self, spark):
+        return _present(self._all(spark))
+
+    def read(self, spark, spans):
+        return self._all(spark).where(inside(spans))
+
+    def _all(self, spark):
+        return spark.read.schema(MESSAGE).parquet(self.path).where("topic IS NOT NULL AND partition IS NOT NULL AND offset IS NOT NULL")
+
+    def stream(self, spark, batch_size=None):
+        reader = spark.readStream.schema(MESSAGE)
+        if batch_size is not None:
+            reader = reader.option("maxFilesPerTrigger", batch_size)
+        return reader.parquet(self.path)
+
+
 def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """New text files in a folder, one message per line, as a stream with a ``value`` column."""
     reader = spark.readStream.format("text")
@@ -62,10 +160,7 @@ def encode_json(df: DataFrame, value: str = "value", keep_nulls: bool = True) ->
 
 
 def _topic(reader, servers, topic, options):
-    return (
-        reader.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .options(**options)
-    )
+    reader = reader.format("kafka").option("kafka.bootstrap.servers", servers)
+    if "assign" not in options:
+        reader = reader.option("subscribe", topic)
+    return reader.option("startingOffsets", "earliest").options(**options)

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medallion.operators.documents import decode_json, valid_documents
+from medallion.plans.config import IngestConfig
+from medallion.plans.jobs import ingest_job
 from medallion.session import scratch_dir
-from medallion.sources.documents import encode_json, file_stream
+from medallion.sources.documents import FolderTopic, Span, encode_json, file_stream
 from medallion.sources.sinks import publish_json
 from medallion.streaming.ingest import ingest_bounded, ingest_json_stream
+from medallion.streaming.ledger import Ledger, ingest_batch, next_spans, read_committed, stage
 from workload import query, table
 
 EVENT = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
@@ -60,3 +63,65 @@ def publish_replay(spark, sf_dir):
     orders, path = table(spark, sf_dir, "orders").drop("o_orderdate"), scratch_dir(spark, "published")
     publish_json(orders, path=path)
     return valid_documents(decode_json(spark.read.text(path), orders.schema))
+
+
+PARTITIONS = 4
+
+
+def _topic(spark, sf_dir):
+    """Events as messages of four partitions, every seventh cut short."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    text = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    place = (F.col("event_id") % PARTITIONS).cast("int").alias("partition"), F.expr(f"event_id div {PARTITIONS}").alias("offset")
+    return events.select(F.lit("events").alias("topic"), *place, F.when(F.col("event_id") % 7 == 0, F.substring(text, 1, 5)).otherwise(text).alias("value"))
+
+
+@query(f"""
+WITH messages AS (
+  SELECT *, event_id % {PARTITIONS} AS p, event_id // {PARTITIONS} AS o, event_id < (SELECT count(*) // 2 FROM events) AS early, (SELECT count(*) // 8 FROM events) AS n
+  FROM events WHERE event_id % 7 <> 0),
+begun AS (SELECT *, row_number() OVER (ORDER BY p, o) AS place FROM messages WHERE early),
+left_over AS (
+  SELECT m.*, row_number() OVER (ORDER BY m.p, m.o) AS place FROM messages m LEFT JOIN begun b USING (event_id) WHERE b.place IS NULL OR b.place > 2 * m.n)
+SELECT ((place - 1) // n)::BIGINT AS run, event_id, user_id, event_type, value FROM begun WHERE place <= 2 * n
+UNION ALL SELECT 2 AS run, event_id, user_id, event_type, value FROM left_over WHERE place <= n
+""")
+def bounded_continues(spark, sf_dir):
+    """Bounded runs that go on where the last one ended. Half of the events are there at first. The second run is broken off before
+    it commits, the rest of the events arrives, and it is run again: its offsets stay those of its plan."""
+    messages, source, sink = _topic(spark, sf_dir), scratch_dir(spark, "topic"), scratch_dir(spark, "runs")
+    whole = table(spark, sf_dir, "events").count()
+    early = F.col("offset") * PARTITIONS + F.col("partition") < whole // 2
+    messages.where(early).write.parquet(source)
+    topic, limit = FolderTopic(source), whole // 8
+    config = IngestConfig(destination=sink, schema=EVENT, path=source, path_format="messages", message_limit=limit)
+    ingest_job(spark, config)
+    ledger = Ledger(spark, sink)
+    covered = ledger.last().covered
+    spans = ledger.plan(1, next_spans(topic, spark, EVENT, limit, covered))
+    stage(ledger, topic.read(spark, spans), EVENT, 1, spans, covered)  # not committed
+    messages.where(~early).write.mode("append").parquet(source)
+    ingest_job(spark, config)
+    ingest_job(spark, config)
+    return read_committed(spark, sink).select(F.col("_run").alias("run"), "event_id", "user_id", "event_type", "value")
+
+
+@query(f"""
+SELECT event_id, user_id, event_type, value, event_id % {PARTITIONS} AS "partition", event_id // {PARTITIONS} AS "offset" FROM events WHERE event_id % 7 <> 0
+""")
+def keyed_batches(spark, sf_dir):
+    """Batches broken off, delivered twice, and all delivered again from the first message on: every message counts once."""
+    messages, sink = _topic(spark, sf_dir), scratch_dir(spark, "keyed")
+    middle = messages.agg(F.expr("max(offset) div 2").alias("m")).first().m
+    first, second = messages.where(F.col("offset") < middle), messages.where(F.col("offset") >= middle)
+    ledger, spans = Ledger(spark, sink), [Span("events", p, 0, middle) for p in range(PARTITIONS)]
+    stage(ledger, first, EVENT, 0, spans, ())  # broken off: written, not committed
+    for batch in (first, first, second):
+        ingest_batch(spark, batch, EVENT, sink)
+    source = scratch_dir(spark, "topic")
+    messages.repartitionByRange(4, "offset").write.parquet(source)
+    for checkpoint in ("one", "lost"):
+        config = IngestConfig(sink, scratch_dir(spark, checkpoint), schema=EVENT, path=source, path_format="messages", delivery="commit", batch_size=2)
+        ingest_job(spark, config)
+    found = read_committed(spark, sink)
+    return found.select("event_id", "user_id", "event_type", "value", F.col("_message.partition").cast("bigint").alias("partition"), "_message.offset")
