@@ -24,7 +24,6 @@ of their own and count as such; an empty table gives an empty result; other colu
 from __future__ import annotations
 
 import json
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -42,9 +41,8 @@ from medallion.llm.common import saved
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: Bytes of token ids taken at once in a task, and windows or pairs counted before they leave it.
-CUT_BYTES = 2 << 20
-COUNTED = 1 << 18
+#: Bytes of token ids taken at once in a task.
+CUT_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -54,7 +52,7 @@ class AlignSpec:
     pieces: str = "piece_bpe_32k.model"
     #: Pairs that every task knows, at most.
     common_pairs: int = 1 << 20
-    #: Windows whose alignment a task remembers, at most.
+    #: Windows whose alignment a task remembers, about.
     windows: int = 1 << 18
 
 
@@ -117,8 +115,13 @@ class Vocabularies:
         return tuple(np.array([t[:1] == b" " for t in table]) for table in (self.a_bytes, self.b_bytes))
 
     @cached_property
-    def kinds(self) -> tuple[np.dtype, np.dtype]:
-        return tuple(np.dtype("<u2" if len(table) <= 1 << 16 else "<u4") for table in (self.a_bytes, self.b_bytes))
+    def kind(self) -> np.dtype:
+        """Type of ids as they are written; its greatest value stands between the two sides of a window."""
+        return np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) < 1 << 16 else "<u4")
+
+    @cached_property
+    def between(self) -> int:
+        return int(np.iinfo(self.kind).max)
 
     def encode(self, text: str | None) -> tuple[bytes, bytes]:
         """Ids of both tokenizers, none where the bytes of either are not those of a space and the text."""
@@ -126,69 +129,146 @@ class Vocabularies:
             return b"", b""
         whole = b" " + text.encode("utf-8", "surrogatepass")
         b = self.model.encode(text)
-        if b"".join([self.b_bytes[i] for i in b]) != whole:
+        if b"".join(map(self.b_bytes.__getitem__, b)) != whole:
             return b"", b""
-        a = self.encoder.encode_ordinary(" " + text)
-        if b"".join([self.a_bytes[i] for i in a]) != whole:
+        a = np.array(self.encoder.encode_ordinary(" " + text), self.kind)
+        if self.sizes[0][a].sum() != len(whole):  # a byte-level vocabulary keeps every byte it is given
             return b"", b""
-        return np.array(a, self.kinds[0]).tobytes(), np.array(b, self.kinds[1]).tobytes()
-
-    def windows(self, a: list[bytes], b: list[bytes]) -> tuple[list[tuple[bytes, bytes]], list[int]]:
-        """The windows of several texts in order, as tuples of ids, and how many each text has."""
-        (wide_a, wide_b), joined_a, joined_b = self.kinds, b"".join(a), b"".join(b)
-        if not joined_a:
-            return [], [0] * len(a)
-        ids_a, ids_b = np.frombuffer(joined_a, wide_a), np.frombuffer(joined_b, wide_b)
+        return a.tobytes(), np.array(b, self.kind).tobytes()
+
+    def windows(self, a: list[bytes], b: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """The windows of several texts in order, each the ids of A, a mark and those of B, and how many each text has."""
+        ids_a, ids_b = (np.frombuffer(b"".join(x), self.kind) for x in (a, b))
+        if not len(ids_a):
+            return [], np.zeros(len(a), np.int64)
         ends_a, ends_b = np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b])
         at = np.searchsorted(ends_b, ends_a)
         i = np.flatnonzero(ends_b[at] == ends_a)
         j = at[i]
-        last = np.cumsum([len(x) for x in a]) // wide_a.itemsize - 1
+        # shared ends before marked tokens of both, and the ends of texts
+        last = np.cumsum([len(x) for x in a]) // self.kind.itemsize - 1
         anchor = np.isin(i, last)
         inside = np.flatnonzero(~anchor)
         anchor[inside] = self.marked[0][ids_a[i[inside] + 1]] & self.marked[1][ids_b[j[inside] + 1]]
-        to_a, to_b = (i[anchor] + 1) * wide_a.itemsize, (j[anchor] + 1) * wide_b.itemsize
-        counts = np.diff(np.searchsorted(to_a, (last + 1) * wide_a.itemsize, "right"), prepend=0)
-        to_a, to_b = to_a.tolist(), to_b.tolist()
-        parts = zip([0, *to_a[:-1]], to_a, [0, *to_b[:-1]], to_b)
-        return [(joined_a[p:q], joined_b[r:s]) for p, q, r, s in parts], counts.tolist()
-
-    def align(self, window: tuple[bytes, bytes]) -> tuple[str, int, list[int]]:
-        """The groups of a window as text, how many there are, and its links as numbers ``a * size of B + b``."""
-        a, b = (np.frombuffer(w, kind).tolist() for w, kind in zip(window, self.kinds))
-        size_a, size_b, width = self.a_bytes, self.b_bytes, len(self.b_bytes)
-        links, groups, i, j = [], [], 0, 0
-        end_a, end_b, from_a, from_b = len(size_a[a[0]]), len(size_b[b[0]]), 0, 0
-        while True:
-            links.append(a[i] * width + b[j])
-            if end_a < end_b:
-                i += 1
-                end_a += len(size_a[a[i]])
-            elif end_b < end_a:
-                j += 1
-                end_b += len(size_b[b[j]])
-            else:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-                if i == len(a):
-                    return ";".join(groups), len(groups), links
-                from_a, from_b = i, j
-                end_a += len(size_a[a[i]])
-                end_b += len(size_b[b[j]])
-
-
-class Memo(dict):
-    """Results by key, worked out when first asked for; forgotten when there are too many."""
-
-    def __init__(self, work, limit: int):
-        super().__init__()
-        self.work, self.limit = work, limit
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.work(key)
-        return value
+        to_a, to_b = i[anchor] + 1, j[anchor] + 1
+        counts = np.diff(np.searchsorted(to_a, last + 1, "right"), prepend=0)
+        # side by side: A's ids, the mark, B's ids, window after window
+        number = np.arange(len(to_a))
+        from_a, from_b = np.concatenate(([0], to_a[:-1])), np.concatenate(([0], to_b[:-1]))
+        laid = np.full(len(ids_a) + len(ids_b) + len(number), self.between, self.kind)
+        laid[np.arange(len(ids_a)) + np.repeat(from_b + number, to_a - from_a)] = ids_a
+        laid[np.arange(len(ids_b)) + np.repeat(to_a + number + 1, to_b - from_b)] = ids_b
+        ends = ((to_a + to_b + number + 1) * self.kind.itemsize).tolist()
+        data = laid.tobytes()
+        return [data[p:q] for p, q in zip([0, *ends[:-1]], ends)], counts
+
+    def align(self, windows: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Links as numbers ``a * size of B + b``, the window of each, and the ends of groups: window, tokens of A and of B up to there.
+
+        The bytes between two neighbouring token ends, of whichever side, lie in one token of each: they are a link.
+        """
+        laid = np.frombuffer(b"".join(windows), self.kind)
+        marks = np.flatnonzero(laid == self.between)
+        starts = np.cumsum([0, *map(len, windows[:-1])]) // self.kind.itemsize
+        first = np.zeros(len(laid), bool)
+        edge = np.zeros(len(laid) + 1, np.int64)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, marks, -1)
+        first = np.cumsum(edge[:-1]) > 0
+        second = ~first
+        second[marks] = False
+        ids_a, ids_b = laid[first].astype(np.int64), laid[second].astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b])
+        borders = ends_a[np.cumsum(marks - starts) - 1]
+        cuts = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")
+        cuts = cuts[np.concatenate((cuts[1:] != cuts[:-1], [True]))]
+        i, j = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        owner = np.searchsorted(borders, cuts)
+        groups = (ends_a[i] == cuts) & (ends_b[j] == cuts)
+        return ids_a[i] * len(self.b_bytes) + ids_b[j], owner, owner[groups], i[groups] + 1, j[groups] + 1, ids_a, ids_b
+
+
+class WindowMemo:
+    """Alignments of windows by their ids, worked out together for those not seen before.
+
+    ``first`` and ``links`` hold the links of a window, ``groups`` their number and ``texts`` them written out, each group with a
+    semicolon after it. With the common
+    pairs known, ``sums`` and ``tops`` add up those links, and ``rare`` tells whether there are others.
+    """
+
+    def __init__(self, vocabularies: Vocabularies, common=None):
+        self.vocabularies, self.common = vocabularies, common
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.first, self.links = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.groups, self.sums, self.tops, self.rare = (np.zeros(0, np.int64) for _ in range(4))
+        self.known = np.zeros(0, bool)
+        self.texts: list[str] = []
+
+    def look_up(self, windows: list[bytes]) -> np.ndarray:
+        """Numbers of the windows."""
+        numbers, fresh = self.numbers, []
+        found = list(map(numbers.get, windows))
+        for i in [i for i, n in enumerate(found) if n is None]:
+            window, new = windows[i], len(numbers)
+            found[i] = numbers.setdefault(window, new)
+            if found[i] == new:
+                fresh.append(window)
+        if fresh:
+            self._add(fresh)
+        return np.array(found, np.int64)
+
+    def _add(self, fresh: list[bytes]) -> None:
+        links, owner, group_owner, to_a, to_b, ids_a, ids_b = self.vocabularies.align(fresh)
+        self.first = np.append(self.first, self.first[-1] + np.cumsum(np.bincount(owner, minlength=len(fresh))))
+        self.links = np.append(self.links, links)
+        groups = np.bincount(group_owner, minlength=len(fresh))
+        self.groups = np.append(self.groups, groups)
+        if self.common is None:
+            return
+        codes, counts, best = self.common
+        at = np.minimum(np.searchsorted(codes, links), max(len(codes) - 1, 0))
+        known = codes[at] == links if len(codes) else np.zeros(len(links), bool)
+        n = np.where(known, counts[at], 0) if len(codes) else np.zeros(len(links), np.int64)
+        top = known & (n == best[links % len(self.vocabularies.b_bytes)])
+        total = lambda x: np.bincount(owner, weights=x, minlength=len(fresh)).astype(np.int64)
+        self.tops, self.rare = np.append(self.tops, total(top)), np.append(self.rare, total(~known))
+        sums = np.zeros(len(fresh), np.int64)
+        np.add.at(sums, owner, n)
+        self.sums, self.known = np.append(self.sums, sums), np.append(self.known, known)
+        text, ends = _written(ids_a, ids_b, to_a, to_b)
+        ends = ends[np.cumsum(groups) - 1].tolist()
+        self.texts += [text[p:q] for p, q in zip([0, *ends], ends)]
+
+    def links_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``links`` of these windows' links, and which of the windows each belongs to."""
+        sizes = self.first[numbers + 1] - self.first[numbers]
+        owner = np.repeat(np.arange(len(numbers)), sizes)
+        return np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + self.first[numbers][owner], owner
+
+
+def _written(ids_a: np.ndarray, ids_b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> tuple[str, np.ndarray]:
+    """The groups that end at these tokens as ``a1,a2|b1;a3|b2;``, and where each ends in that text."""
+    from_a, from_b = np.concatenate(([0], to_a[:-1])), np.concatenate(([0], to_b[:-1]))
+    order = np.empty(len(ids_a) + len(ids_b), np.int64)
+    order[np.arange(len(ids_a)) + np.repeat(from_b, to_a - from_a)] = ids_a
+    order[np.arange(len(ids_b)) + np.repeat(to_a, to_b - from_b)] = ids_b
+    signs = np.full(len(order), ord(","), np.uint8)
+    signs[to_a + from_b - 1] = ord("|")
+    signs[to_a + to_b - 1] = ord(";")
+    digits, power = np.ones(len(order), np.int64), 10
+    while power <= order.max():
+        digits += order >= power
+        power *= 10
+    ends = np.cumsum(digits + 1)
+    out = np.empty(int(ends[-1]), np.uint8)
+    out[ends - 1] = signs
+    for place in range(int(digits.max())):
+        some = np.flatnonzero(digits > place)
+        out[ends[some] - 2 - place] = ord("0") + order[some] // 10**place % 10
+    return out.tobytes().decode(), ends[to_a + to_b - 1]
 
 
 def id_cuts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,29 +295,34 @@ class Alignment:
         shared, common, limit = self.vocabularies, self.common, self.spec.windows
 
         def scan(batches):
-            vocabularies, (codes, counts, best) = shared.value, common.value
-            width = len(vocabularies.b_bytes)
-
-            def work(window):
-                groups, n_groups, links = vocabularies.align(window)
-                links = np.array(links, np.int64)
-                at = np.minimum(np.searchsorted(codes, links), len(codes) - 1) if len(codes) else np.zeros(len(links), np.int64)
-                known = codes[at] == links if len(codes) else np.zeros(len(links), bool)
-                n = counts[at[known]]
-                return groups, n_groups, len(links), int((n == best[links[known] % width]).sum()), int(n.sum()), links[~known].tobytes()
-
-            memo = Memo(work, limit)
-            wide = [k.itemsize for k in vocabularies.kinds]
+            vocabularies = shared.value
+            memo, wide = WindowMemo(vocabularies, common.value), vocabularies.kind.itemsize
             for part in id_cuts(batches):
+                if len(memo.numbers) > limit:
+                    memo.clear()
                 a, b = part["a"].tolist(), part["b"].tolist()
                 windows, sizes = vocabularies.windows(a, b)
-                found, rows, at = list(map(memo.__getitem__, windows)), [], 0
-                for row, x, y, size in zip(part["row"].tolist(), a, b, sizes):
-                    groups, n_groups, n_links, n_best, n, rare = zip(*found[at : at + size]) if size else ((),) * 6
-                    at += size
-                    pair, often = np.unique(np.frombuffer(b"".join(rare), np.int64), return_counts=True)
-                    rows.append((row, len(x) // wide[0], len(y) // wide[1], sum(n_groups), sum(n_links), sum(n_best), sum(n), pair, often, ";".join(groups)))
-                yield pd.DataFrame(rows, columns=["row", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "pair", "n", "groups"])
+                numbers = memo.look_up(windows)
+                owner = np.repeat(np.arange(len(a)), sizes)
+
+                def total(values, owner=owner, n=len(a)):
+                    out = np.zeros(n, np.int64)
+                    np.add.at(out, owner, values)
+                    return out
+
+                some = np.flatnonzero(memo.rare[numbers] > 0)
+                places, of = memo.links_of(numbers[some])
+                open_ = ~memo.known[places]
+                pairs, texts = memo.links[places[open_]], owner[some][of[open_]]
+                cut, ends = np.searchsorted(texts, np.arange(len(a) + 1)), np.cumsum(sizes).tolist()
+                rare = [np.unique(pairs[p:q], return_counts=True) for p, q in zip(cut[:-1], cut[1:])]
+                spoken = list(map(memo.texts.__getitem__, numbers.tolist()))
+                yield pd.DataFrame({
+                    "row": part["row"].tolist(), "n_a": [len(x) // wide for x in a], "n_b": [len(x) // wide for x in b],
+                    "n_groups": total(memo.groups[numbers]), "n_links": total(memo.first[numbers + 1] - memo.first[numbers]),
+                    "n_best": total(memo.tops[numbers]), "count_sum": total(memo.sums[numbers]),
+                    "pair": [p for p, _ in rare], "n": [n for _, n in rare], "groups": ["".join(spoken[p:q])[:-1] for p, q in zip([0, *ends], ends)],
+                })
 
         counts = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, pair array<long>, n array<long>, groups string"
         return self.tokens.select("row", "a", "b").mapInPandas(scan, f"row long, {counts}")
@@ -269,20 +354,24 @@ def align(docs: DataFrame, spec: AlignSpec = AlignSpec()) -> Alignment:
 
     def count(batches):
         vocabularies = shared.value
-        windows: Counter = Counter()
+        memo, often = WindowMemo(vocabularies), np.zeros(0, np.int64)
 
         def links():
-            pairs: dict[int, int] = {}
-            for window, n in windows.items():
-                for link in vocabularies.align(window)[2]:
-                    pairs[link] = pairs.get(link, 0) + n
-            windows.clear()
-            return pd.DataFrame({"pair": list(pairs), "n": list(pairs.values())}, dtype=np.int64)
+            places, owner = memo.links_of(np.arange(len(often)))
+            pairs, at = np.unique(memo.links[places], return_inverse=True)
+            n = np.zeros(len(pairs), np.int64)
+            np.add.at(n, at, often[owner])
+            return pd.DataFrame({"pair": pairs, "n": n})
 
         for part in id_cuts(batches):
-            windows.update(vocabularies.windows(part["a"].tolist(), part["b"].tolist())[0])
-            if len(windows) >= COUNTED:
+            numbers = memo.look_up(vocabularies.windows(part["a"].tolist(), part["b"].tolist())[0])
+            seen = np.bincount(numbers, minlength=len(memo.numbers))
+            seen[: len(often)] += often
+            often = seen
+            if len(often) > spec.windows:
                 yield links()
+                memo.clear()
+                often = np.zeros(0, np.int64)
         yield links()
 
     found = tokens.select("a", "b").mapInPandas(count, "pair long, n long")

@@ -98,9 +98,12 @@ def test_long_text(spark, reference):
     vocabularies = ta.Vocabularies(*(ta._file(spark, f"{SPEC.folder}/{n}") for n in (SPEC.byte_bpe, SPEC.pieces)))
     a, _, b, _ = reference(text)
     ids = vocabularies.encode(text)
-    assert [np.frombuffer(x, k).tolist() for x, k in zip(ids, vocabularies.kinds)] == [a, b]
-    windows, counts = vocabularies.windows([ids[0]], [ids[1]])
-    assert counts == [len(windows)] and (not a or len(windows) > 15000)
+    assert [np.frombuffer(x, vocabularies.kind).tolist() for x in ids] == [a, b]
+    windows, counts = vocabularies.windows([ids[0], b"", ids[0]], [ids[1], b"", ids[1]])
+    assert counts.tolist() == [len(windows) // 2, 0, len(windows) // 2] and (not a or len(windows) > 30000)
+    memo = ta.WindowMemo(vocabularies)
+    numbers = memo.look_up(windows)
+    assert len(memo.numbers) < len(windows) / 4 and numbers[: len(windows) // 2].tolist() == numbers[len(windows) // 2 :].tolist()
 
 
 def test_query_digests(spark):
