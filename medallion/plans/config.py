@@ -107,6 +107,7 @@ class IngestConfig:
     ``path_format`` tells what the folder holds: ``text`` (a message per line) or ``messages`` (Parquet with topic, partition,
     offset and value). ``delivery`` is ``path`` (a directory per micro-batch), ``commit`` (committed runs, each message once
     by its offset) or ``store`` (``store_format`` with ``store_options``). Runs with a ``message_limit`` are always committed runs.
+    Committed runs take ``schema: evolve`` for documents that bring their own fields.
     """
 
     destination: str

@@ -106,19 +106,19 @@ def extract_documents_job(spark: SparkSession, config: DocumentConfig) -> None:
     schema = as_text(PATIENT_SCHEMA)
     if config.source_format == "json" and not config.array_file:
         lines = spark.read.options(**config.source_options).text(config.source).where(F.trim("value") != "")
-        decoded = decode_json(lines, schema)
-        bad = quarantine(decoded)
-        write_if_any(bad, lambda df: df.write.mode("overwrite").text(config.rejects or f"{config.destination.rstrip('/')}.rejects"))
-        documents = valid_documents(decoded)
-    else:
-        documents = read_documents(spark, config.source, schema, fmt=config.source_format, array_file=config.array_file, **config.source_options)
+        # Rejects and documents both come from the decoded lines, which are decoded once.
+        with staged(decode_json(lines, schema), "decoded") as decoded:
+            write_if_any(quarantine(decoded), lambda df: df.write.mode("overwrite").text(config.rejects or f"{config.destination.rstrip('/')}.rejects"))
+            write_csv(flatten(valid_documents(decoded), PATIENT_SPEC, many=config.repeated), config.destination, blank_empty=True)
+        return
+    documents = read_documents(spark, config.source, schema, fmt=config.source_format, array_file=config.array_file, **config.source_options)
     write_csv(flatten(documents, PATIENT_SPEC, many=config.repeated), config.destination, blank_empty=True)
 
 
 def extract_relational_job(spark: SparkSession, config: RelationalConfig) -> bool:
     """The result of a query to CSV; nothing is written for an empty result."""
     rows = read_jdbc(spark, config.url, config.query, **config.jdbc) if config.url else read_sql(spark, config.query)
-    return write_if_any(rows, lambda df: write_csv(df, config.destination, header=config.header))
+    return write_if_any(rows, lambda df: write_csv(df, config.destination, header=config.header), once=True)
 
 
 def evaluate(test: DataFrame, model, target: str, classifier: bool) -> dict[str, float]:
@@ -167,6 +167,23 @@ def inference_job(spark: SparkSession, config: InferenceConfig) -> bool:
     return write_if_any(df, lambda rows: _store(score(rows, model), config.destination, config.destination_format))
 
 
+def inference_pipeline_job(spark: SparkSession, transformation: TransformConfig, inference: InferenceConfig) -> bool:
+    """Raw input to predictions as one plan: cast, derive, drop, treat with the stored fences, score, write.
+
+    Source and preparation come from ``transformation``, model and destination from ``inference``. Nothing is fitted here and
+    nothing is written in between; an empty input writes nothing.
+    """
+    if not transformation.fences:
+        raise ValueError("inference treats its input with the fences of the training data; give their path in fences")
+    raw = _load(spark, transformation.source, transformation.source_format, transformation.source_options)
+    if raw.isEmpty():
+        return False
+    fences = fences_from_frame(spark.read.parquet(transformation.fences))
+    ready = treat(prepare(raw, transformation), transformation, fences)
+    _store(score(ready, load_model(inference.model)), inference.destination, inference.destination_format)
+    return True
+
+
 def message_topic(config: IngestConfig) -> Topic:
     """Where the messages of an ingest come from."""
     if config.path:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -45,7 +46,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def local_scratch(spark: SparkSession) -> None:
-    """Give a session that runs on this machine alone, and has no shared folder, one that is removed when Python ends."""
+    """Give a session that runs on this machine alone, and has no shared folder, one that is removed when Python ends.
+
+    Its Python workers also get the place of this package, where the driver found it.
+    """
+    if spark.sparkContext.master.split("[")[0] == "local":
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        env = spark.sparkContext.environment
+        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
     if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return
     if spark.sparkContext.master.split("[")[0] != "local":

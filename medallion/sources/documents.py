@@ -19,17 +19,18 @@ def read_documents(
     *,
     fmt: str = "json",
     array_file: bool = False,
+    piece_bytes: int | None = None,
     **options,
 ) -> DataFrame:
     """Read a whole collection of nested documents.
 
     JSON lines are split among tasks. ``array_file=True`` reads files that hold one JSON array each,
-    every element a record; they are cut into their elements first, large ones by many tasks. Other document stores are
+    every element a record; they are cut into their elements first, large ones by many tasks (of ``piece_bytes``). Other document stores are
     reached by ``fmt`` and ``options`` when their package is on the classpath.
     """
     reader = spark.read.format(fmt)
     if fmt == "json" and array_file:
-        path = split_array(spark, path)
+        path = split_array(spark, path, piece_bytes)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**options).load(path) if path else reader.options(**options).load()

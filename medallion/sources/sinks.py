@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 
+from medallion.session import staged
 from medallion.sources.documents import encode_json
 
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
@@ -65,12 +67,16 @@ def write_predictions(df: DataFrame, root: str, stamp: str) -> str:
     return path
 
 
-def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
-    """Write unless there are no rows; tells whether it wrote."""
-    if df.isEmpty():
-        return False
-    write(df)
-    return True
+def write_if_any(df: DataFrame, write: Callable[[DataFrame], None], once: bool = False) -> bool:
+    """Write unless there are no rows; tells whether it wrote.
+
+    ``once`` evaluates the rows a single time, into a scratch table: for rows that are costly or change, such as a query's.
+    """
+    with staged(df, "rows") if once else nullcontext(df) as rows:
+        if rows.isEmpty():
+            return False
+        write(rows)
+        return True
 
 
 def preview(df: DataFrame, n: int = 3) -> DataFrame:

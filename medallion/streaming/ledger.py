@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from medallion.functions.columns import require_absent
 from medallion.operators.documents import decode_json, quarantine
+from medallion.operators.drift import EVOLVE, conform, infer_schema, merge_schemas
 from medallion.operators.ordering import order_statistics
 from medallion.session import staged
 from medallion.sources.documents import MESSAGE_KEY, Span, Topic, inside
@@ -159,7 +160,7 @@ def next_spans(source: Topic, spark: SparkSession, schema, limit: int, covered:
     todo = [s for s in todo if s.start < s.end]
     if not todo:
         return ()
-    readable = decode_json(source.read(spark, todo), schema).where("valid").select(*MESSAGE_KEY)
+    readable = decode_json(source.read(spark, todo), None if schema == EVOLVE else schema).where("valid").select(*MESSAGE_KEY)
     with staged(readable, "readable") as places:
         counts = {(r.topic, r.partition): r.n for r in places.groupBy("topic", "partition").agg(F.count("*").alias("n")).collect()}
         taken = []
@@ -247,8 +248,18 @@ def ingest_batch(
 
 
 def stage(ledger: Ledger, messages: DataFrame, schema, number: int, spans: Iterable[Span], covered: Iterable[Span], value: str = "value") -> Entry:
-    """Write the rows of a run where no reader sees them yet, and the entry that would publish them."""
-    decoded = decode_json(messages, schema, value)
+    """Write the rows of a run where no reader sees them yet, and the entry that would publish them.
+
+    With ``schema='evolve'`` documents bring their own fields: new ones are added to those of the runs before, and messages that
+    contradict a known field go to the rejects, with its name in ``drift``.
+    """
+    decoded = decode_json(messages, None if schema == EVOLVE else schema, value)
+    if schema == EVOLVE:
+        # The newest fields win nothing over the stored ones: those keep their types.
+        last = ledger.last()
+        known = T.StructType.fromJson(json.loads(last.schema)).fields if last else []
+        stored = T.StructType([f for f in known if f.name != KEY])
+        decoded = conform(decoded, merge_schemas(stored, infer_schema(decoded)))
     attempt = f"{number}-{uuid.uuid4().hex}"
     key = F.struct(*MESSAGE_KEY).alias(KEY)
     good = decoded.where("valid")

@@ -1,5 +1,6 @@
 import json
 import textwrap
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,13 +22,14 @@ from medallion.plans.jobs import (
     extract_documents_job,
     extract_relational_job,
     inference_job,
+    inference_pipeline_job,
     ingest_job,
     publish_job,
     select_job,
     train_job,
     transform_job,
 )
-from medallion.sources.sinks import write_csv
+from medallion.sources.sinks import write_csv, write_if_any
 from test_documents import FULL, NO_CONTACT
 
 
@@ -182,3 +184,27 @@ def test_configuration_is_checked(tmp_path, monkeypatch):
         runs: /lake/runs
     """))
     assert from_yaml(SelectConfig, str(tmp_path / "c.yaml")).threshold == 0.8
+
+
+def test_inference_in_one_plan_needs_fences(spark, tmp_path):
+    raw = TransformConfig(source=str(tmp_path / "in"), destination="unused", source_format="parquet", numerical_columns_list=["x"])
+    with pytest.raises(ValueError, match="fences"):
+        inference_pipeline_job(spark, raw, InferenceConfig(source="unused", destination="unused", model="unused"))
+    spark.createDataFrame([], "x double").write.parquet(raw.source)
+    empty = replace(raw, fences=str(tmp_path / "fences"))
+    assert not inference_pipeline_job(spark, empty, InferenceConfig(source="unused", destination=str(tmp_path / "out"), model="unused"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_query_is_evaluated_once(spark, tmp_path):
+    """The extract stages the rows of its query, so that the test for rows and the write see the same."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(10).mapInPandas(count, "id long")
+    assert write_if_any(rows, lambda df: df.write.parquet(str(tmp_path / "o")), once=True)
+    assert seen.value == 10 and spark.read.parquet(str(tmp_path / "o")).count() == 10

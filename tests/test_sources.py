@@ -4,7 +4,7 @@ from pyspark.errors import AnalysisException
 from medallion import session
 from medallion.session import scratch_dir
 from medallion.sources.documents import message_stream, read_messages
-from medallion.sources.relational import jdbc_options, read_sql
+from medallion.sources.relational import equal_slices, jdbc_options, read_sql, slice_predicates
 from medallion.sources.sinks import preview, write_csv, write_delta, write_if_any, write_predictions, write_table
 from medallion.sources.tables import from_pandas, load_data, read_csv, read_delta, read_table
 
@@ -104,6 +104,31 @@ def test_jdbc_options():
             jdbc_options("jdbc:x", **bad)
 
 
+@pytest.mark.parametrize("keys", [
+    "if(id % 3 = 0, NULL, id * id)", "if(id < 400, 7, id)", "cast(id as decimal(38,10)) / 7", "cast(NULL as bigint)", "9007199254740993 + id", "id * 1e-3", "5",
+])
+def test_equal_slices_are_disjoint_and_cover_everything(spark, keys):
+    rows = spark.range(1000).selectExpr(f"{keys} AS k")
+    predicates = slice_predicates("k", equal_slices(rows, "k", 8))
+    hits = rows.selectExpr(*[f"coalesce({p}, false) AS p{i}" for i, p in enumerate(predicates)])
+    names = [f"p{i}" for i in range(len(predicates))]
+    found = hits.selectExpr(" + ".join(f"int({n})" for n in names) + " AS n", *names)
+    assert found.where("n <> 1").count() == 0
+    sizes = found.selectExpr(*[f"count_if({n})" for n in names]).first()
+    if len(predicates) > 2 and "400" not in keys:
+        assert max(sizes[:-1]) <= 2 * max(1, sum(sizes[:-1]) // 8)
+
+
+def test_slice_predicates_of_other_types():
+    assert slice_predicates("d", ["b", "it's"]) == ["d < 'b'", "d >= 'b' AND d < 'it''s'", "d >= 'it''s'", "d IS NULL"]
+    assert slice_predicates("d", []) == ["d IS NOT NULL", "d IS NULL"]
+    for bad in ([None], [True], [b"x"]):
+        with pytest.raises(ValueError):
+            slice_predicates("d", bad)
+    with pytest.raises(ValueError):
+        equal_slices(None, "d", 0)
+
+
 def test_sql_over_frames(spark):
     assert read_sql(spark, "SELECT max(id) AS m FROM {t}", t=spark.range(4)).first().m == 3
 

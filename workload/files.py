@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from medallion.plans.config import RelationalConfig
 from medallion.plans.jobs import extract_relational_job
 from medallion.session import scratch_dir
+from medallion.sources.documents import read_documents
 from medallion.sources.relational import read_sql
-from medallion.sources.sinks import write_csv, write_if_any, write_table
-from medallion.sources.tables import load_data, read_csv, read_table
+from medallion.sources.sinks import preview, write_csv, write_if_any, write_predictions, write_table
+from medallion.sources.tables import from_pandas, load_data, read_csv, read_table
 from workload import query, table
 
 
@@ -84,3 +85,35 @@ def schema_merge(spark, sf_dir):
     write_table(parts.select("p_partkey", "p_name", "p_size"), path, mode="append")
     write_table(parts.select("p_partkey", "p_brand", "p_retailprice"), path, mode="append")
     return read_table(spark, path, "parquet", mergeSchema="true").select("p_partkey", "p_name", "p_size", "p_brand", "p_retailprice")
+
+
+#: Size of a split, small enough for several of them in the smallest table.
+SPLIT_BYTES = 1 << 14
+
+
+@query("""
+SELECT c_custkey, concat('{"', c_name, '\\"},]', chr(10)) AS c_name, c_nationkey AS k, c_mktsegment AS tag, c_acctbal, true AS several FROM customer
+""")
+def split_arrays(spark, sf_dir):
+    """One file with one array of all customers, their names full of braces and quotes, read by several tasks."""
+    path = scratch_dir(spark, "array")
+    name = F.concat(F.lit('{"'), "c_name", F.lit('\\"},]\n')).alias("c_name")
+    nested = F.struct(F.col("c_nationkey").alias("k"), F.array(F.lit("a}"), "c_mktsegment").alias("tags")).alias("nested")
+    records = table(spark, sf_dir, "customer").select(F.to_json(F.struct("c_custkey", name, nested, "c_acctbal")).alias("value")).coalesce(1)
+    begun = F.when(F.monotonically_increasing_id() == 0, "[").otherwise(",")
+    lines = records.select(F.concat(begun, "value").alias("value")).unionByName(spark.range(1).select(F.lit("]").alias("value")))
+    lines.coalesce(1).write.text(path)
+    schema = "c_custkey BIGINT, c_name STRING, nested STRUCT<k: INT, tags: ARRAY<STRING>>, c_acctbal DOUBLE"
+    found = read_documents(spark, path, schema, array_file=True, piece_bytes=SPLIT_BYTES)
+    several = len(found.inputFiles()) > 1
+    return found.select("c_custkey", "c_name", "nested.k", F.col("nested.tags")[1].alias("tag"), "c_acctbal", F.lit(several).alias("several"))
+
+
+@query("""
+SELECT n_nationkey, n_name, round(n_nationkey * 1.5::DOUBLE, 4) AS predictions FROM nation ORDER BY n_nationkey LIMIT 7
+""")
+def predictions_preview(spark, sf_dir):
+    """A pandas frame of the nations, scored, its predictions written under a stamp and the first rows looked at."""
+    nations = from_pandas(spark, table(spark, sf_dir, "nation").select("n_nationkey", "n_name").toPandas())
+    path = write_predictions(nations.withColumn("predictions", F.round(F.col("n_nationkey") * 1.5, 4)), scratch_dir(spark, "gold"), "2024-06-30")
+    return preview(spark.read.parquet(path).orderBy("n_nationkey"), 7)

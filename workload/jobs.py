@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators.documents import decode_json, valid_documents
 from medallion.plans.config import InferenceConfig, IngestConfig, PublishConfig, SelectConfig, TrainConfig, TransformConfig
-from medallion.plans.jobs import inference_job, ingest_job, publish_job, select_job, train_job, transform_job
+from medallion.plans.jobs import inference_job, inference_pipeline_job, ingest_job, publish_job, select_job, train_job, transform_job
 from medallion.session import scratch_dir
 from medallion.sources.sinks import publish_json, write_csv, write_table
 from workload import SQL, query, table
@@ -65,6 +65,34 @@ def inference_fences(spark, sf_dir):
     return scored.select("l_orderkey", "l_linenumber", "l_quantity", F.round("predictions", 1).alias("predictions"))
 
 
+@query(f"""
+WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_extendedprice, {LINE_TEST} AS test FROM lineitem),
+e AS (SELECT min(l_quantity) AS low, max(l_quantity) AS high FROM s WHERE l_orderkey % 2 = 0 AND l_quantity BETWEEN 7.5 AND 40.5),
+t AS (SELECT *, CASE WHEN l_quantity < 7.5 THEN low WHEN l_quantity > 40.5 THEN high ELSE l_quantity END AS q FROM s, e),
+m AS (SELECT regr_slope(l_extendedprice, q) AS b, regr_intercept(l_extendedprice, q) AS a FROM t WHERE l_orderkey % 2 = 0 AND NOT test)
+SELECT l_orderkey, l_linenumber, q AS l_quantity, round(a + b * q, 1) AS predictions FROM t, m WHERE l_orderkey % 2 = 1
+""")
+def inference_whole(spark, sf_dir):
+    """Raw CSV of new lines (odd orders) to predictions in one job, with the fences and the model of the lines of even orders."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
+    old, new, silver, gold, fences, models, runs = (scratch_dir(spark, n) for n in ("old", "new", "silver", "gold", "fences", "models", "runs"))
+    lines.where("l_orderkey % 2 = 0").write.parquet(old)
+    write_csv(lines.where("l_orderkey % 2 = 1").drop("l_extendedprice"), new)
+    config = TransformConfig(
+        source=old, destination=silver, source_format="parquet", numerical_columns_list=["l_quantity"], outlier_bounds=[7.5, 40.5],
+        columns_to_remove=["l_discount"], fences=fences,
+    )
+    transform_job(spark, config)
+    run_id, _ = train_job(spark, TrainConfig(
+        source=silver, target_feature="l_extendedprice", experiment_name="whole_", models=models, runs=runs, estimator="linear_regression",
+        params={"solver": "normal"}, split_key=["l_orderkey", "l_linenumber"],
+    ))
+    raw = replace(config, source=new, source_format="csv", source_options={"encoding": "UTF-8"}, column_types_to_convert={"l_quantity": "double", "l_orderkey": "bigint", "l_linenumber": "int"})
+    inference_pipeline_job(spark, raw, InferenceConfig(source=new, destination=gold, model=f"{models}/{run_id}", destination_format="parquet"))
+    scored = spark.read.parquet(gold)
+    return scored.select("l_orderkey", "l_linenumber", "l_quantity", F.round("predictions", 1).alias("predictions"))
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def ingest_runs(spark, sf_dir):
     """The ingest job after each of two deliveries, and once with nothing new: every message is stored once."""

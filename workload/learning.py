@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from medallion.operators.categories import CategoryIndexer
+from medallion.operators.clean import split_target
 from medallion.operators.features import (
     MedianImputer,
     ModeImputer,
@@ -371,6 +372,24 @@ def inference_run(spark, sf_dir):
     return scored.withColumn("predictions", F.round("predictions", 1))
 
 
+@query("""
+WITH p AS (SELECT p_partkey, p_size, p_retailprice, p_type FROM part),
+n AS (SELECT avg(p_size) AS sa, stddev_samp(p_size) AS ss, avg(p_retailprice) AS ra, stddev_samp(p_retailprice) AS rs,
+             avg((p_type = (SELECT p_type FROM p GROUP BY p_type ORDER BY count(*) DESC, p_type LIMIT 1))::INT) AS ta,
+             stddev_samp((p_type = (SELECT p_type FROM p GROUP BY p_type ORDER BY count(*) DESC, p_type LIMIT 1))::INT) AS ts FROM p)
+SELECT p_partkey, round((p_retailprice - ra) / rs, 4) AS price, round((p_size - sa) / ss, 4) AS size,
+       round(((p_type = (SELECT p_type FROM p GROUP BY p_type ORDER BY count(*) DESC, p_type LIMIT 1))::INT - ta) / ts, 4) AS first
+FROM p, n
+""")
+def scaled_vector(spark, sf_dir):
+    """The preprocessor that standardises the whole vector, one-hot slots included; features and target named by ``split_target``."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", "p_type")
+    names, _ = split_target(parts, "p_partkey")
+    numeric, text = feature_columns(parts.select(*names))
+    ready = build_preprocessor(numeric, text, scope="all").fit(parts).transform(parts).withColumn("f", vector_to_array("features"))
+    return ready.select("p_partkey", *[F.round(F.col("f")[i], 4).alias(c) for i, c in enumerate(("price", "size", "first"))])
+
+
 # One tree of one split is a rule that SQL can find: the cut with the largest sum of squared totals by count on both sides.
 ONE_SPLIT = {"numTrees": 1, "maxDepth": 1, "maxBins": 64, "bootstrap": False, "featureSubsetStrategy": "all"}
 NOISY = "CASE WHEN l_quantity > 30 THEN l_linenumber <> 1 ELSE l_linenumber = 1 END"

@@ -12,6 +12,7 @@ from medallion.sources.documents import FolderTopic, Span, encode_json, file_str
 from medallion.sources.sinks import publish_json
 from medallion.streaming.ingest import ingest_bounded, ingest_json_stream
 from medallion.streaming.ledger import Ledger, ingest_batch, next_spans, read_committed, stage
+from medallion.streaming.watch import StreamFailed, StreamWatch, run_watched
 from workload import query, table
 
 EVENT = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
@@ -37,6 +38,18 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "user_id", "event_type", "value")
 
 
+@query("SELECT event_id, 3::BIGINT AS batches FROM events")
+def stream_batches(spark, sf_dir):
+    """One delivery of six files, two to a micro-batch."""
+    source, sink, checkpoint = (scratch_dir(spark, n) for n in ("topic", "sink", "checkpoint"))
+    messages = _messages(spark, sf_dir).select("value")
+    messages.repartition(6).write.text(source)
+    ingest_json_stream(file_stream(spark, source, 2), EVENT, sink, checkpoint).awaitTermination()
+    found = spark.read.parquet(sink)
+    batches = found.agg(F.count_distinct("batch_id")).first()[0]
+    return found.select("event_id", F.lit(batches).cast("long").alias("batches"))
+
+
 @query("SELECT event_id FROM events")
 def stream_rejects(spark, sf_dir):
     """The malformed messages are kept: their id is still readable as text."""
@@ -125,3 +138,70 @@ def keyed_batches(spark, sf_dir):
         ingest_job(spark, config)
     found = read_committed(spark, sink)
     return found.select("event_id", "user_id", "event_type", "value", F.col("_message.partition").cast("bigint").alias("partition"), "_message.offset")
+
+
+@query("""
+SELECT event_id, 'taken' AS status, event_id < (SELECT count(*) // 2 FROM events) AS early, user_id::VARCHAR AS user_id, round(value, 6) AS value,
+       CASE WHEN event_id >= (SELECT count(*) // 2 FROM events) THEN concat('c', event_id % 3) END AS channel
+FROM events WHERE event_id < (SELECT count(*) // 2 FROM events) OR event_id % 5 <> 0
+UNION ALL
+SELECT event_id, '$[''user_id'']', false, NULL, NULL, NULL FROM events WHERE event_id >= (SELECT count(*) // 2 FROM events) AND event_id % 5 = 0
+""")
+def schema_drift(spark, sf_dir):
+    """Messages without a schema. The later delivery brings a new field, and in every fifth message another type of a known one."""
+    events, sink = table(spark, sf_dir, "events"), scratch_dir(spark, "drift")
+    half = events.count() // 2
+    late = F.col("event_id") >= half
+    user = F.when(late & (F.col("event_id") % 5 == 0), F.concat(F.lit('"u'), "user_id", F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    channel = F.when(late, F.concat(F.lit(',"nested":{"channel":"c'), F.col("event_id") % 3, F.lit('"}'))).otherwise("")
+    text = F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"user_id":'), user, F.lit(',"value":'), F.to_json(F.struct("value")).substr(F.lit(10), F.lit(40)))
+    text = F.concat(F.regexp_replace(text, r"\}$", ""), channel, F.lit("}"))
+    messages = events.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), text.alias("value"))
+    for batch in (messages.where(~late), messages.where(late)):
+        ingest_batch(spark, batch, "evolve", sink, gaps_stay=True)
+    taken = read_committed(spark, sink).select(
+        "event_id", F.lit("taken").alias("status"), (F.col("event_id") < half).alias("early"), F.col("user_id").cast("string").alias("user_id"),
+        F.round("value", 6).alias("value"), F.col("nested.channel").alias("channel"),
+    )
+    kept = read_committed(spark, sink, rejects=True)
+    none = [F.lit(False).alias("early"), F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("channel")]
+    return taken.unionByName(kept.select(F.col("offset").alias("event_id"), F.col("drift").alias("status"), *none))
+
+
+@query("""
+WITH n AS (SELECT count(*) FILTER (event_id % 7 <> 0) AS whole, count(*) FILTER (event_id % 7 <> 0 AND event_id % 3 = 0) AS first FROM events)
+SELECT 1::BIGINT AS run, 'none' AS kind, first AS documents FROM n UNION ALL SELECT 2, 'data loss', first FROM n UNION ALL SELECT 3, 'none', whole FROM n
+""")
+def watched_streams(spark, sf_dir):
+    """A stream whose folder is damaged between two runs, and mended before the third: what the watch says, and the documents so far."""
+    messages = _topic(spark, sf_dir)
+    source, spare, sink, checkpoint = (scratch_dir(spark, n) for n in ("topic", "spare", "sink", "checkpoint"))
+    third = (F.col("offset") * PARTITIONS + F.col("partition")) % 3 == 0
+    messages.where(third).write.parquet(source)
+    messages.where(~third).coalesce(1).write.parquet(spare)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = place(source).getFileSystem(conf)
+    (good,) = [s.getPath() for s in fs.listStatus(place(spare)) if s.getPath().getName().startswith("part-")]
+    damaged = place(f"{source}/{good.getName()}")
+
+    def start():
+        return ingest_json_stream(FolderTopic(source).stream(spark), EVENT, sink, checkpoint)
+
+    out = []
+    for run in (1, 2, 3):
+        if run == 2:
+            stream = fs.create(damaged, True)
+            stream.write(bytearray(b"torn" * 100))
+            stream.close()
+        if run == 3:
+            fs.delete(damaged, False)
+            fs.rename(good, damaged)
+        watch = StreamWatch()
+        try:
+            run_watched(spark, start, watch, pause=0.1)
+        except StreamFailed:
+            pass
+        ends = watch.record(spark).where("state = 'ended'").select("kind").collect()
+        out.append((run, ",".join(r.kind for r in ends), spark.read.parquet(sink).count()))
+    return spark.createDataFrame(out, "run long, kind string, documents long")
