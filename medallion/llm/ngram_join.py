@@ -14,7 +14,7 @@ How it runs:
    filter bounds the difference of two whole sets from below by the parities of 512 parts of them by hash.
 5. Prefix shingles with longer lists than step 3 covers are joined again, now between different components only and with all
    filters in the join's condition: a group of thousands of near copies, already one component, makes no pairs with itself.
-   Pairs verified before are not verified again.
+   A pair is made in the list of the first shingle it shares only. Pairs verified before are not verified again.
 
 Nulls and edges: a null or wordless text has an empty set and links with nothing; a row without id takes its class's
 component (null if the whole class has no id); repeated rows and ids are kept, one result row per input row, and
@@ -55,10 +55,11 @@ def shingle_order(docs: DataFrame, spec: JoinSpec) -> np.ndarray:
     cells, shift = spec.order_cells, np.uint64(64 - spec.order_cells.bit_length() + 1)
 
     def count(batches):
-        total = np.zeros(cells, np.uint32)
+        total = np.zeros(cells, np.uint8)  # a task counts to 255, which is frequent enough for the order
         for batch in each_row(batches):
             for text in batch["text"]:
-                np.add.at(total, (shingle_set(text, spec.size) >> shift).astype(np.int64), np.uint32(1))
+                at = (shingle_set(text, spec.size) >> shift).astype(np.int64)
+                total[at] = np.minimum(total[at], 254) + 1
         yield packed_chunks(total)
 
     parts = docs.select("text").mapInPandas(count, "chunk int, cells binary")
@@ -103,6 +104,12 @@ def fits(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Colu
     return length & (most >= needed(na, nb, spec))
 
 
+def first_fits(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Column:
+    """The same for the first shingle that two sets share in their common order: what stands before it is in one of them only."""
+    length = 100 * F.least(na, nb) >= spec.percent * F.greatest(na, nb)
+    return length & (F.least(na - pa, nb - pb) >= needed(na, nb, spec)) & (pa + pb <= na + nb - 2 * needed(na, nb, spec))
+
+
 def alike(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Column:
     """Suffix filter: parts of odd difference are no more than the sets may differ by."""
     apart = sum((F.bit_count(pa[i].bitwiseXOR(pb[i])) for i in range(PARITY)), F.lit(0))
@@ -221,11 +228,17 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     named = shared.where(F.col("size") > LEADERS + 1).select("token", "rep", "n", "pos").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
     mixed = named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
     named = saved(named.join(mixed, "token", "left_semi").select("token", "rep", "n", "pos", "group"), "mixed")
-    full = named.join(profiles.select("rep", "n", "parity"), ["rep", "n"])
+    firsts = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), "first")
+    # an id with several texts of one size has no one order; its pairs are made in every list
+    single = F.when(F.count_distinct("first") == 1, F.first("first")).otherwise(F.array().cast("array<long>"))
+    firsts = firsts.join(named.select("rep").distinct(), "rep", "left_semi").groupBy("rep", "n").agg(single.alias("first"))
+    full = named.join(profiles.select("rep", "n", "parity"), ["rep", "n"]).join(firsts, ["rep", "n"])
+    full = full.withColumn("before", F.slice("first", F.lit(1), F.col("pos"))).drop("first")
     a, b = full.alias("a"), full.alias("b")
     both = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.group") != F.col("b.group"))
-                  & fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), spec)
-                  & alike(F.col("a.n"), F.col("a.parity"), F.col("b.n"), F.col("b.parity"), spec))
+                  & first_fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), spec)
+                  & alike(F.col("a.n"), F.col("a.parity"), F.col("b.n"), F.col("b.parity"), spec)
+                  & ~F.arrays_overlap("a.before", "b.before"))
     late = both.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.union(saved(verified(saved(late, "late"), docs, spec), "links"))
     return JoinResult(rows, links, saved(components(links), "labels"))

@@ -7,6 +7,10 @@ is never seen. A text with fewer words gives one hash of all its words.
 
 All work is on arrays inside a row; names bound with ``let`` are evaluated once. The likeness of two fingerprints is the
 Jaccard similarity of their hash sets; two empty ones are alike (1.0), an empty and another one are not (0.0).
+
+Nulls and edges: a null text counts as empty and has no hashes; a text without white space is one word, however long; rows
+without id come before all others, and rows of one id are in the order of their text's hash, so repeated rows follow each
+other; a table of one row is its own next; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

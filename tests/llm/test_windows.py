@@ -47,13 +47,10 @@ def texts():
 
 
 @pytest.mark.parametrize("spec", [
-    superkmer_dedup.WindowSpec(),
     superkmer_dedup.WindowSpec(window=8, gram=3),
-    # every key is cut again: by a second order, by the window's hash, or at once by it
+    # keys are cut again: some by a second order, all by it and by the window's hash
     superkmer_dedup.WindowSpec(bucket_bytes=600),
     superkmer_dedup.WindowSpec(window=8, gram=3, bucket_bytes=1, orders=2),
-    superkmer_dedup.WindowSpec(window=8, gram=3, bucket_bytes=1, orders=1),
-    superkmer_dedup.WindowSpec(window=2, gram=2),
 ], ids=str)
 def test_repeated_windows(spark, spec):
     local_scratch(spark)
