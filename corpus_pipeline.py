@@ -3,6 +3,11 @@
 quality classifier, n-gram Jaccard join (one document of each group stays), benchmark decontamination, mixing of
 sources, sharding. Every stage reads all rows that its predecessor kept, and all but the last return the columns of the
 documents. A document repeated by the mixing is a row for each time it is drawn.
+
+Nulls and edges: null and empty texts are scored like others, are in no group, hold no passage, weigh nothing in the
+mixture (one copy) and count as one byte; rows equal in id and text are merged by the second stage, different texts of one
+id are not; a null source is a source; an empty table passes through all stages. Other columns stay, but ``__vertex``,
+``__tokens``, ``__size`` and ``__k0`` to ``__k2`` are names of the stages' own.
 """
 
 from __future__ import annotations
