@@ -21,16 +21,17 @@ BACKSLASH, QUOTE, COMMA = ord("\\"), ord('"'), ord(",")
 OPEN, CLOSE = np.zeros(256, np.int8), np.zeros(256, np.int8)
 OPEN[[ord("["), ord("{")]] = 1
 CLOSE[[ord("]"), ord("}")]] = 1
+PIECES = ["file", "start", "place", "kind", "value"]
 
 
 def split_array(spark: SparkSession, path: str | list[str], piece_bytes: int | None = None) -> str:
     """Write the elements of the array files under ``path`` as JSON lines into the scratch folder; returns where.
 
-    Splits have the size that Spark's settings give, or ``piece_bytes``. An element may be longer than a split. A file that is not
-    one array raises.
+    Splits have the size that Spark's settings give, or ``piece_bytes``; a task takes many small ones. An element may be longer than
+    a split. A file that is not one array raises.
     """
     base, lines = scratch_dir(spark, "pieces"), scratch_dir(spark, "elements")
-    with _split_size(spark, piece_bytes):
+    with _split_size(spark, path, piece_bytes):
         # Splits start after a closing brace (or at the start of the file), so never inside an escape.
         parts = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
         _balance(parts).write.parquet(f"{base}/balance")
@@ -45,18 +46,21 @@ def split_array(spark: SparkSession, path: str | list[str], piece_bytes: int | N
 
 
 @contextmanager
-def _split_size(spark: SparkSession, size: int | None) -> Iterator[None]:
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {n: spark.conf.get(n, None) for n in names}
-    if size is not None:
-        for n in names:
-            spark.conf.set(n, str(size))
+def _split_size(spark: SparkSession, path: str | list[str], size: int | None) -> Iterator[None]:
+    """Splits of ``size`` bytes, dealt to no more tasks than there are cores, or than Spark's own settings give the files."""
+    if size is None:
+        yield
+        return
+    tasks = max(spark.sparkContext.defaultParallelism, spark.read.text(path).rdd.getNumPartitions())
+    wanted = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": size, "spark.sql.files.maxPartitionNum": tasks}
+    before = {n: spark.conf.get(n, None) for n in wanted}
+    for n, v in wanted.items():
+        spark.conf.set(n, str(v))
     try:
         yield
     finally:
-        if size is not None:
-            for n, v in before.items():
-                spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+        for n, v in before.items():
+            spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int, pd.DataFrame]]:
@@ -86,11 +90,11 @@ def _balance(parts: DataFrame) -> DataFrame:
     """Per split: whether its quotes leave a string open, and the change of depth for both cases at its start."""
 
     def scan(batches):
-        now, state = None, None
+        now, state, done = None, None, []
         for file, start, rows in _blocks(batches):
             if (file, start) != now:
                 if now is not None:
-                    yield row(now, state)
+                    done.append(row(now, state))
                 now, state = (file, start), [[0, 0], [1, 0], None]
             raw = _text(rows["value"])
             for case in state[:2]:
@@ -99,10 +103,12 @@ def _balance(parts: DataFrame) -> DataFrame:
             if state[2] is None:
                 state[2] = rows["value"].iloc[0].lstrip("﻿ \t\r\n")[:1]
         if now is not None:
-            yield row(now, state)
+            done.append(row(now, state))
+        # one short row per split of the task
+        yield pd.DataFrame(done, columns=["file", "start", "odd", "closed_change", "open_change", "first"])
 
     def row(now, state):
-        return pd.DataFrame([(*now, state[0][0], state[0][1], state[1][1], state[2])], columns=["file", "start", "odd", "closed_change", "open_change", "first"])
+        return (*now, state[0][0], state[0][1], state[1][1], state[2])
 
     return parts.mapInPandas(scan, "file string, start long, odd int, closed_change long, open_change long, first string")
 
@@ -122,33 +128,35 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Elements that lie in one split as ``whole``; the text before the first border of a split as ``head``, after the last as ``tail``;
     ``through`` where there is no border. A split's texts are numbered."""
     now = None
-    for file, start, rows in _blocks(batches):
-        if (file, start) != now:
-            if now is not None:
-                yield _rest(now, bordered, place, open_text)
-            now, place, bordered, open_text = (file, start), 0, False, []
-            open_string, depth = int(rows["open_string"].iloc[0]), int(rows["depth"].iloc[0])
-        raw = _text(rows["value"])
-        outside, open_string = _marks(raw, open_string)
-        opens, closes = OPEN[raw] * outside, CLOSE[raw] * outside
-        level = depth + np.cumsum(opens.astype(np.int64) - closes)
-        depth = int(level[-1])
-        # the array opens, a comma at its level, the array closes
-        borders = np.flatnonzero(((opens == 1) & (level == 1)) | (outside & (raw == COMMA) & (level == 1)) | ((closes == 1) & (level == 0)))
-        data, at, out = raw.tobytes(), 0, []
-        for border in borders.tolist():
-            text = "".join([*open_text, data[at:border].decode()])
-            out.append((file, start, place, "whole" if bordered else "head", _line(text)))
-            place, bordered, open_text, at = place + 1, True, [], border + 1
-        open_text.append(data[at:].decode())
+    for batch in batches:
+        out = []
+        for file, start, rows in _blocks(iter([batch])):
+            if (file, start) != now:
+                if now is not None:
+                    out.append(_rest(now, bordered, place, open_text))
+                now, place, bordered, open_text = (file, start), 0, False, []
+                open_string, depth = int(rows["open_string"].iloc[0]), int(rows["depth"].iloc[0])
+            raw = _text(rows["value"])
+            outside, open_string = _marks(raw, open_string)
+            opens, closes = OPEN[raw] * outside, CLOSE[raw] * outside
+            level = depth + np.cumsum(opens.astype(np.int64) - closes)
+            depth = int(level[-1])
+            # the array opens, a comma at its level, the array closes
+            borders = np.flatnonzero(((opens == 1) & (level == 1)) | (outside & (raw == COMMA) & (level == 1)) | ((closes == 1) & (level == 0)))
+            data, at = raw.tobytes(), 0
+            for border in borders.tolist():
+                text = "".join([*open_text, data[at:border].decode()])
+                out.append((file, start, place, "whole" if bordered else "head", _line(text)))
+                place, bordered, open_text, at = place + 1, True, [], border + 1
+            open_text.append(data[at:].decode())
         if out:
-            yield pd.DataFrame(out, columns=["file", "start", "place", "kind", "value"])
+            yield pd.DataFrame(out, columns=PIECES)
     if now is not None:
-        yield _rest(now, bordered, place, open_text)
+        yield pd.DataFrame([_rest(now, bordered, place, open_text)], columns=PIECES)
 
 
 def _rest(now, bordered, place, open_text):
-    return pd.DataFrame([(*now, place, "tail" if bordered else "through", _line("".join(open_text)))], columns=["file", "start", "place", "kind", "value"])
+    return (*now, place, "tail" if bordered else "through", _line("".join(open_text)))
 
 
 def _line(text: str) -> str:

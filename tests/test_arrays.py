@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from medallion.sources.arrays import split_array
+from medallion.sources.arrays import _split_size, split_array
 from medallion.sources.documents import read_documents
 
 ODD = ['plain', '', '}', '{"', '\\', '\\"', '"}]', '[{,}]', 'é😀\u2028', 'tab\tand\nline', ',,,', '\\\\"}', "a" * 300]
@@ -61,3 +61,13 @@ def test_documents_with_and_without_a_schema(spark, tmp_path):
     assert len(found.inputFiles()) > 1
     typed = read_documents(spark, str(tmp_path / "a.json"), "name STRING, more INT", array_file=True)
     assert typed.where("more IS NULL AND name LIKE 'n%'").count() == 500
+
+
+def test_many_small_splits_take_few_tasks(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"id": i, "name": f"n{i}"} for i in range(6000)]))
+    with _split_size(spark, str(tmp_path), 512):
+        parts = spark.read.option("lineSep", "}").text(str(tmp_path))
+        assert parts.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+        assert parts.select("_metadata.file_block_start").distinct().count() > 100
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+    assert len(elements(spark, tmp_path, 512)) == 6000
