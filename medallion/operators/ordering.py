@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import dataclass
 from decimal import Decimal, localcontext
 from fractions import Fraction
@@ -18,6 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from medallion.functions.columns import INTEGRAL, number_or_null, quoted, resolve
+from medallion.session import staged
 
 Number = int | float | Decimal
 
@@ -70,10 +72,10 @@ def order_statistics(
     """Per column: how many values there are, and the values at the ranks (from 0) asked for.
 
     ``ranks`` is told the count. A first aggregate gives the count, the range and a quantile sketch of every column; the
-    sketch's bounds on a rank are the first interval. Then each pass counts values in equal buckets of the remaining interval
-    and keeps the bucket that holds the wanted rank, until that bucket holds a single value. The first of these passes also
-    counts the values below the interval, which proves it right; a wrong one is replaced by the part of the range beside it. So
-    two passes are enough unless thousands of values lie between the bounds, however the values are spread. State per task is at
+    sketch's bounds on a rank are the first interval. A second pass counts the values inside and between the bounds, which proves
+    them right; a wrong interval is replaced by the part of the range that holds the rank. The values inside, a few in a hundred
+    for each rank, are written to the scratch folder. Over them, each further pass counts values in equal buckets of the remaining
+    interval and keeps the bucket that holds the wanted rank, until that bucket holds a single value. State per task is at
     most ``buckets`` counters per interval however many rows or ties there are, and only the chosen bucket of each
     rank reaches the driver. Null and NaN are skipped.
 
@@ -84,7 +86,6 @@ def order_statistics(
     values = df.select(*[_typed(df, c).alias(f"v{i}") for i, c in enumerate(names)])
     kinds = [f.dataType for f in values.schema.fields]
     stats = _ranges(values, kinds)
-    ends = [(lo, hi) for *_, lo, hi in (row[:5] for row in stats)]
 
     found: list[dict[int, Number]] = [{} for _ in names]
     whole, sketches = [], []
@@ -98,19 +99,17 @@ def order_statistics(
             sketches.append((n - n_low - n_high, sketch))
     intervals = _guesses(df.sparkSession, whole, kinds, sketches)
 
-    first = True
-    while intervals:
-        for iv in intervals:
-            if iv.lo == iv.hi and not iv.guess:
-                found[iv.column].update({r: iv.lo for r in iv.ranks})
-        intervals = [iv for iv in intervals if iv.lo < iv.hi or iv.guess]
-        if intervals:
-            # With one interval the bucket numbers filter by themselves, without computing a value twice.
-            guessed = any(iv.guess for iv in intervals)
-            spans = [F.col(f"v{iv.column}").between(_literal(iv.lo, kinds[iv.column]), _literal(iv.hi, kinds[iv.column])) for iv in intervals]
-            inside = values if guessed or first or len(spans) == 1 else values.where(reduce(or_, spans))
-            intervals = _narrow(inside, intervals, kinds, ends, buckets)
-            first = False
+    with ExitStack() as stack:
+        if any(iv.guess for iv in intervals):
+            intervals = _proved(values, intervals, kinds)
+            values = stack.enter_context(staged(_inside(values, intervals, kinds), "ranks"))
+        while intervals:
+            for iv in intervals:
+                if iv.lo == iv.hi:
+                    found[iv.column].update({r: iv.lo for r in iv.ranks})
+            intervals = [iv for iv in intervals if iv.lo < iv.hi]
+            if intervals:
+                intervals = _narrow(values, intervals, kinds, buckets)
     return {c: (stats[i][0], found[i]) for i, c in enumerate(columns)}
 
 
@@ -202,6 +201,68 @@ def _ranges(values: DataFrame, kinds: list[T.DataType]) -> list[tuple]:
     return [tuple(row[6 * i : 6 * i + 6]) for i in range(len(kinds))]
 
 
+def _by_column(intervals: list[_Interval]) -> dict[int, list[int]]:
+    """The intervals' numbers per column, by rising values: those of a column lie apart."""
+    out: dict[int, list[int]] = {}
+    for t in sorted(range(len(intervals)), key=lambda t: (intervals[t].column, intervals[t].lo)):
+        out.setdefault(intervals[t].column, []).append(t)
+    return out
+
+
+def _step(intervals: list[_Interval], own: list[int], kind: T.DataType) -> Column:
+    """Where a value lies among its column's intervals: an odd number inside of one, an even one beside them; null for infinite ones."""
+    c = F.col(f"v{intervals[own[0]].column}")
+    infinite = (F.abs(c) == math.inf) if isinstance(kind, T.DoubleType) else F.lit(False)
+    found = F.when(c.isNull() | infinite, None)
+    for k, t in enumerate(own):
+        found = found.when(c < _literal(intervals[t].lo, kind), 2 * k).when(c <= _literal(intervals[t].hi, kind), 2 * k + 1)
+    return found.otherwise(2 * len(own))
+
+
+def _edges(kinds: list[T.DataType], column: int, present: list[T.DataType]) -> list[Column]:
+    """A value under the field of its type."""
+    return [(F.col(f"v{column}") if kinds[column] == k else F.lit(None).cast(k)).alias(f"x{j}") for j, k in enumerate(present)]
+
+
+def _proved(values: DataFrame, intervals: list[_Interval], kinds: list[T.DataType]) -> list[_Interval]:
+    """One pass: the ranks' true places inside or beside the guessed intervals, as intervals that are no guesses."""
+    columns = _by_column(intervals)
+    present = list(dict.fromkeys(kinds[c] for c in columns))
+    steps = [F.struct(F.lit(c).alias("c"), _step(intervals, own, kinds[c]).alias("s"), *_edges(kinds, c, present)) for c, own in columns.items()]
+    ends = [f(f"h.x{j}").alias(f"{name}{j}") for j in range(len(present)) for name, f in (("lo", F.min), ("hi", F.max))]
+    counted = values.select(F.explode(F.array(*steps)).alias("h")).where("h.s IS NOT NULL").groupBy("h.c", "h.s").agg(F.count("*").alias("n"), *ends)
+    out: list[_Interval] = []
+    # two rows per interval, and one
+    rows = sorted(counted.collect(), key=lambda row: (row.c, row.s))
+    for c, own in columns.items():
+        ranks, j, before = frozenset().union(*(intervals[t].ranks for t in own)), present.index(kinds[c]), intervals[own[0]].below
+        for row in (row for row in rows if row.c == c):
+            held = frozenset(r for r in ranks if before <= r < before + row.n)
+            if held:
+                out.append(_Interval(c, row[f"lo{j}"], row[f"hi{j}"], before, held))
+            before += row.n
+    return out
+
+
+def _inside(values: DataFrame, intervals: list[_Interval], kinds: list[T.DataType]) -> DataFrame:
+    """The values inside the intervals, null elsewhere; rows without any are left out."""
+    columns = _by_column(intervals)
+    kept = [F.when(_step(intervals, columns[c], k) % 2 == 1, F.col(f"v{c}")) if c in columns else F.lit(None).cast(k) for c, k in enumerate(kinds)]
+    kept = values.select(*[e.alias(f"v{c}") for c, e in enumerate(kept)])
+    return kept.where(reduce(or_, [F.col(f"v{c}").isNotNull() for c in columns]))
+
+
+def _place(intervals: list[_Interval], own: list[int], kind: T.DataType, buckets: int) -> Column:
+    """The interval that a value lies in and its bucket there; null outside of all."""
+    c = F.col(f"v{intervals[own[0]].column}")
+    found = F.when(c.isNull(), None)
+    for t in own:
+        iv = intervals[t]
+        found = found.when(c < _literal(iv.lo, kind), None)
+        found = found.when(c <= _literal(iv.hi, kind), F.struct(F.lit(t).alias("t"), _bucket(iv, kind, buckets).cast("int").alias("b")))
+    return found
+
+
 def _bucket(iv: _Interval, kind: T.DataType, buckets: int) -> Column:
     """Bucket number of a value inside the interval; it never decreases as the value grows."""
     c = F.col(f"v{iv.column}")
@@ -209,11 +270,7 @@ def _bucket(iv: _Interval, kind: T.DataType, buckets: int) -> Column:
     inner = F.greatest(F.lit(1), F.least(F.lit(buckets), share(iv, kind, buckets).cast("int") + 1))
     lo, hi = _literal(iv.lo, kind), _literal(iv.hi, kind)
     # The two ends always part, so that every pass shrinks the interval.
-    number = F.when(c == lo, 0).when(c == hi, buckets + 1).otherwise(inner)
-    if iv.guess:
-        infinite = (c == -math.inf) if isinstance(kind, T.DoubleType) else F.lit(False)
-        return F.when(c.isNull() | (c > hi) | infinite, None).when(c < lo, -1).otherwise(number)
-    return F.when((c >= lo) & (c <= hi), number)
+    return F.when(c == lo, 0).when(c == hi, buckets + 1).otherwise(inner)
 
 
 def _double_share(iv: _Interval, kind: T.DataType, buckets: int) -> Column:
@@ -255,20 +312,15 @@ def _decimal(value: Decimal, scale: int) -> Column:
     return F.lit(f"{value:f}").cast(T.DecimalType(min(DECIMAL_DIGITS, max(digits, 1)), scale))
 
 
-def _narrow(values: DataFrame, intervals: list[_Interval], kinds: list[T.DataType], ends: list[tuple], buckets: int) -> list[_Interval]:
+def _narrow(values: DataFrame, intervals: list[_Interval], kinds: list[T.DataType], buckets: int) -> list[_Interval]:
     """One pass: the buckets that hold the wanted ranks, as new intervals."""
     present = list(dict.fromkeys(kinds[iv.column] for iv in intervals))
-
-    def hit(t: int, iv: _Interval) -> Column:
-        """A value under the field of its type."""
-        fields = [(F.col(f"v{iv.column}") if kinds[iv.column] == k else F.lit(None).cast(k)).alias(f"x{j}") for j, k in enumerate(present)]
-        return F.struct(F.lit(t).alias("t"), _bucket(iv, kinds[iv.column], buckets).alias("b"), *fields)
-
+    hits = [F.struct(_place(intervals, own, kinds[c], buckets).alias("at"), *_edges(kinds, c, present)) for c, own in _by_column(intervals).items()]
     edges = [f(f"h.x{j}").alias(f"{name}{j}") for j in range(len(present)) for name, f in (("lo", F.min), ("hi", F.max))]
     histogram = (
-        values.select(F.explode(F.array(*[hit(t, iv) for t, iv in enumerate(intervals)])).alias("h"))
-        .where("h.b IS NOT NULL")
-        .groupBy("h.t", "h.b")
+        values.select(F.explode(F.array(*hits)).alias("h"))
+        .where("h.at IS NOT NULL")
+        .groupBy("h.at.t", "h.at.b")
         .agg(F.count("*").alias("n"), *edges)
     )
     # At most buckets + 2 rows per interval: a small window.
@@ -283,17 +335,10 @@ def _narrow(values: DataFrame, intervals: list[_Interval], kinds: list[T.DataTyp
         .collect()
     )
     grouped: dict[tuple, set[int]] = {}
-    seen = set()
     for row in chosen:
         iv = intervals[row.t]
         j = present.index(kinds[iv.column])
-        seen.add((row.t, iv.below + row.r))
         grouped.setdefault((iv.column, row[f"lo{j}"], row[f"hi{j}"], iv.below + row.before), set()).add(iv.below + row.r)
-    # A rank above a guessed interval: all that is certain is that it lies beyond.
-    for t, iv in enumerate(intervals):
-        for r in iv.ranks:
-            if (t, r) not in seen:
-                grouped.setdefault((iv.column, *ends[iv.column], iv.below), set()).add(r)
     return [_Interval(c, lo, hi, below, frozenset(r)) for (c, lo, hi, below), r in grouped.items()]
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from medallion.operators import ordering
 from medallion.operators.ordering import approx_quantiles, exact_quantiles, neighbours, order_statistics, range_splits, running_total
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -109,3 +110,23 @@ def test_quantiles_between_large_values(spark):
     df = spark.createDataFrame([(9007199254740993, Decimal("0.1")), (9007199254740995, Decimal("0.2"))], "n long, d decimal(38,18)")
     assert exact_quantiles(df.limit(1), ["n"], [0.5]) == {"n": [9007199254740993]}
     assert exact_quantiles(df, ["n", "d"], [0.0, 0.5]) == {"n": [9007199254740993, float(9007199254740994)], "d": [Decimal("0.1"), Decimal("0.15")]}
+
+
+def test_only_the_values_between_the_bounds_are_read_again(spark, monkeypatch):
+    df = spark.range(30_000).select((F.col("id") * 7919 % 30_011).alias("n"), (F.col("id") * 104_729 % 30_011).cast("decimal(38,4)").alias("d")).repartition(3)
+    read, narrow = [], ordering._narrow
+    monkeypatch.setattr(ordering, "_narrow", lambda values, *rest: read.append(values.count()) or narrow(values, *rest))
+    found = order_statistics(df, ["n", "d"], lambda n: {0, n // 2, n - 1})
+    for name, place in (("n", 7919), ("d", 104_729)):
+        want = sorted(i * place % 30_011 for i in range(30_000))
+        assert found[name] == (30_000, {r: want[r] for r in (0, 15_000, 29_999)})
+    assert read and max(read) < 3_000
+
+
+def test_wrong_guesses_are_replaced(spark, monkeypatch):
+    def wrong(spark, whole, kinds, sketches):
+        return [ordering._Interval(iv.column, lo, lo + 1.0, iv.below, frozenset([r]), True) for iv in whole for lo, r in zip((50.0, 700.0, 900.0), sorted(iv.ranks))]
+
+    monkeypatch.setattr(ordering, "_guesses", wrong)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x")).union(spark.createDataFrame([(-math.inf,), (math.inf,), (None,)], "x double"))
+    assert order_statistics(df, ["x"], lambda n: {1, 500, 1000}) == {"x": (1002, {1: 0.0, 500: 499.0, 1000: 999.0})}
