@@ -6,8 +6,8 @@ How it runs:
    broadcast; it only decides the *order* of shingles (rare first, then by hash), and any common order gives the
    same links. Where the corpus has far more shingles than counters, rare shingles share a level and only frequent
    ones are told apart, which is what keeps them out of the prefixes.
-2. Prefix shingles of all documents meet in one exchange; those that occur once are dropped in place. Documents with
-   equal shingle sets form one class, represented by its smallest id; only representatives go on.
+2. Documents with equal shingle sets form one class, represented by its smallest id. Prefix shingles of all documents meet in
+   one exchange, each with a 64-bit mark of its set; there copies go, then shingles of one class, and the rest becomes lists.
 3. In the list of each prefix shingle, documents are ordered by its position in them (the least edited of a group of near
    copies comes first) and every document is a candidate with the first few and with the one before it.
 4. Candidates that pass the length, positional and suffix filters are verified on their whole sets, and linked. The suffix
@@ -119,8 +119,7 @@ def alike(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Col
 def verified(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
     """The pairs ``(a, b)`` that link. Sets are made again from the whole texts, only for documents that a fixed-size
     bitmap of candidate ids lets through; 48 bits of each shingle's hash are compared."""
-    ids = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "ids")
-    held = id_bitmap(ids, "rep")
+    held = id_bitmap(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), "rep")
 
     def sets(batches):
         for batch in each_row(batches):
@@ -131,7 +130,7 @@ def verified(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
             yield pd.DataFrame({"rep": batch["doc_id"].astype("int64").to_numpy(), "tokens": blobs})
 
     whole = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sets, "rep long, tokens binary").where(F.length("tokens") > 0)
-    whole = saved(whole.join(ids, "rep", "left_semi"), "sets")
+    whole = saved(whole, "sets")
     one = whole.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
     two = whole.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
 
@@ -174,10 +173,12 @@ LEADERS = 4
 
 
 def _met(tokens: DataFrame) -> DataFrame:
-    """Rows whose shingle has another row."""
-    near = Window.partitionBy("token").orderBy("pos", "rep")
-    seen = tokens.withColumns({"__a": F.lag("rep").over(near), "__b": F.lead("rep").over(near)})
-    return seen.where("__a is not null or __b is not null").drop("__a", "__b")
+    """One row (the smallest id) of each class whose shingle another class has too. Copies of a set have one ``mark``, and stand
+    side by side in the list of each of its shingles."""
+    near = Window.partitionBy("token").orderBy("pos", "mark", "rep")
+    once = tokens.withColumn("__a", F.lag("mark").over(near)).where("__a is null or __a != mark")
+    seen = once.withColumns({"__a": F.lag("mark").over(near), "__b": F.lead("mark").over(near)})
+    return seen.where("__a is not null or __b is not null").drop("__a", "__b", "mark")
 
 
 def _lists(tokens: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -204,14 +205,14 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(shingle_order(docs, spec))
     cut = saved(prefixes(docs, levels, spec), "prefixes")
+    levels.destroy()
     reps = cut.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     rows = saved(cut.select("doc_id", "n", "digest").join(reps, "digest", "left").select("doc_id", "n", "rep"), "members")
 
-    tokens = cut.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("pos", "token"))
-    shared = saved(_met(tokens), "shared")
-    own = rows.where("doc_id = rep").select("rep").distinct()
-    shared = shared.join(own, "rep", "left_semi").repartition("token").dropDuplicates(["token", "rep", "n", "pos"])  # repeated rows
-    shared = saved(_lists(shared, spec), "lists")
+    tokens = cut.where("n > 0 and doc_id is not null").select(
+        F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), F.xxhash64("digest").alias("mark"), F.posexplode("first").alias("pos", "token")
+    )
+    shared = saved(_lists(_met(tokens), spec), "lists")
     members = shared.select("rep").distinct()
     profiles = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), "parity")
     profiles = saved(profiles.join(members, "rep", "left_semi").distinct(), "profiles")
@@ -240,8 +241,9 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
                   & alike(F.col("a.n"), F.col("a.parity"), F.col("b.n"), F.col("b.parity"), spec)
                   & ~F.arrays_overlap("a.before", "b.before"))
     late = both.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.union(saved(verified(saved(late, "late"), docs, spec), "links"))
-    return JoinResult(rows, links, saved(components(links), "labels"))
+    late = saved(verified(saved(late, "late"), docs, spec), "links")
+    stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return JoinResult(rows, links.union(late), saved(components(stars.union(late)), "labels"))
 
 
 def _told_apart(docs: DataFrame) -> DataFrame:

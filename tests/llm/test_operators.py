@@ -430,3 +430,9 @@ def test_pipeline_mixing_moves_weights(spark, tmp_path):
     assert {r.doc_id for r in out} == set(range(220))
     drawn = collections.Counter(r.source for r in out)
     assert drawn["many"] == 200 and 70 <= drawn["few"] <= 80
+
+
+def test_shingle_lists_hold_one_row_of_each_class(spark):
+    rows = [(7, 9, 5, 0, 1), (3, 9, 5, 0, 1), (3, 9, 5, 0, 1), (4, 8, 6, 0, 1), (1, 9, 5, 1, 2), (2, 9, 5, 1, 2), (6, 9, 5, 0, 3)]
+    tokens = spark.createDataFrame(rows, "rep long, n int, mark long, pos int, token long")
+    assert sorted(map(tuple, ngram_join._met(tokens).select("token", "rep", "n", "pos").collect())) == [(1, 3, 9, 0), (1, 4, 8, 0)]
