@@ -42,7 +42,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Bytes of token ids taken at once in a task.
-CUT_BYTES = 1 << 20
+CUT_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ class AlignSpec:
     #: Pairs that every task knows, at most.
     common_pairs: int = 1 << 20
     #: Windows whose alignment a task remembers, about.
-    windows: int = 1 << 18
+    windows: int = 1 << 16
 
 
 def byte_characters() -> dict[str, int]:

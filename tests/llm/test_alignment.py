@@ -4,6 +4,7 @@ import collections
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from medallion.llm import queries, token_alignment as ta
 from medallion.llm.common import local_scratch
@@ -107,3 +108,11 @@ def test_long_text(spark, reference):
 def test_query_digests(spark):
     out = queries.QUERIES["op12_alignment"](spark, "/root/testdata/sf0.001").where("n_a = 0 or groups_sha256 = ''")
     assert out.where("groups_sha256 <> '' or n_links <> 0 or count_sum <> 0").count() == 0
+
+
+def test_ids_are_cut_into_small_parts():
+    """A task's temporary arrays are several times the ids it takes at once."""
+    row = b"\1\2" * 5000
+    parts = list(ta.id_cuts([pd.DataFrame({"a": [row] * 300, "b": [row] * 300})]))
+    assert sum(map(len, parts)) == 300
+    assert max(sum(map(len, p["a"])) for p in parts) <= (1 << 18) + len(row)
