@@ -11,10 +11,11 @@ How it runs:
 3. In the list of each prefix shingle, documents are ordered by its position in them (the least edited of a group of near
    copies comes first) and every document is a candidate with the first few and with the one before it.
 4. Candidates that pass the length, positional and suffix filters are verified on their whole sets, and linked. The suffix
-   filter bounds the difference of two whole sets from below by the parities of 512 parts of them by hash.
+   filter bounds the difference of two whole sets from below by the parities of their parts by hash: 512 parts, and for
+   larger sets as many as they have shingles (at most 4096), so that it tells long texts apart too.
 5. Prefix shingles with longer lists than step 3 covers are joined again, now between different components only and with all
    filters in the join's condition: a group of thousands of near copies, already one component, makes no pairs with itself.
-   A pair is made in the list of the first shingle it shares only. Pairs verified before are not verified again.
+   A pair is made in the first of these lists that it shares only. Pairs verified before are not verified again.
 
 Nulls and edges: a null or wordless text has an empty set and links with nothing; a row without id takes its class's
 component (null if the whole class has no id); repeated rows and ids are kept, one result row per input row, and
@@ -33,8 +34,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medallion.llm.common import components, each_row, id_bitmap, may_hold, packed_chunks, saved, shingle_set, summed_cells
 
-#: Words of 64 parity bits.
-PARITY = 8
+#: Words of 64 parity bits: of any set, and of the largest.
+PARITY, MOST_PARITY = 8, 64
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,19 @@ def shingle_order(docs: DataFrame, spec: JoinSpec) -> np.ndarray:
     return summed_cells(parts, cells, lambda v: np.minimum(255, 8 * np.log2(1.0 + v)).astype(np.uint8))
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Words of parity bits of a set's parts by hash. ``folded`` gives those of fewer parts."""
+    words = PARITY
+    while words < MOST_PARITY and 64 * words < len(s):
+        words *= 2
+    odd = np.bincount((s >> np.uint64(32)).astype(np.int64) & (64 * words - 1), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def folded(words: np.ndarray, count: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(words.reshape(-1, count), axis=0)
+
+
 def prefixes(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
     """Per row: set size, a 128-bit digest of the set, its rarest shingles in order, and the parities of its parts by hash."""
     shift = np.uint64(64 - spec.order_cells.bit_length() + 1)
@@ -81,8 +95,7 @@ def prefixes(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     order = np.lexsort((s, levels.value[(s >> shift).astype(np.int64)]))
                     first = s[order[: spec.prefix(n)]].view(np.int64)
-                    odd = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY) & 1
-                    parity = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                    parity = parities(s)
                 rows.append((doc, n, digest, first, parity))
             out = pd.DataFrame(rows, columns=["doc_id", "n", "digest", "first", "parity"])
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
@@ -111,11 +124,32 @@ def first_fits(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -
 
 
 def alike(na: Column, pa: Column, nb: Column, pb: Column, spec: JoinSpec) -> Column:
-    """Suffix filter: parts of odd difference are no more than the sets may differ by."""
+    """Suffix filter on ``PARITY`` words: parts of odd difference are no more than the sets may differ by."""
     apart = sum((F.bit_count(pa[i].bitwiseXOR(pb[i])) for i in range(PARITY)), F.lit(0))
     return apart <= na + nb - 2 * needed(na, nb, spec)
 
 
+def short(parity: Column) -> Column:
+    """Parities folded to ``PARITY`` words."""
+    word = lambda i: F.aggregate(F.filter(parity, lambda x, j: j % PARITY == i), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x))
+    return F.array(*[word(i) for i in range(PARITY)])
+
+
+def all_alike(pairs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Suffix filter on the most words that both sets of ``pairs(a, b, na, pa, nb, pb)`` have."""
+
+    def test(batches):
+        for batch in batches:
+            ok = []
+            for na, pa, nb, pb in zip(batch["na"].tolist(), batch["pa"], batch["nb"].tolist(), batch["pb"]):
+                count = min(len(pa), len(pb))
+                apart = int(np.bitwise_count((folded(pa, count) ^ folded(pb, count)).view(np.uint64)).sum())
+                ok.append(apart <= na + nb + 2 * (-(spec.percent * (na + nb)) // (100 + spec.percent)))
+            yield batch.loc[np.array(ok, bool), ["a", "b"]]
+
+    return pairs.select("a", "b", "na", "pa", "nb", "pb").mapInPandas(test, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame:
     """The pairs ``(a, b)`` that link. Sets are made again from the whole texts, only for documents that a fixed-size
     bitmap of candidate ids lets through; 48 bits of each shingle's hash are compared."""
@@ -178,7 +212,7 @@ def _met(tokens: DataFrame) -> DataFrame:
     near = Window.partitionBy("token").orderBy("pos", "mark", "rep")
     once = tokens.withColumn("__a", F.lag("mark").over(near)).where("__a is null or __a != mark")
     seen = once.withColumns({"__a": F.lag("mark").over(near), "__b": F.lead("mark").over(near)})
-    return seen.where("__a is not null or __b is not null").drop("__a", "__b", "mark")
+    return seen.where("__a is not null or __b is not null").drop("__a", "__b")
 
 
 def _lists(tokens: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -214,36 +248,41 @@ def ngram_join(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> JoinResult:
     )
     shared = saved(_lists(_met(tokens), spec), "lists")
     members = shared.select("rep").distinct()
-    profiles = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), "parity")
+    profiles = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), F.xxhash64("digest").alias("mark"), "parity")
     profiles = saved(profiles.join(members, "rep", "left_semi").distinct(), "profiles")
 
     tried = _first_pairs(shared)
     one = profiles.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     two = profiles.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
-    tried = tried.join(one, "a").join(two, "b").where(alike(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), spec)).select("a", "b").distinct()
-    tried = saved(tried, "tried")
+    tried = saved(all_alike(tried.join(one, "a").join(two, "b"), spec).distinct(), "tried")
     links = saved(verified(tried, docs, spec), "links")
     labels = saved(components(links), "labels")
 
-    # in a list of up to LEADERS + 1 rows every pair has been tried
-    named = shared.where(F.col("size") > LEADERS + 1).select("token", "rep", "n", "pos").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    late = saved(_late_pairs(shared, profiles, labels, spec).join(tried, ["a", "b"], "left_anti"), "late")
+    if not late.limit(1).count():
+        return JoinResult(rows, links, labels)
+    late = saved(verified(late, docs, spec), "links")
+    stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return JoinResult(rows, links.union(late), saved(components(stars.union(late)), "labels"))
+
+
+def _late_pairs(shared: DataFrame, profiles: DataFrame, labels: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Pairs of different components that pass the filters in the longer lists, each from the first of these that it shares: in a
+    list of up to LEADERS + 1 rows every pair has been tried, in one of a single component none is wanted."""
+    named = shared.where(F.col("size") > LEADERS + 1).select("token", "rep", "mark", "n", "pos")
+    named = named.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep")).drop("component")
     mixed = named.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
-    named = saved(named.join(mixed, "token", "left_semi").select("token", "rep", "n", "pos", "group"), "mixed")
-    firsts = cut.where("n > 0").select(F.col("doc_id").alias("rep"), F.col("n").cast("int").alias("n"), "first")
-    # an id with several texts of one size has no one order; its pairs are made in every list
-    single = F.when(F.count_distinct("first") == 1, F.first("first")).otherwise(F.array().cast("array<long>"))
-    firsts = firsts.join(named.select("rep").distinct(), "rep", "left_semi").groupBy("rep", "n").agg(single.alias("first"))
-    full = named.join(profiles.select("rep", "n", "parity"), ["rep", "n"]).join(firsts, ["rep", "n"])
-    full = full.withColumn("before", F.slice("first", F.lit(1), F.col("pos"))).drop("first")
+    named = saved(named.join(mixed, "token", "left_semi"), "mixed")
+    # what stands before a shingle, of those lists; texts of one id are told apart by their marks
+    before = Window.partitionBy("rep", "mark").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    full = named.withColumn("before", F.collect_list("token").over(before))
+    full = full.join(profiles.select("rep", "mark", short(F.col("parity")).alias("parity")), ["rep", "mark"]).drop("mark")
     a, b = full.alias("a"), full.alias("b")
     both = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.group") != F.col("b.group"))
                   & first_fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), spec)
                   & alike(F.col("a.n"), F.col("a.parity"), F.col("b.n"), F.col("b.parity"), spec)
                   & ~F.arrays_overlap("a.before", "b.before"))
-    late = both.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    late = saved(verified(saved(late, "late"), docs, spec), "links")
-    stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return JoinResult(rows, links.union(late), saved(components(stars.union(late)), "labels"))
+    return both.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
 
 def _told_apart(docs: DataFrame) -> DataFrame:

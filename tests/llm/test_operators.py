@@ -436,3 +436,62 @@ def test_shingle_lists_hold_one_row_of_each_class(spark):
     rows = [(7, 9, 5, 0, 1), (3, 9, 5, 0, 1), (3, 9, 5, 0, 1), (4, 8, 6, 0, 1), (1, 9, 5, 1, 2), (2, 9, 5, 1, 2), (6, 9, 5, 0, 3)]
     tokens = spark.createDataFrame(rows, "rep long, n int, mark long, pos int, token long")
     assert sorted(map(tuple, ngram_join._met(tokens).select("token", "rep", "n", "pos").collect())) == [(1, 3, 9, 0), (1, 4, 8, 0)]
+
+
+def test_long_texts_that_share_a_passage_are_not_verified(spark, monkeypatch):
+    """The suffix filter tells long sets apart too: of texts with one rare passage in common no sets are sent."""
+    local_scratch(spark)
+    one, two, passage = ([f"{c}{i}" for i in range(n)] for c, n in (("a", 1500), ("b", 1500), ("p", 8)))
+    texts = [one + passage, two + passage, one, one, one, two, two, two, one[:-40] + [f"c{i}" for i in range(40)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sent, verified = [], ngram_join.verified
+
+    def seen(pairs, docs, spec):
+        sent.extend((p.a, p.b) for p in pairs.collect())
+        return verified(pairs, docs, spec)
+
+    monkeypatch.setattr(ngram_join, "verified", seen)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df).documents().collect())
+    assert got == brute_components(rows)
+    assert sent and (0, 1) not in sent
+
+
+def test_parities_of_sets_of_different_sizes(spark):
+    """Folded parities bound the difference of two sets, whatever the number of their parts."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n, m in ((3, 4), (500, 530), (1000, 1100), (2000, 2300), (4000, 4200), (9000, 9000)):
+        both = rng.integers(0, 2**63, m, dtype=np.uint64)
+        x, y = np.unique(both[:n]), np.unique(both[n // 10 :])
+        p, q = ngram_join.parities(x), ngram_join.parities(y)
+        least = min(len(p), len(q))
+        apart = int(np.bitwise_count((ngram_join.folded(p, least) ^ ngram_join.folded(q, least)).view(np.uint64)).sum())
+        differ = len(np.setxor1d(x, y))
+        assert apart <= differ and (differ - apart) % 2 == 0
+        row = spark.createDataFrame([(p.tolist(),)], "parity array<long>").select(ngram_join.short("parity").alias("s")).first().s
+        assert row == ngram_join.folded(p, ngram_join.PARITY).tolist()
+
+
+def test_pairs_of_long_lists_in_the_second_join(spark):
+    """Texts about as alike as the threshold, in lists of many rows: components as from all pairs; an id has two texts of one size."""
+    local_scratch(spark)
+    rng, base = random.Random(11), [f"w{i}" for i in range(70)]
+    texts = []
+    for _ in range(40):
+        words = list(base)
+        for at in rng.sample(range(70), rng.randint(1, 3)):
+            words[at] = f"x{rng.randint(0, 60)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df).documents().collect()), key=str)
+    assert got == brute_components(rows)
+    tokens = [(1, 5, 60, p, i, list(range(9))) for i, p in enumerate(range(3))] + [(2, 6, 60, p, i, list(range(9))) for i, p in enumerate(range(3))]
+    # ids 1 and 2 meet in three long lists, with two texts of id 1: one pair, however many lists hold it
+    tokens += [(1, 7, 60, 0, 1, list(range(9)))]
+    shared = spark.createDataFrame([(r, m, n, p, t, 9) for r, m, n, p, t, _ in tokens], "rep long, mark long, n int, pos int, token long, size long")
+    profiles = spark.createDataFrame([(r, m, 60, [0] * 8) for r, m in ((1, 5), (1, 7), (2, 6))], "rep long, mark long, n int, parity array<long>")
+    none = spark.createDataFrame([], "id long, component long")
+    assert [tuple(r) for r in ngram_join._late_pairs(shared, profiles, none, ngram_join.JoinSpec()).collect()] == [(1, 2)]
