@@ -5,7 +5,8 @@ both end cut them into groups; an A and a B token are linked where their bytes o
 tokens with these ids are linked in the whole corpus.
 
 1. *Full tokenisation.* Every whole text is encoded by both; the joined bytes of either must be the space and the text, otherwise
-   the text has no tokens. The ids are written down, two bytes each.
+   the text has no tokens. The ids are written down, two bytes each. Where no token of either can reach from a character into
+   a space or line feed after it, a text's ids are those of its words, each with the space before it; a task remembers words.
 2. *Anchors.* Where an A and a B token end at one byte and the next token of both is marked by a space, the text falls apart:
    the token ids between two anchors are a window, about a word.
 3. *Memoised windows.* What a window's ids align to (groups, links) depends on the ids alone, so a task works it out once per
@@ -24,6 +25,8 @@ of their own and count as such; an empty table gives an empty result; other colu
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -41,6 +44,19 @@ from medallion.llm.common import saved
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
+#: White space but spaces and line feeds. A word begins with the space or line feed that follows another character, and all white
+#: space there; what A's pattern matches is white space, or has none but a first space.
+_OTHER = "\\t\\v-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_SPACE, _CHARACTER = f"[ \\n{_OTHER}]", f"[^ \\n{_OTHER}]"
+WORD = re.compile(f"{_SPACE}*{_CHARACTER}+(?:[{_OTHER}]{_SPACE}*{_CHARACTER}*)*|{_SPACE}+")
+INTO_SPACE = re.compile(f"{_CHARACTER}[ \\n]")
+
+#: Characters of the longest word that a task remembers; a text with a longer new one is encoded whole.
+LONGEST_WORD = 48
+
+#: Texts whose new words are encoded together.
+TEXTS = 64
+
 #: Bytes of token ids taken at once in a task.
 CUT_BYTES = 1 << 18
 
@@ -54,6 +70,8 @@ class AlignSpec:
     common_pairs: int = 1 << 20
     #: Windows whose alignment a task remembers, about.
     windows: int = 1 << 16
+    #: Words whose ids a task remembers.
+    words: int = 1 << 16
 
 
 def byte_characters() -> dict[str, int]:
@@ -131,10 +149,38 @@ class Vocabularies:
         b = self.model.encode(text)
         if b"".join(map(self.b_bytes.__getitem__, b)) != whole:
             return b"", b""
-        a = np.array(self.encoder.encode_ordinary(" " + text), self.kind)
+        a = self._packed(self.encoder.encode_ordinary(" " + text))
         if self.sizes[0][a].sum() != len(whole):  # a byte-level vocabulary keeps every byte it is given
             return b"", b""
-        return a.tobytes(), np.array(b, self.kind).tobytes()
+        return a.tobytes(), self._packed(b).tobytes()
+
+    def _packed(self, ids: list[int]) -> np.ndarray:
+        return np.frombuffer(array("HI"[self.kind.itemsize > 2], ids), f"=u{self.kind.itemsize}").astype(self.kind, copy=False)
+
+    @cached_property
+    def by_words(self) -> bool:
+        """Whether words of a text have the ids that they have alone: B merges pairs, leaves texts as they are, and no piece
+        goes from a character into a space or line feed. A's pattern never does."""
+        try:
+            from sentencepiece import sentencepiece_model_pb2 as form
+        except ImportError:  # the form of the model file is not known here
+            return False
+        model = form.ModelProto.FromString(self.sources[1])
+        rules, plain = model.normalizer_spec, model.trainer_spec
+        as_is = not rules.precompiled_charsmap and not rules.remove_extra_whitespaces and rules.add_dummy_prefix and rules.escape_whitespaces
+        merges = plain.model_type == plain.BPE and not plain.treat_whitespace_as_suffix
+        return as_is and merges and not any(INTO_SPACE.search(p.piece.replace("▁", " ")) for p in model.pieces)
+
+    def encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]] | None:
+        """Ids of words that begin with a space or line feed and end with a character, from one text made of them; none where
+        that has no tokens."""
+        a, b = self.encode("".join([" .", *words])[1:])
+        if not a:
+            return None
+        ends = np.cumsum([2, *(len(w.encode("utf-8", "surrogatepass")) for w in words)])
+        wide = self.kind.itemsize
+        cuts = [((np.searchsorted(np.cumsum(size[np.frombuffer(ids, self.kind)]), ends) + 1) * wide).tolist() for size, ids in zip(self.sizes, (a, b))]
+        return [(a[i:j], b[p:q]) for i, j, p, q in zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:])]
 
     def windows(self, a: list[bytes], b: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         """The windows of several texts in order, each the ids of A, a mark and those of B, and how many each text has."""
@@ -188,6 +234,44 @@ class Vocabularies:
         return ids_a[i] * len(self.b_bytes) + ids_b[j], owner, owner[groups], i[groups] + 1, j[groups] + 1, ids_a, ids_b
 
 
+class WordMemo:
+    """Ids of texts from those of their words: new words of many texts are encoded together, and about ``limit`` are remembered."""
+
+    def __init__(self, vocabularies: Vocabularies, limit: int):
+        self.vocabularies, self.limit = vocabularies, limit
+        self.ids: dict[str, tuple[bytes, bytes]] = {}
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """The same as ``Vocabularies.encode`` for each text."""
+        whole, known = self.vocabularies.encode, self.ids
+        if not self.vocabularies.by_words:
+            return list(map(whole, texts))
+        if len(known) > self.limit:
+            known.clear()
+        split, fresh = [], {}
+        for text in texts:
+            words, new = [], []
+            if text and "\0" not in text:
+                words = (" " + text).replace(" ", "\0 ").replace("\n", "\0\n").split("\0")[1:]
+                new = [w for w in words if w not in known]
+                if any(len(w) < 2 or w[-1].isspace() for w in new):  # white space after white space
+                    words = WORD.findall(" " + text)
+                    new = [w for w in words if w not in known]
+                if any(w[-1].isspace() or len(w) > LONGEST_WORD for w in new):
+                    words, new = [], []
+            split.append(words)
+            fresh.update(dict.fromkeys(new))
+        found = self.vocabularies.encode_words(list(fresh)) if fresh else []
+        if found is None:
+            return list(map(whole, texts))
+        known.update(zip(fresh, found))
+        out = []
+        for text, words in zip(texts, split):
+            ids = list(map(known.__getitem__, words))
+            out.append((b"".join([a for a, _ in ids]), b"".join([b for _, b in ids])) if words else whole(text))
+        return out
+
+
 class WindowMemo:
     """Alignments of windows by their ids, worked out together for those not seen before.
 
@@ -346,8 +430,11 @@ def align(docs: DataFrame, spec: AlignSpec = AlignSpec()) -> Alignment:
     width = len(shared.value.b_bytes)
 
     @F.pandas_udf("a binary, b binary")
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(map(shared.value.encode, texts), columns=["a", "b"])
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memo = WordMemo(shared.value, spec.words)
+        for texts in batches:
+            ids = [x for i in range(0, len(texts), TEXTS) for x in memo.encode(texts[i : i + TEXTS].tolist())]
+            yield pd.DataFrame(ids, columns=["a", "b"])
 
     row = F.monotonically_increasing_id().alias("row")
     tokens = saved(docs.select("doc_id", row, encode("text").alias("ids")).select("doc_id", "row", "ids.*"), "tokens")

@@ -2,6 +2,7 @@
 
 import collections
 import os
+import random
 
 import numpy as np
 import pandas as pd
@@ -116,3 +117,21 @@ def test_ids_are_cut_into_small_parts():
     parts = list(ta.id_cuts([pd.DataFrame({"a": [row] * 300, "b": [row] * 300})]))
     assert sum(map(len, parts)) == 300
     assert max(sum(map(len, p["a"])) for p in parts) <= (1 << 18) + len(row)
+
+
+def test_ids_by_words(spark):
+    """Ids put together from remembered words are those of whole texts; a word that comes again is not encoded again."""
+    vocabularies = ta.Vocabularies(*(ta._file(spark, f"{SPEC.folder}/{n}") for n in (SPEC.byte_bpe, SPEC.pieces)))
+    assert vocabularies.by_words
+    rng, signs = random.Random(4), "ab1'!. \n\t\r\xa0\x1c ▁é漢🙂\x00st"
+    texts = odd_texts() + ["x\n", "x ", "x \n y", "\nx", "\t\tx", "a!\n\n  b\t c", "a\r\nb", "a\x1cb \x1c c!\x1cd", "a;\r\nb;\r c", None, "", prose(3, 300)]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 25))) for _ in range(3000)]
+    whole = list(map(vocabularies.encode, texts))
+    for limit, many in ((1 << 16, 64), (5, 3)):
+        memo = ta.WordMemo(vocabularies, limit)
+        assert [x for i in range(0, len(texts), many) for x in memo.encode(texts[i : i + many])] == whole
+    encoded = []
+    vocabularies.encode = lambda text, encode=vocabularies.encode: (encoded.append(text), encode(text))[1]
+    memo = ta.WordMemo(vocabularies, 1 << 16)
+    memo.encode([prose(i, 500) for i in range(20)])
+    assert 0 < sum(map(len, encoded)) < len(prose(0, 500)) * 2
